@@ -11,6 +11,15 @@ from pyspark.sql import functions as F
 
 from rolecall.functions import constants as K
 
+ANALYSIS_ASK = (
+    "Read the posting below and answer with one JSON object holding the keys"
+    " job_title, company, job_family and location (null when the posting gives none).\n"
+    "job_family is one of:\n"
+    + "\n".join(f"- {name}" for name, _ in K.JOB_FAMILIES)
+    + "\n\nPosting:\n"
+)
+DRAFT_ASK = f"\n\nWrite a short note that opens with 'Hi <name>,' and ends with '{K.CLOSING}'."
+
 WS = r"\s\x1c-\x1f"
 
 
@@ -83,13 +92,7 @@ def posting_text(title: Column, company: Column, location: Column, body: Column)
 
 def analysis_prompt(text: Column) -> Column:
     """Input for an outside field-extraction model: the families, then the text."""
-    families = "\n".join(f"- {name}" for name, _ in K.JOB_FAMILIES)
-    ask = (
-        "Read the posting below and answer with one JSON object holding the keys"
-        " job_title, company, job_family and location (null when the posting gives none).\n"
-        f"job_family is one of:\n{families}\n\nPosting:\n"
-    )
-    return F.concat(F.lit(ask), F.left(text, F.lit(K.ANALYSIS_CHARS)))
+    return F.concat(F.lit(ANALYSIS_ASK), F.left(text, F.lit(K.ANALYSIS_CHARS)))
 
 
 def draft_prompt(
@@ -101,5 +104,5 @@ def draft_prompt(
         F.lit("\nURL: "), url,
         F.lit("\n\nPosting:\n"), F.left(posting, F.lit(K.DRAFT_POSTING_CHARS)),
         F.lit("\n\nResume:\n"), F.left(resume, F.lit(K.DRAFT_RESUME_CHARS)),
-        F.lit(f"\n\nWrite a short note that opens with 'Hi <name>,' and ends with '{K.CLOSING}'."),
+        F.lit(DRAFT_ASK),
     )
