@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from rolecall.functions import constants as K
 
-# executors need no installed copy of this package: the pass travels with the task
+# executors need no installed copy of this package: the pass travels with the task, so
+# task code below may use this module's own names only, none of another module here
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _MARKUP = re.compile(
@@ -37,6 +38,7 @@ _STRENGTH = {
 }
 _NOISE = frozenset(K.NOISE_TAGS)
 _SECTION_NOISE = frozenset(K.SECTION_NOISE_TAGS)
+_SECTION_CLASSES = tuple(K.SECTION_CLASSES)
 
 FACETS = {
     "text": "string",
@@ -95,7 +97,7 @@ class _Page:
                 self.links.append(sink)
         elif name == "div" and not self.inside(_SECTION_NOISE):
             css = " ".join(_attributes(source).get("class", "").split())
-            if all(c in css for c in K.SECTION_CLASSES):
+            if all(c in css for c in _SECTION_CLASSES):
                 sink = []
                 self.sections.append(sink)
         if name in ("p", "a", "li", "option") and self.open and self.open[-1][0] == name:

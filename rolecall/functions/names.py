@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 from rolecall.functions import constants as K
 from rolecall.functions.stage import settled
-from rolecall.functions.text import WS, blank_to_null, strip, title_case, words
+from rolecall.functions.text import BLANKS, WS, blank_to_null, strip, title_case, words
 from rolecall.functions.urls import profile_slug
 
-_DASHES = "\\-\u2013|"
+_BRAND = "linkedin"
+_DASHES = ["-", "\u2013", "|"]
+_BREAKS = "\\-\u2013|\u2022"
 
 
 @cache
@@ -41,7 +43,8 @@ def ascii_letters(c: Column) -> Column:
     """Lower-case, fold accents, keep ASCII letters only. Stays in the JVM."""
     single_from, single_to, several = _letter_folds()
     low = F.lower(c)
-    table = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
+    spellings = ",".join(f"{ch}:{letters}" for ch, letters in several.items())
+    table = F.str_to_map(F.lit(spellings), F.lit(","), F.lit(":"))
     spelled = F.array_join(
         F.transform(F.split(low, ""), lambda ch: F.coalesce(F.element_at(table, ch), ch)), ""
     )
@@ -56,7 +59,7 @@ def ascii_letters(c: Column) -> Column:
 def _name_words(name: Column) -> Column:
     """Words of a name after one trailing ', CREDENTIAL ...' is cut."""
     tail = r"[\p{L}\p{N}_\-.]+"
-    cut = rf"(?U),[{WS}]*[A-Z]{tail}(?:[{WS}]+[A-Z]{tail})*\z"
+    cut = rf",[{WS}]*[A-Z]{tail}(?:[{WS}]+[A-Z]{tail})*\z"
     return words(F.regexp_replace(name, cut, ""))
 
 
@@ -144,19 +147,38 @@ def with_slug_name(df: DataFrame, url: str, hint: str, out: str) -> DataFrame:
 
 def with_heading_parts(df: DataFrame, heading: str, url: str) -> DataFrame:
     """Columns name, role from a search heading; name is null when none can be read."""
-    brand = rf"(?iU)[{WS}]*[{_DASHES}][{WS}]*linkedin[{WS}]*\z"
-    split = rf"(?Ud)^(.+?)[{WS}]*[{_DASHES}\u2022][{WS}]*(.+)\z"
     text, name, spelled = F.col("_text"), F.col("_name"), F.col("_spelled")
+    tail, head, rest = F.col("_tail"), F.col("_head"), F.col("_rest_of")
+    # a trailing site name goes with the dash before it; only the text's end is looked at
+    without = F.rtrim(F.left(text, F.length(text) - len(_BRAND)), F.lit(BLANKS))
+    branded = F.lower(F.right(text, F.lit(len(_BRAND)))) == _BRAND
+    # name up to the first separator after the first character, role after it
+    one_line = ~text.contains("\n")
+    split = rf"(?d)^(.+?)[{WS}]*[{_BREAKS}][{WS}]*(.+)\z"
+    after = strip(F.substr(text, F.length(head) + 2))
     short = F.exists(F.col("_words"), lambda w: w.rlike(r"^[A-Za-z]\.\z") | (F.length(w) == 1))
     read = (
-        df.withColumn("_text", strip(F.regexp_replace(F.col(heading), brand, "")))
-        .withColumn("_name", strip(F.regexp_extract(text, split, 1)))
+        df.withColumn("_text", strip(F.col(heading)))
+        .withColumn("_tail", F.when(branded, without))
+        .withColumn(
+            "_text",
+            F.when(F.right(tail, F.lit(1)).isin(_DASHES), strip(F.left(tail, F.length(tail) - 1)))
+            .otherwise(text),
+        )
+        .withColumn("_head", F.regexp_extract(text, rf"(?s)^.[^{_BREAKS}]*", 0))
+        .withColumn("_rest_of", F.when(one_line, after).otherwise(F.regexp_extract(text, split, 2)))
+        .withColumn(
+            "_name",
+            F.when(one_line, F.when(rest == "", "").otherwise(strip(head))).otherwise(
+                strip(F.regexp_extract(text, split, 1))
+            ),
+        )
         .withColumn("_words", words(name))
         .withColumn("_hint", F.try_element_at(F.col("_words"), F.lit(1)))
     )
     parts = (
         with_slug_name(read, url, "_hint", "_spelled")
-        .withColumn("role", blank_to_null(strip(F.regexp_extract(text, split, 2))))
+        .withColumn("role", blank_to_null(strip(rest)))
         .withColumn(
             "name",
             F.when(
@@ -165,7 +187,7 @@ def with_heading_parts(df: DataFrame, heading: str, url: str) -> DataFrame:
             ),
         )
         .withColumn("role", F.when(F.col("name").isNotNull(), F.col("role")))
-        .drop("_text", "_name", "_words", "_hint", "_spelled")
+        .drop("_text", "_tail", "_head", "_rest_of", "_name", "_words", "_hint", "_spelled")
     )
     return settled(parts, "name", "role")
 

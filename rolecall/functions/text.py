@@ -1,7 +1,7 @@
 """Text expressions: trimming, keys, titles, greetings, previews, prompts.
 
-Java's ``\\s`` is ASCII only and SQL ``trim`` cuts spaces only, so whitespace is
-spelled out here once (``WS``) and used by every rule that trims or splits.
+Java's ``\\s`` is ASCII only and SQL ``trim`` cuts spaces only, so Unicode whitespace is
+spelled out here once: ``BLANKS`` for trimming at the ends, ``WS`` for patterns.
 """
 
 from __future__ import annotations
@@ -20,17 +20,22 @@ ANALYSIS_ASK = (
 )
 DRAFT_ASK = f"\n\nWrite a short note that opens with 'Hi <name>,' and ends with '{K.CLOSING}'."
 
-WS = r"\s\x1c-\x1f"
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(map(chr, range(0x2000, 0x200B)))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
+WS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def strip(c: Column) -> Column:
     """Cut Unicode whitespace at both ends."""
-    return F.regexp_replace(c, rf"(?U)^[{WS}]+|[{WS}]+\z", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def words(c: Column) -> Column:
     """Whitespace-separated words; blank text has none."""
-    return F.filter(F.split(c, rf"(?U)[{WS}]+"), lambda w: w != "")
+    return F.filter(F.split(c, f"[{WS}]+"), lambda w: w != "")
 
 
 def blank_to_null(c: Column) -> Column:
@@ -45,8 +50,8 @@ def title_case(c: Column) -> Column:
 
 def key_slug(c: Column, size: int = K.KEY_CHARS) -> Column:
     """Lower-case key segment: word characters joined by single underscores."""
-    kept = F.regexp_replace(strip(F.lower(c)), rf"(?U)[^\p{{L}}\p{{N}}_{WS}-]", "")
-    return F.left(F.regexp_replace(kept, rf"(?U)[{WS}_-]+", "_"), F.lit(size))
+    kept = F.regexp_replace(strip(F.lower(c)), rf"[^\p{{L}}\p{{N}}_{WS}-]", "")
+    return F.left(F.regexp_replace(kept, f"[{WS}_-]+", "_"), F.lit(size))
 
 
 def posting_key(company: Column, title: Column, scraped_at: Column) -> Column:

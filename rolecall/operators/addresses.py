@@ -20,13 +20,14 @@ def mined_addresses(
     Each '@' is looked at by itself: the local part must end right before it.
     """
     keep = [c for c in snippets.columns if c not in fields]
-    local = rf"(?iU)(?:^|[^\p{{L}}\p{{N}}_])({local_part})\z"
+    local = rf"(?iu)(?:^|[^\p{{L}}\p{{N}}_])({local_part})\z"
     pieces = F.col("_pieces")
     around = F.transform(
         F.sequence(F.lit(1), F.size(pieces) - 1),
         lambda i: F.struct(
-            F.regexp_extract(F.get(pieces, i - 1), local, 1).alias("local"),
-            F.regexp_extract(F.get(pieces, i), r"(?U)^[\p{L}\p{N}_.\-]+", 0).alias("host"),
+            # a local part holds no blank, so the last word will do
+            F.regexp_extract(F.substring_index(F.get(pieces, i - 1), " ", -1), local, 1).alias("local"),
+            F.regexp_extract(F.get(pieces, i), r"^[\p{L}\p{N}_.\-]+", 0).alias("host"),
         ),
     )
     texts = snippets.select(

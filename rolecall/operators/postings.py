@@ -19,7 +19,7 @@ def checked_responses(responses: DataFrame) -> DataFrame:
     """
     fenced = T.strip(F.col("response"))
     bare = F.regexp_replace(
-        F.regexp_replace(fenced, rf"(?U)\A```(?:json)?[{T.WS}]*", ""), rf"(?U)[{T.WS}]*```\z", ""
+        F.regexp_replace(fenced, rf"\A```(?:json)?[{T.WS}]*", ""), rf"[{T.WS}]*```\z", ""
     )
 
     def kind(field: str) -> Column:

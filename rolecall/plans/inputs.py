@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 from rolecall.functions import constants as K
 from rolecall.operators.addresses import with_candidates
 from rolecall.operators.skew import lookup_join
+from rolecall.sources.readers import read_table
 
 START = "timestamp_ntz'2024-01-01 00:00:00'"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def pick(number: Column, *choices) -> Column:
@@ -59,8 +60,8 @@ def url_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _snippet(line: Column, no: Column) -> dict[str, Column]:
     """One line of a document as a search hit: heading, link and content."""
-    words = F.split(line, " ")
-    one, two = F.get(words, F.lit(0)), F.coalesce(F.get(words, F.lit(1)), F.lit(""))
+    one = F.substring_index(line, " ", 1)
+    two = F.substring_index(F.substr(line, F.length(one) + 2), " ", 1)
     shown = F.when(no % 5 == 4, F.concat(F.left(two, F.lit(1)), F.lit("."))).otherwise(two)
     heading = F.concat(
         one, F.lit(" "), shown, pick(no, " - ", " – ", " | ", " • "), line, F.lit(" | LinkedIn")
@@ -86,7 +87,7 @@ def _snippet(line: Column, no: Column) -> dict[str, Column]:
     name = F.concat(one, F.lit(" "), two, F.when(no % 7 == 3, ", MBA").otherwise(""))
     return {
         "url": url,
-        "title": F.when(F.size(words) >= 2, heading).otherwise(line),
+        "title": F.when(line.contains(" "), heading).otherwise(line),
         "content": content,
         "name": name,
     }
@@ -334,8 +335,8 @@ def customer_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     families = [name for name, _ in K.JOB_FAMILIES]
     number = F.col("c_custkey")
-    # a nation key repeats for a 25th of all customers: spread such a key over partitions
-    return lookup_join(table(spark, sf_dir, "customer"), places, ["c_nationkey"], ["c_custkey"]).select(
+    # the 25 nations are a fixed table; Spark checks its size and broadcasts it
+    return table(spark, sf_dir, "customer").join(places, "c_nationkey", "left").select(
         "c_custkey",
         F.concat(F.lit("c"), number.cast("string")).alias("job_key"),
         F.when(number % 13 == 0, "  ").otherwise(F.concat(F.lit(" "), "c_name")).alias("company"),

@@ -6,6 +6,8 @@ the usable rows and the others.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,17 +47,18 @@ def contact_run(
     companies: DataFrame,
     as_of: Column,
     max_results: int = K.MAX_RESULTS,
+    save: Callable[[DataFrame], DataFrame] = lambda found: found,
 ) -> DataFrame:
     """Contacts with candidate addresses, from search hits and the fetch log.
 
-    companies: company, domain, pattern, one row per company.
+    companies: company, domain, pattern, one row per company. ``save`` may keep the found
+    contacts before their addresses are looked for, so that step can be repeated alone.
     """
     used = search.sticky_backends(search.fetch_outcomes(log))
-    answered = search.answered_hits(search.profile_hits(hits), used)
-    found = search.capped_contacts(search.first_seen(answered), max_results)
+    named = search.profile_hits(search.answered_hits(hits, used))
+    found = search.capped_contacts(search.first_seen(named), max_results)
     # at most max_results rows per posting are left, so no posting is hot in this join
-    named = found.join(jobs.select("job_key", "company"), "job_key")
-    rows = named.select(
+    rows = found.join(jobs.select("job_key", "company"), "job_key").select(
         "job_key", "company", "contact_rank", "name", F.col("role").alias("title"),
         F.col("url").alias("linkedin_url"),
         F.array().cast("array<string>").alias("candidates"),
@@ -65,7 +68,7 @@ def contact_run(
         F.array().cast("array<string>").alias("email_tried"),
         F.lit(None).cast("boolean").alias("email_bounced"),
     )
-    return addresses.contact_addresses(rows, companies).drop("company", "domain", "pattern")
+    return addresses.contact_addresses(save(rows), companies).drop("company", "domain", "pattern")
 
 
 def company_run(snippets: DataFrame, hits: DataFrame) -> DataFrame:

@@ -254,8 +254,8 @@ def first_seen_profiles(spark, sf_dir):
 @query
 def found_contacts(spark, sf_dir):
     used = search.sticky_backends(search.fetch_outcomes(I.fetch_log(spark, sf_dir)))
-    answered = search.answered_hits(search.profile_hits(I.search_hits(spark, sf_dir)), used)
-    found = search.capped_contacts(search.first_seen(answered))
+    named = search.profile_hits(search.answered_hits(I.search_hits(spark, sf_dir), used))
+    found = search.capped_contacts(search.first_seen(named))
     return found.select("job_key", "contact_rank", "name", "role", "url", "source")
 
 
@@ -343,7 +343,7 @@ def _addressed(spark, sf_dir):
     contacts = search.profile_hits(found.withColumn("backend", F.lit("ddg"))).select(
         "doc_id", "line_no", "company", "name", F.array().cast("array<string>").alias("candidates")
     )
-    return addresses.contact_addresses(contacts, companies)
+    return addresses.contact_addresses(session.stored(contacts, "contacts"), companies)
 
 
 @query
@@ -405,12 +405,12 @@ def next_patterns(spark, sf_dir):
 
 
 def _sent(spark, sf_dir):
-    contacts = I.order_contacts(spark, sf_dir)
+    contacts = session.stored(I.order_contacts(spark, sf_dir), "contacts")
     receipts = outreach.send_plan(contacts).select(
         "job_key", "contact_rank",
         F.expr(I.START).alias("sent_at"), F.col("to_address").alias("sent_to"),
     )
-    return contacts, outreach.apply_receipts(contacts, receipts)
+    return contacts, session.stored(outreach.apply_receipts(contacts, receipts), "sent")
 
 
 @query
@@ -585,5 +585,6 @@ def contact_run(spark, sf_dir):
     rows = pipeline.contact_run(
         jobs, I.search_hits(spark, sf_dir), I.fetch_log(spark, sf_dir),
         pipeline.company_run(texts, hits), F.expr("timestamp'2024-01-01 00:00:00Z'"),
+        save=lambda found: session.stored(found, "found"),
     )
     return rows.select("job_key", "contact_rank", "name", "source", F.array_join("candidates", ",").alias("email"))

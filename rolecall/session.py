@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -46,6 +46,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder: worked out once, and safe from lost executors."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return os.path.join(shared_folder(spark), "rolecall", f"{name}-{uuid.uuid4().hex}")

@@ -10,6 +10,14 @@ from rolecall.functions import text as T
 from rolecall.sources.writers import LIST_SIZE
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet table. One stored in fewer splits than there are cores is spread over them;
+    a large table has more splits than cores and is read as it is."""
+    rows = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.PAGES).parquet(path)
 
