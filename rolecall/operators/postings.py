@@ -24,21 +24,29 @@ def checked_responses(responses: DataFrame) -> DataFrame:
 
     def kind(field: str) -> Column:
         """JSON type of a field; null when the key is missing."""
-        return F.schema_of_variant(F.try_variant_get("_json", f"$.{field}", "variant"))
+        return F.schema_of_variant(F.try_variant_get("_json", f"$.v.{field}", "variant"))
 
     def value(field: str) -> Column:
-        return F.try_variant_get(F.col("_json"), f"$.{field}", "string")
+        return F.try_variant_get(F.col("_json"), f"$.v.{field}", "string")
 
-    typed = responses.withColumn("_json", F.try_parse_json(bare))
+    # the parser ignores what follows a value; only one whole value fits both wrappings
+    as_field = F.try_parse_json(F.concat(F.lit('{"v":'), F.col("_bare"), F.lit("}")))
+    as_item = F.try_parse_json(F.concat(F.lit("["), F.col("_bare"), F.lit("]")))
+    typed = responses.withColumn("_bare", bare).withColumn(
+        "_json", F.when(as_item.isNotNull(), as_field)
+    )
     for field in ("job_title", "company", "job_family", "location"):
         typed = typed.withColumn(f"_{field}_kind", F.coalesce(kind(field), F.lit("MISSING")))
         typed = typed.withColumn(f"_{field}", value(field))
+    typed = typed.withColumn(
+        "_kind", F.schema_of_variant(F.try_variant_get("_json", "$.v", "variant"))
+    )
     text_or_missing = F.lit(True)
     for field in ("job_title", "company", "job_family"):
         text_or_missing = text_or_missing & F.col(f"_{field}_kind").isin("STRING", "MISSING")
     problem = (
         F.when(F.col("_json").isNull(), "not json")
-        .when(~F.schema_of_variant("_json").startswith("OBJECT"), "not an object")
+        .when(~F.col("_kind").startswith("OBJECT"), "not an object")
         .when(~text_or_missing, "field is not text")
         .when(~F.col("_location_kind").isin("STRING", "MISSING", "VOID"), "location is not text")
     )

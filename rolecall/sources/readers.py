@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,15 +34,16 @@ def read_posting_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def list_postings(spark: SparkSession, path: str) -> DataFrame:
-    """Stored files, newest first; a path without files gives no rows."""
+    """Stored files, newest first; a missing path gives no rows. File contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    return (
-        files.option("pathGlobFilter", "*.json")
-        .option("ignoreMissingFiles", True)
-        .load(path)
-        .select("path", "modificationTime", "length")
-        .orderBy(F.desc("modificationTime"), "path")
-    )
+    try:
+        found = files.option("pathGlobFilter", "*.json").load(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string, modificationTime timestamp, length bigint")
+    listed = found.select("path", "modificationTime", "length")
+    return listed.orderBy(F.desc("modificationTime"), "path")
 
 
 def split_addresses(email: Column) -> Column:
@@ -68,8 +70,8 @@ def contacts_from_docs(docs: DataFrame, list_size: int = LIST_SIZE) -> DataFrame
 
 def read_text_docs(spark: SparkSession, path: str) -> DataFrame:
     """Whole text files, trimmed: path, text."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.txt")
-    return files.text(path).select(
+    files = spark.read.option("pathGlobFilter", "*.txt").text(path, wholetext=True)
+    return files.select(
         F.col("_metadata.file_path").alias("path"), T.strip(F.col("value")).alias("text")
     )
 

@@ -39,7 +39,7 @@ def append_once(
 
     A batch is reduced to one row per key before it meets the stored keys, so a hot key
     costs one row. Each batch owns a folder: a replay after a lost driver or executor
-    writes the same folder again.
+    writes the same folder again. A target belongs to one checkpoint.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
