@@ -584,6 +584,9 @@ FROM plan p JOIN postings USING (job_key) WHERE email_body <> '' AND email_subje
   count(*) FILTER (sent_at IS NOT NULL) AS already_sent, count(*) FILTER (bounced) AS bounced,
   count(*) FILTER (eligible) AS eligible, count(*) FILTER (sent_at IS NOT NULL AND bounced IS NULL) AS pending
 FROM ready GROUP BY job_key""",
+    "numbered_contacts": _with(CONTACTS)
+    + """SELECT job_key, contact_rank, row_number() OVER (PARTITION BY job_key ORDER BY contact_rank) AS shown_no
+FROM contacts""",
     "delivery_labels": _with(CONTACTS)
     + """SELECT job_key, contact_rank, sent_to AS email_sent_to,
   CASE WHEN bounced IS NULL THEN 'pending' WHEN bounced THEN 'bounced' ELSE 'delivered' END AS delivery

@@ -67,26 +67,42 @@ class _Page:
 
     def __init__(self) -> None:
         self.open: list[tuple[str, object]] = []
+        # open elements of each kind, kept in step with the list above
+        self.silent = self.noise = self.section_noise = self.sinks = 0
         self.text: list[str] = []
         self.title: str | None = None
         self.jsonld: str | None = None
         self.links: list[dict] = []
         self.sections: list[list[str]] = []
 
-    def inside(self, names: frozenset) -> bool:
-        return any(name in names for name, _ in self.open)
+    def push(self, name: str, sink: object) -> None:
+        self.open.append((name, sink))
+        self._count(name, sink, 1)
+
+    def pop(self) -> None:
+        self._count(*self.open.pop(), -1)
+
+    def _count(self, name: str, sink: object, step: int) -> None:
+        if name in _NOISE:
+            self.noise += step
+            if name in _SECTION_NOISE:
+                self.section_noise += step
+        elif name in _SILENT:
+            self.silent += step
+        if sink is not None:
+            self.sinks += step
 
     def add_text(self, text: str) -> None:
-        if not text or self.inside(_SILENT):
+        if self.silent:
             return
-        if not self.inside(_NOISE):
+        if not self.noise:
             self.text.append(text)
-        quiet = self.inside(_SECTION_NOISE)
-        for _, sink in self.open:
-            if isinstance(sink, dict):
-                sink["parts"].append(text)
-            elif isinstance(sink, list) and not quiet:
-                sink.append(text)
+        if self.sinks:
+            for _, sink in self.open:
+                if isinstance(sink, dict):
+                    sink["parts"].append(text)
+                elif isinstance(sink, list) and not self.section_noise:
+                    sink.append(text)
 
     def start(self, name: str, source: str) -> None:
         sink: object = None
@@ -95,22 +111,25 @@ class _Page:
             if "href" in attributes:
                 sink = {"href": attributes["href"], "css": attributes.get("class", ""), "parts": []}
                 self.links.append(sink)
-        elif name == "div" and not self.inside(_SECTION_NOISE):
+        elif name == "div" and source and not self.section_noise:
             css = " ".join(_attributes(source).get("class", "").split())
             if all(c in css for c in _SECTION_CLASSES):
                 sink = []
                 self.sections.append(sink)
         if name in ("p", "a", "li", "option") and self.open and self.open[-1][0] == name:
-            self.open.pop()
+            self.pop()
         if name not in _VOID:
-            self.open.append((name, sink))
+            self.push(name, sink)
 
     def end(self, name: str) -> None:
-        for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] == name:
-                del self.open[at:]
+        strength = _STRENGTH.get(name, 100)
+        for above in range(len(self.open)):
+            inner = self.open[-1 - above][0]
+            if inner == name:
+                for _ in range(above + 1):
+                    self.pop()
                 return
-            if _STRENGTH.get(self.open[at][0], 100) > _STRENGTH.get(name, 100):
+            if _STRENGTH.get(inner, 100) > strength:
                 return
 
 
@@ -119,26 +138,30 @@ def scan(html: str) -> _Page:
     while True:
         mark = _MARKUP.search(html, at)
         if mark is None:
-            page.add_text(unescape(html[at:]))
+            if at < len(html):
+                page.add_text(unescape(html[at:]))
             return page
-        page.add_text(unescape(html[at:mark.start()]))
+        start = mark.start()
+        if start > at:
+            page.add_text(unescape(html[at:start]))
         at = mark.end()
-        if not mark[2]:
+        closing, name, source = mark.groups()
+        if not name:
             continue
-        name = mark[2].lower()
-        if mark[1]:
+        name = name.lower()
+        if closing:
             page.end(name)
             continue
-        page.start(name, mark[3])
+        page.start(name, source)
         if name in _RAW:
             close = _RAW[name].search(html, at)
             inner = html[at:close.start()]
             if name == "title" and page.title is None:
                 page.title = unescape(inner).strip()
             if name == "script" and page.jsonld is None:
-                if _attributes(mark[3]).get("type") == "application/ld+json":
+                if _attributes(source).get("type") == "application/ld+json":
                     page.jsonld = inner
-            if name in ("title", "textarea"):
+            if inner and name in ("title", "textarea"):
                 page.add_text(unescape(inner))
             at = close.end()
             page.end(name)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import unicodedata
 from functools import cache
@@ -53,14 +54,14 @@ def ascii_letters(c: Column) -> Column:
     folded = F.when(low.rlike(r"^[\x00-\x7f]*\z"), low).otherwise(
         F.translate(wide, single_from, single_to)
     )
-    return F.regexp_replace(folded, "[^A-Za-z]", "")
+    return F.when(low.rlike(r"^[a-z]*\z"), low).otherwise(F.regexp_replace(folded, "[^A-Za-z]", ""))
 
 
 def _name_words(name: Column) -> Column:
     """Words of a name after one trailing ', CREDENTIAL ...' is cut."""
     tail = r"[\p{L}\p{N}_\-.]+"
     cut = rf",[{WS}]*[A-Z]{tail}(?:[{WS}]+[A-Z]{tail})*\z"
-    return words(F.regexp_replace(name, cut, ""))
+    return words(F.when(name.contains(","), F.regexp_replace(name, cut, "")).otherwise(name))
 
 
 def with_first_last(df: DataFrame, name: str) -> DataFrame:
@@ -83,23 +84,30 @@ def with_first_last(df: DataFrame, name: str) -> DataFrame:
     return settled(parts, "first", "last")
 
 
-def _fill(pattern: Column, first: Column, last: Column) -> Column:
-    filled = pattern
-    for slot, value in (
-        ("{first}", first), ("{last}", last),
-        ("{f}", F.left(first, F.lit(1))), ("{l}", F.left(last, F.lit(1))),
-    ):
-        filled = F.replace(filled, F.lit(slot), value)
-    return filled
+def _slots(first: Column, last: Column) -> dict[str, Column]:
+    return {
+        "{first}": first, "{last}": last,
+        "{f}": F.left(first, F.lit(1)), "{l}": F.left(last, F.lit(1)),
+    }
+
+
+def _spelled(pattern: str, slots: dict[str, Column]) -> Column:
+    """A listed pattern as one concatenation, taken apart while the plan is built."""
+    pieces = [p for p in re.split(r"({\w+})", pattern) if p]
+    return F.concat(*[slots.get(p, F.lit(p)) for p in pieces])
 
 
 def candidates(first: Column, last: Column, domain: Column, pattern: Column) -> Column:
     """One address for a known pattern, else one per listed pattern, in order."""
-    every = F.array(*[F.lit(p) for p in K.ADDRESS_PATTERNS])
-    chosen = F.when(F.coalesce(pattern, F.lit("")) == "", every).otherwise(F.array(pattern))
-    return F.transform(
-        chosen, lambda p: F.concat(_fill(p, first, last), F.lit("@"), domain)
-    )
+    slots, site = _slots(first, last), F.concat(F.lit("@"), domain)
+    every = {p: F.concat(_spelled(p, slots), site) for p in K.ADDRESS_PATTERNS}
+    other = pattern
+    for slot, value in slots.items():
+        other = F.replace(other, F.lit(slot), value)
+    one = F.concat(other, site)
+    for listed, address in every.items():
+        one = F.when(pattern == listed, address).otherwise(one)
+    return F.when(F.coalesce(pattern, F.lit("")) == "", F.array(*every.values())).otherwise(F.array(one))
 
 
 def known_pattern(pattern: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rolecall.functions import constants as K
 from rolecall.functions import text as T
+from rolecall.functions.stage import settled
 from rolecall.operators.skew import lookup_join
 
 
@@ -30,11 +31,8 @@ def failed_recipient(headers: str = "headers") -> Column:
 def bounce_notices(messages: DataFrame) -> DataFrame:
     """Messages a mail system sent about a failed delivery, with the address concerned."""
     system = F.col("sender").rlike("(?i)mailer-daemon|postmaster")
-    return (
-        messages.filter(system)
-        .withColumn("address", failed_recipient())
-        .filter(F.coalesce("address", F.lit("")) != "")
-    )
+    named = settled(messages.filter(system).withColumn("address", failed_recipient()), "address")
+    return named.filter(F.coalesce("address", F.lit("")) != "")
 
 
 def newest_notices(messages: DataFrame, n: int = K.NOTICE_PAGE) -> DataFrame:

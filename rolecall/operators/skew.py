@@ -26,6 +26,26 @@ def first_by(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return top_by(df, keys, order, 1)
 
 
+def numbered(df: DataFrame, keys: list[str], order: str, rank: str, width: int = 10_000) -> DataFrame:
+    """Rows numbered 1, 2, ... per key by a whole-number column that is unique within the key.
+
+    A key's rows are cut into ranges of ``width`` order values. Rows are numbered within
+    their range and the sizes of the earlier ranges are added, so no task ever sorts more
+    than ``width`` rows of one key.
+    """
+    ranged = df.withColumn("_range", F.floor(F.col(order) / width))
+    sizes = ranged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_size"))
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*keys, "_range", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
+    within = Window.partitionBy(*keys, "_range").orderBy(order)
+    return (
+        ranged.withColumn("_at", F.row_number().over(within))
+        .join(starts, [*keys, "_range"])
+        .withColumn(rank, (F.col("_start") + F.col("_at")).cast("int"))
+        .drop("_range", "_at", "_start")
+    )
+
+
 def hot_keys(df: DataFrame, on: list[str]) -> DataFrame:
     """Keys holding more than 1/HOT_SHARE of the rows: fewer than HOT_SHARE of them."""
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))

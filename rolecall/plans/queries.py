@@ -13,7 +13,7 @@ from rolecall.functions import names as N
 from rolecall.functions import text as T
 from rolecall.functions import urls as U
 from rolecall.operators import addresses, domains, outreach, pages, postings, reconcile, search
-from rolecall.operators.skew import top_by
+from rolecall.operators.skew import numbered, top_by
 from rolecall.plans import inputs as I
 from rolecall.plans import pipeline
 from rolecall.sources import readers, writers
@@ -392,6 +392,15 @@ def outreach_summary(spark, sf_dir):
     return outreach.outreach_summary(I.order_contacts(spark, sf_dir))
 
 
+@query
+def numbered_contacts(spark, sf_dir):
+    """Contacts with the number shown to a user."""
+    rows = numbered(
+        I.order_contacts(spark, sf_dir).select("job_key", "contact_rank", "name"), ["job_key"], "contact_rank", "shown_no"
+    )
+    return rows.select("job_key", "contact_rank", "shown_no")
+
+
 @query
 def delivery_labels(spark, sf_dir):
     rows = outreach.delivery_labels(I.order_contacts(spark, sf_dir))
@@ -438,8 +447,8 @@ def contact_documents(spark, sf_dir):
     before, after = _sent(spark, sf_dir)
 
     def listed(df):
-        return df.select(
-            "job_key", F.row_number().over(_stored_order()).alias("contact_rank"), "name",
+        return numbered(df.withColumnRenamed("contact_rank", "order_no"), ["job_key"], "order_no", "contact_rank").select(
+            "job_key", "contact_rank", "name",
             F.lit(None).cast("string").alias("title"), F.lit(None).cast("string").alias("linkedin_url"),
             "candidates", F.lit("brave").alias("source"), F.lit(None).cast("timestamp").alias("found_at"),
             F.col("email_sent_at").cast("timestamp").alias("email_sent_at"),
@@ -457,12 +466,6 @@ def contact_documents(spark, sf_dir):
     )
 
 
-def _stored_order():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("job_key").orderBy("contact_rank")
-
-
 # --- delivery notices ------------------------------------------------------------------------------
 
 

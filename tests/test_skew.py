@@ -24,6 +24,17 @@ def test_lookup_join_keeps_every_row(spark):
         assert got == sorted(map(str, fact.join(dim, "k", how).select("id", "k", "v").collect()))
 
 
+def test_numbered(spark):
+    rng = random.Random(2)
+    rows = [("hot", n) for n in rng.sample(range(-500, 5000), 1500)] + [(f"k{i % 9}", i) for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, n bigint")
+    got = {(r.k, r.n): r.no for r in skew.numbered(df, ["k"], "n", "no", width=37).collect()}
+    expected = {}
+    for k in {k for k, _ in rows}:
+        expected |= {(k, n): at + 1 for at, n in enumerate(sorted(n for key, n in rows if key == k))}
+    assert got == expected
+
+
 def test_hot_keys_are_few_and_spread(spark):
     fact = facts(spark)
     assert {r.k for r in skew.hot_keys(fact, ["k"]).collect()} == {"hot", "missing", None}
