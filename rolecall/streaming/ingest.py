@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,17 +20,37 @@ def stream_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(spark.read.parquet(path).schema).parquet(pattern)
 
 
+@contextmanager
+def fitting_state(spark: SparkSession) -> Iterator[None]:
+    """Start a local stream with at most two state partitions per core.
+
+    Each state partition is a store of its own that every batch opens and commits, and
+    their number is fixed when a stream first starts. A cluster keeps the session's
+    setting: its cores may grow after the start.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    if spark.sparkContext.master.startswith("local"):
+        most = 2 * spark.sparkContext.defaultParallelism
+        spark.conf.set(name, str(min(int(before), most)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def run_available(
     stream: DataFrame, checkpoint: str, batch: Callable[[DataFrame, int], None], mode: str = "append"
 ) -> StreamingQuery:
     """Process what is there, batch by batch, and stop. Progress lives in ``checkpoint``."""
-    return (
+    writer = (
         stream.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(batch)
-        .start()
     )
+    with fitting_state(stream.sparkSession):
+        return writer.start()
 
 
 def append_once(

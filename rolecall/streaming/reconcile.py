@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rolecall.functions import constants as K
 from rolecall.operators.skew import first_by
-from rolecall.streaming.ingest import run_available
+from rolecall.streaming.ingest import fitting_state, run_available
 
 SALTS = 8
 
@@ -72,13 +72,14 @@ def send_outcomes(
 
 def store_stream(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     """Append a stream to a parquet table, exactly once through the sink's own log."""
-    return (
+    writer = (
         stream.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .format("parquet")
-        .start(target)
     )
+    with fitting_state(stream.sparkSession):
+        return writer.start(target)
 
 
 def attempt_states(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:

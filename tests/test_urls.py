@@ -34,7 +34,7 @@ FIXED = [
     "https://a.com/apply/apply", "jobs.lever.co/x?a=1", "/p?ref=1", "", "x/apply;v=1",
     "https://u:p@A.b.com:8080/x;v=1#", "http://h/a;?q=1&=3&k", "localhost:80/a",
     " http://x.y.z.co.uk/", "http://a.com?x=1", "http://a.com/x/apply;", "HTTP://A.com/Apply",
-    "https://www.homedepot.com/about", "https://careers.anthropic.com/jobs/123",
+    "https://www.example.com/about", "https://careers.example.org/jobs/123",
     "https://job-boards.greenhouse.io/acme/jobs/42", "http://[::1]:80/x", "http://localhost/x",
     "https://www.www.com", "https://a.com/x?q=é&z=%C3%A9&y=%41",
 ]
