@@ -369,15 +369,21 @@ _BARE = "html"
 for _tag in ("script", "style", "nav", "footer"):
     _BARE = f"regexp_replace({_BARE}, '(?s)<{_tag}>.*?</{_tag}>', chr(10), 'g')"
 _BARE = f"regexp_replace(regexp_replace({_BARE}, '(?s)<!--.*?-->', chr(10), 'g'), '<[^>]*>', chr(10), 'g')"
-_DECODED = f"replace(replace({_BARE}, '&quot;', '\"'), '&amp;', '&')"
+
+
+def _decoded(x: str) -> str:
+    """The references the given pages hold; cut-off titles leave some without ';', which HTML reads alike."""
+    return f"regexp_replace(regexp_replace({x}, '&quot;?', '\"', 'g'), '&amp;?', '&', 'g')"
+
+
 PAGE_TEXT = f"""
 page_lines AS (
   SELECT page_id, url, {_trim("regexp_extract(html, '<title>(.*?)</title>', 1)")} AS raw_title,
-    array_to_string(list_filter(list_transform(string_split({_DECODED}, chr(10)), lambda l: {_trim("l")}),
+    array_to_string(list_filter(list_transform(string_split({_decoded(_BARE)}, chr(10)), lambda l: {_trim("l")}),
       lambda l: l <> ''), chr(10)) AS whole FROM pages),
 page_text AS (
   SELECT page_id, url, left(whole, {K.MAX_TEXT}) AS raw_text, whole <> '' AS success,
-    replace(replace(raw_title, '&quot;', '"'), '&amp;', '&') AS page_title FROM page_lines)"""
+    {_decoded("raw_title")} AS page_title FROM page_lines)"""
 
 
 def _text_of(lines: str) -> str:
