@@ -38,12 +38,20 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def _text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def _source_key(source: Column) -> Column:
+    text = source.cast("string")
+    return F.when(text.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), text))
+
+
 def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, size, the source as a key that is never null, and a hash that orders its line."""
-    source = F.col("source").cast("string")
+    """doc_id, size, text_hash, the source as a key that is never null, a hash that orders its line."""
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), word_count(F.col("text")).alias("size"),
-        F.when(source.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), source)).alias("source_key"),
+        _text_hash(F.col("text")).alias("text_hash"), _source_key(F.col("source")).alias("source_key"),
     ).withColumn(
         "line_hash", F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(" "), F.col("size")))
     )
@@ -161,7 +169,7 @@ def mix(
     block = max(1, min(block_words, (total or 0) // least_slots))
     rows = rows.withColumn("line_bucket", hash_bucket(F.col("line_hash"), bucket_count(n)))
     sources = stored(with_blocks(source_targets(rows, repeats, weights), block), "sources")
-    order = [F.col("line_hash"), F.col("doc_id"), F.col("size")]
+    order = [F.col("line_hash"), F.col("doc_id"), F.col("size"), F.col("text_hash")]
     lines = running(rows, ["source_key"], "line_bucket", order, F.col("size"), "line_from", "line_at")
     lines = stored(
         lines.join(sources.select("source_key", "source_size", "target"), "source_key").drop("line_hash"), "lines"
@@ -183,3 +191,29 @@ def taken_words(lines: DataFrame, taken: DataFrame) -> DataFrame:
     key = ["source_key", "line_bucket", "line_at"]
     sums = taken.groupBy(*key).agg(F.sum(F.col("word_to") - F.col("word_from")).alias("taken"))
     return lines.join(sums, key, "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` as the mix takes them, whole: each as often as its taken words hold it, rounded.
+
+    Only the document that a quota cuts, one per source and pass, is ever rounded.
+    """
+    taken = taken_words(*mix(docs, **options)).filter("size > 0")
+    key = ["doc_id", "text_hash", "source_key"]
+    times = taken.groupBy(*key).agg(
+        F.sum(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("long").alias("_times"), F.count(F.lit(1)).alias("_rows")
+    ).filter("_times > 0")
+    times = stored(times, "times").withColumnsRenamed({k: f"_{k}" for k in key})
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    same = [
+        F.col("_row.doc_id").cast("long").eqNullSafe(F.col("_doc_id")), _text_hash(F.col("_row.text")) == F.col("_text_hash"),
+        _source_key(F.col("_row.source")) == F.col("_source_key"),
+    ]
+    joined = rows.join(times, same)
+    # rows that repeat id, text and source share their times evenly
+    at = F.row_number().over(Window.partitionBy("_doc_id", "_text_hash", "_source_key").orderBy(F.xxhash64("_row.text")))
+    own = F.floor(F.col("_times") / F.col("_rows")) + F.when(at <= F.col("_times") % F.col("_rows"), 1).otherwise(0)
+    own_times = joined.withColumn("_own", own.cast("int")).filter("_own > 0")
+    return own_times.select("_row", F.explode(F.sequence(F.lit(1), F.col("_own")))).select(
+        *[F.col(f"_row.`{c}`") for c in docs.columns]
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolecall.llm import binary_tokens, lattice, mixing, multiset, packing, simhash, token_spans
+from rolecall.llm import binary_tokens, lattice, lines, mixing, multiset, neighbours, packing, pseudonyms, simhash, token_spans
 from rolecall.llm.common import table
 from rolecall.session import work_path
 
@@ -69,3 +69,34 @@ def op10_harmonic_pack(spark, sf_dir):
         table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), BYTE_END, with_ids=False
     )
     return packed.drop("ids")
+
+
+#: The key of the registered query only; a real run brings its own.
+EXAMPLE_KEY = "example key"
+
+
+@query
+def op6_pseudonyms(spark, sf_dir):
+    marked = pseudonyms.pseudonymised(table(spark, sf_dir, "documents"), EXAMPLE_KEY)
+    return marked.select("doc_id", "text", *map(_kind_count, pseudonyms.KINDS))
+
+
+def _kind_count(kind: str):
+    return F.size(F.filter("found", lambda x: x["kind"] == kind)).alias(f"n_{kind}")
+
+
+@query
+def op7_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = neighbours.scored(docs, table(spark, sf_dir, "labels"))
+    return found.select("doc_id", neighbours.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query
+def op8_line_dedup(spark, sf_dir):
+    kept = lines.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    left = F.coalesce(F.col("text"), F.lit(""))
+    return kept.select(
+        "doc_id", F.size("gone").alias("n_gone"), F.length(left).cast("long").alias("kept_chars"),
+        F.md5(left.cast("binary")).alias("kept_md5"),
+    )

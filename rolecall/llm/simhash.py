@@ -21,7 +21,7 @@ Components of the links over classes give each document the smallest doc_id it c
 Defined results: a null, empty or blank text has fingerprint zero, linked like any other; a text of
 fewer words than a shingle is one shingle; repeated rows link; the component of a row is the smallest
 doc_id that is not null in it, null if there is none; an empty table gives no rows; other columns are
-ignored.
+ignored, or kept by ``one_of_each``.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rolecall.llm.common import stored
@@ -63,15 +63,22 @@ def simhash(text: str | None, words: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """doc_id, fp: the fingerprint's 64 bits as a long."""
+    """doc_id, text_hash, fp: the fingerprint's 64 bits as a long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = np.array([simhash(t.as_py(), words) for t in batch.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks.view(np.int64))], names=["doc_id", "fp"])
+            marks = np.array([simhash(t.as_py(), words) for t in batch.column("text")], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(marks.view(np.int64))],
+                names=["doc_id", "text_hash", "fp"],
+            )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_hash(F.col("text")).alias("text_hash"), "text")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, fp long")
+
+
+def _text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def bit_statistics(marks: DataFrame) -> tuple[int, np.ndarray]:
@@ -219,18 +226,38 @@ def _partners(most: int):
     return of
 
 
+def _rooted(marks: DataFrame, most: int) -> DataFrame:
+    """fp, first (smallest id and text hash, null ids last), root: one row per distinct fingerprint."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")))
+    classes = stored(marks.groupBy("fp").agg(first.alias("first")), "classes")
+    roots = stored(components(stored(linked(classes, most), "pairs")), "roots")
+    return stored(
+        classes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root")),
+        "rooted",
+    )
+
+
 def near_components(docs: DataFrame, words: int = 3, most: int = 2) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits), component_id."""
     marks = stored(fingerprints(docs, words), "fingerprints")
-    classes = stored(marks.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
-    roots = stored(components(stored(linked(classes, most), "pairs")), "roots")
-    joined = classes.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
-    )
-    rooted = stored(joined, "rooted")
-    smallest = stored(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "smallest")
+    rooted = _rooted(marks, most)
+    smallest = stored(rooted.groupBy("root").agg(F.min("first").alias("first")), "smallest")
     # stored sides, so that a fingerprint or component with much of the table can be split
-    by_mark = stored(rooted.join(smallest, "root").select("fp", "component_id"), "by_mark")
+    by_mark = rooted.join(smallest.select("root", F.col("first.id").alias("component_id")), "root")
+    by_mark = stored(by_mark.select("fp", "component_id"), "by_mark")
     return marks.join(by_mark, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(docs: DataFrame, words: int = 3, most: int = 2) -> DataFrame:
+    """``docs`` with only one document of each component: the one with the smallest doc_id."""
+    marks = stored(fingerprints(docs, words), "fingerprints")
+    kept = stored(_rooted(marks, most).groupBy("root").agg(F.min("first").alias("first")), "kept")
+    kept = kept.select(F.col("first.id").alias("_id"), F.col("first.hash").alias("_hash"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    same = F.col("_row.doc_id").cast("long").eqNullSafe(F.col("_id")) & (_text_hash(F.col("_row.text")) == F.col("_hash"))
+    joined = rows.join(kept, same)
+    # rows that repeat both id and text: one of them
+    at = F.row_number().over(Window.partitionBy("_id", "_hash").orderBy(F.xxhash64("_row.text")))
+    return joined.withColumn("_at", at).filter("_at = 1").select(*[F.col(f"_row.`{c}`") for c in docs.columns])
