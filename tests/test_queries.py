@@ -4,9 +4,8 @@ import pytest
 from compare import connect, oracle_rows, spark_rows
 
 import __spark_entry__ as entry_module
-
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+from oracles import ORACLES
+from rolecall.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
