@@ -26,6 +26,31 @@ def _plain_pieces(text: str) -> list[str]:
     return [p for p in text.replace("\n", " ").split(" ") if p]
 
 
+def _groups(pieces: set[str], keeps_spaces: bool) -> list[tuple[str, list[str]]]:
+    """(what to put between them, pieces) that can stand in one text without changing each other."""
+    if not keeps_spaces:
+        return [(" ", list(pieces))] if pieces else []
+    spaced, bare, rest = [], [], []
+    for p in pieces:
+        if not p[0].isspace():
+            bare.append(p)  # as at the start of a line
+        elif len(p) > 1 and not p[1].isspace():
+            spaced.append(p)  # their own space parts them
+        else:
+            rest.append(p)
+    return [(by, found) for by, found in [("", spaced), ("\n", bare), *(("", [p]) for p in rest)] if found]
+
+
+def _token_spans(found, pieces: list[str], between: str) -> tuple[list[int], list[int]]:
+    """First token of each piece of a text encoded as one, and the one after its last."""
+    if len(pieces) == 1:
+        return [0], [len(found.ids)]
+    begins = np.array([b for b, _ in found.offsets], dtype=np.int64)
+    sizes = np.array([len(p) for p in pieces])
+    stops = np.cumsum(sizes + len(between)) - len(between)
+    return np.searchsorted(begins, stops - sizes).tolist(), np.searchsorted(begins, stops).tolist()
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes.
 
@@ -38,6 +63,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.keeps_spaces = keeps_spaces
         self.pieces = _SPACED.findall if keeps_spaces else _plain_pieces
         self.half = remembered // 2
         self.young: dict[str, bytes] = {}
@@ -47,27 +73,23 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
-    def pieces_of(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece by itself, from one call."""
-        if not pieces:
-            return []
-        found = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(found.ids, dtype="<u4").tobytes()
-        sizes = np.bincount(np.array(found.word_ids, dtype=np.int64), minlength=len(pieces))
-        ends = (np.cumsum(sizes) * 4).tolist()
-        return [ids[b:e] for b, e in zip([0, *ends[:-1]], ends, strict=True)]
+    def pieces_of(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of each piece by itself, from few calls."""
+        out = {}
+        for between, some in _groups(pieces, self.keeps_spaces):
+            found = self.tokenizer.encode(between.join(some), add_special_tokens=False)
+            ids = np.array(found.ids, dtype="<u4").tobytes()
+            for piece, b, e in zip(some, *_token_spans(found, some, between), strict=True):
+                out[piece] = ids[4 * b : 4 * e]
+        return out
 
     def _fill(self, wanted: set[str]) -> None:
         if len(self.young) + len(wanted) > self.half:
             self.old, self.young = self.young, {}
-        missing = []
-        for piece in wanted:
-            ids = self.old.get(piece)
-            if ids is None:
-                missing.append(piece)
-            else:
-                self.young[piece] = ids
-        self.young.update(zip(missing, self.pieces_of(missing), strict=True))
+        missing_all = wanted.difference(self.old)
+        for piece in wanted.difference(missing_all):
+            self.young[piece] = self.old[piece]
+        self.young.update(self.pieces_of(missing_all))
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
@@ -82,7 +104,7 @@ class Encoder:
         if wanted:
             self._fill(wanted.difference(long))
         if long:
-            own = dict(zip(long, self.pieces_of(long), strict=True))
+            own = self.pieces_of(set(long))
             return b"".join([self._one(p, own) for p in pieces])
         try:
             return b"".join(map(self.young.__getitem__, pieces))
@@ -118,6 +140,7 @@ class SpanEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.keeps_spaces = keeps_spaces
         self.cut = _SPACED if keeps_spaces else re.compile(r"[^ \n]+")
         self.remembered = remembered
         self.known: dict[str, tuple[tuple[int, ...], tuple[int, ...]]] = {}
@@ -126,21 +149,24 @@ class SpanEncoder:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [tuple(zip(*x.offsets, strict=True)) or ((), ()) for x in found]
 
-    def pieces_of(self, pieces: list[str]) -> list[tuple[tuple[int, ...], tuple[int, ...]]]:
-        """Spans of each piece's tokens within the piece, from one call."""
-        found = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
-        begins, ends = tuple(zip(*found.offsets, strict=True)) or ((), ())
-        sizes = np.bincount(np.array(found.word_ids, dtype=np.int64), minlength=len(pieces))
-        stops = np.cumsum(sizes).tolist()
-        return [(begins[b:e], ends[b:e]) for b, e in zip([0, *stops[:-1]], stops, strict=True)]
+    def pieces_of(self, pieces: set[str]) -> dict[str, tuple[tuple[int, ...], tuple[int, ...]]]:
+        """Spans of each piece's tokens within the piece."""
+        out = {}
+        for between, some in _groups(pieces, self.keeps_spaces):
+            found = self.tokenizer.encode(between.join(some), add_special_tokens=False)
+            spans, at = found.offsets, 0
+            for piece, first, end in zip(some, *_token_spans(found, some, between), strict=True):
+                own = spans[first:end]
+                out[piece] = (tuple(b - at for b, _ in own), tuple(e - at for _, e in own))
+                at += len(piece) + len(between)
+        return out
 
     def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         if not text or _ODD.search(text):
             begins, ends = self.direct([text])[0] if text else ((), ())
             return np.array(begins, dtype=np.int64), np.array(ends, dtype=np.int64)
         found = [(m.start(), m[0]) for m in self.cut.finditer(text)]
-        missing = list({p for _, p in found}.difference(self.known))
-        own = dict(zip(missing, self.pieces_of(missing), strict=True)) if missing else {}
+        own = self.pieces_of({p for _, p in found}.difference(self.known))
         known = self.known
         spans = [known.get(p) or own[p] for _, p in found]
         if own:
