@@ -21,11 +21,6 @@ _SPACED = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 _LONG = 48
 
 
-def _plain_pieces(text: str) -> list[str]:
-    """For tokenizers that drop white space."""
-    return [p for p in text.replace("\n", " ").split(" ") if p]
-
-
 def _groups(pieces: set[str], keeps_spaces: bool) -> list[tuple[str, list[str]]]:
     """(what to put between them, pieces) that can stand in one text without changing each other."""
     if not keeps_spaces:
@@ -58,13 +53,14 @@ class Encoder:
     remembered: most pieces held at once; the bound on memory.
     """
 
-    def __init__(self, path: str, keeps_spaces: bool, remembered: int = 800_000):
+    def __init__(self, path: str, keeps_spaces: bool, remembered: int = 1_600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.keeps_spaces = keeps_spaces
-        self.pieces = _SPACED.findall if keeps_spaces else _plain_pieces
+        self.learn = self.keys_of if keeps_spaces else self.pieces_of
+        self.line_end = self.direct(["\n"])[0]
         self.half = remembered // 2
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -83,28 +79,46 @@ class Encoder:
                 out[piece] = ids[4 * b : 4 * e]
         return out
 
+    def keys_of(self, keys: set[str]) -> dict[str, bytes]:
+        """Ids of the keys of ``_even``: a word after a space, or a line end and a word."""
+        spaced = [k for k in keys if k[0] != "\n"]
+        found = self.pieces_of({" " + k for k in spaced} | {k[1:] for k in keys if k[0] == "\n"})
+        return {k: self.line_end + found[k[1:]] if k[0] == "\n" else found[" " + k] for k in keys}
+
     def _fill(self, wanted: set[str]) -> None:
         if len(self.young) + len(wanted) > self.half:
             self.old, self.young = self.young, {}
         missing_all = wanted.difference(self.old)
         for piece in wanted.difference(missing_all):
             self.young[piece] = self.old[piece]
-        self.young.update(self.pieces_of(missing_all))
+        self.young.update(self.learn(missing_all))
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
         if _ODD.search(text):
             return self.direct([text])[0]
-        pieces = self.pieces(text)
-        wanted = set(pieces).difference(self.young)
+        if not self.keeps_spaces:
+            pieces = text.split()
+            return self._remembered(text, pieces, set(pieces))
+        # one key per word: line ends go with the word after them
+        pieces = ("\n" + text).replace("\n", " \n").split(" ")[1:]
+        wanted = set(pieces)
+        if "" in wanted or "\n" in wanted or len(text.split()) != len(pieces):
+            # other white space than single spaces and line ends between words
+            found = _SPACED.findall(text)
+            return b"".join(map(self.pieces_of(set(found)).__getitem__, found))
+        return self._remembered(text, pieces, wanted)[len(self.line_end) :]
+
+    def _remembered(self, text: str, pieces: list[str], wanted: set[str]) -> bytes:
+        wanted = wanted.difference(self.young)
         long = [p for p in wanted if len(p) > _LONG]
         if len(wanted) > self.half:  # more than can be remembered: a very long text
-            return self.direct([text])[0]
+            return (self.line_end if self.keeps_spaces else b"") + self.direct([text])[0]
         if wanted:
             self._fill(wanted.difference(long))
         if long:
-            own = self.pieces_of(set(long))
+            own = self.learn(set(long))
             return b"".join([self._one(p, own) for p in pieces])
         try:
             return b"".join(map(self.young.__getitem__, pieces))
@@ -115,7 +129,7 @@ class Encoder:
         for known in (own, self.young, self.old):
             if piece in known:
                 return known[piece]
-        return self.direct([piece])[0]
+        return self.learn({piece})[piece]
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
