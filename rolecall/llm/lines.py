@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 
 from rolecall.llm.common import stored
 
-#: Line hashes up to this many are joined by broadcast; more than that, by an ordinary join.
-BROADCAST_ROWS = 200_000
+#: Line hashes and line numbers up to this many are joined by broadcast; more, by an ordinary join.
+BROADCAST_ROWS = 1_000_000
+WHITE = " \t\r\f"
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -41,13 +42,29 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def occurrences(docs: DataFrame, least_chars: int) -> DataFrame:
-    """_id, _text_hash, line_no, line, line_id of the lines long enough."""
-    lines = keyed(docs).select(
-        "_id", "_text_hash", F.posexplode(F.split("_text", "\n", -1)).alias("line_no", "line")
-    ).withColumn("line", F.trim(F.regexp_replace("line", r"^[\s]+|[\s]+$", ""))).filter(F.length("line") >= least_chars)
+def occurrences(rows: DataFrame, least_chars: int, gone: str | None = None) -> DataFrame:
+    """_id, _text_hash, line_no, line, n (its length), line_id of the lines long enough.
+
+    rows: of ``keyed``; ``gone``: a column with the numbers of lines to leave out.
+    """
+    numbers = [gone] if gone else []
+    lines = rows.select("_id", "_text_hash", *numbers, F.posexplode(F.split("_text", "\n", -1)).alias("line_no", "line"))
+    if gone:
+        lines = lines.filter(F.col(gone).isNull() | ~F.array_contains(gone, F.col("line_no")))
+    lines = lines.withColumn("line", F.trim("line", F.lit(WHITE))).withColumn("n", F.length("line"))
     # 128 bits: two hashes
-    return lines.withColumn("line_id", F.struct(F.xxhash64("line").alias("a"), F.xxhash64("line", F.lit(11)).alias("b")))
+    return lines.filter(F.col("n") >= least_chars).withColumn(
+        "line_id", F.struct(F.xxhash64("line").alias("a"), F.xxhash64("line", F.lit(11)).alias("b"))
+    )
+
+
+def _with_numbers(rows: DataFrame, numbers: DataFrame, column: str) -> DataFrame:
+    """``rows`` of ``keyed`` with each document's line numbers from a stored table, or null."""
+    entries = numbers.agg(F.count(F.lit(1)) + F.coalesce(F.sum(F.size(column)), F.lit(0))).first()[0]
+    found = numbers.select(F.col("_id").alias("_i"), F.col("_text_hash").alias("_h"), column)
+    found = F.broadcast(found) if entries <= BROADCAST_ROWS else found
+    same = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_text_hash") == F.col("_h"))
+    return rows.join(found, same, "left").drop("_i", "_h")
 
 
 def segments(length: int | Column, most: int) -> list[tuple[Column, Column]]:
@@ -67,17 +84,15 @@ def _key(line: Column, start: Column, size: Column, length: Column, k: int) -> C
     return F.xxhash64(F.substring(line, (start + 1).cast("int"), size), length.cast("int"), F.lit(k))
 
 
-def index_keys(line: Column, most: int) -> Column:
-    n = F.length(line)
+def index_keys(line: Column, n: Column, most: int) -> Column:
     return F.array(*[_key(line, s, size, n, k) for k, (s, size) in enumerate(segments(n, most))])
 
 
-def probe_keys(line: Column, most: int) -> Column:
+def probe_keys(line: Column, n: Column, most: int) -> Column:
     """Keys of the substrings that may be a segment of a line ``most`` or fewer characters shorter.
 
     A segment can only have moved by as many places as the edits left of it and right of it allow.
     """
-    n = F.length(line)
     keys = []
     for shorter in range(most + 1):
         for k, (start, size) in enumerate(segments(n - shorter, most)):
@@ -147,11 +162,11 @@ def _moved(s: Column, match: Column, most: int, band: int) -> Column:
 def near_pairs(spark: SparkSession, texts: DataFrame, most: int) -> DataFrame:
     """Pairs (one, other) of line_id of different lines within ``most`` edits.
 
-    texts: stored, distinct line_id with line.
+    texts: stored, distinct line_id with line and n, its length.
     """
     short = F.col("line_id.a")
-    index = texts.select(F.explode(index_keys(F.col("line"), most)).alias("key"), short.alias("id"))
-    probe = texts.select(F.explode(probe_keys(F.col("line"), most)).alias("key"), short.alias("id"))
+    index = texts.select(F.explode(index_keys(F.col("line"), F.col("n"), most)).alias("key"), short.alias("id"))
+    probe = texts.select(F.explode(probe_keys(F.col("line"), F.col("n"), most)).alias("key"), short.alias("id"))
     index = stored(index, "line_index")
     met = stored(probe.join(index.select("key"), "key", "left_semi"), "line_probes")
     shared = index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
@@ -160,9 +175,7 @@ def near_pairs(spark: SparkSession, texts: DataFrame, most: int) -> DataFrame:
     ids = stored(held.select("id").unionByName(met.select("id")).distinct(), "line_ids")
     small = ids.count() <= BROADCAST_ROWS
     some = texts.join(F.broadcast(ids) if small else ids, F.col("line_id.a") == F.col("id"), "left_semi")
-    some = stored(
-        some.select("line_id", "line", F.length("line").alias("n")).withColumn("pairs", letter_pairs(F.col("line"))), "line_texts"
-    )
+    some = stored(some.select("line_id", "line", "n").withColumn("pairs", letter_pairs(F.col("line"))), "line_texts")
     rows = some.withColumn("id", F.col("line_id.a")).select("id", "line_id", "n", "pairs")
     left = stored(held.join(rows, "id").select("key", F.struct("line_id", "n", "pairs").alias("x")), "line_left")
     right = stored(met.unionByName(held).join(rows, "id").select("key", F.struct("line_id", "n", "pairs").alias("y")), "line_right")
@@ -186,7 +199,8 @@ def dropped_lines(docs: DataFrame, most: int = 2, least_chars: int = 24) -> Data
     """_id, _text_hash, gone (line numbers from 0), for documents that lose a line."""
     spark = docs.sparkSession
     place = F.struct("_id", "_text_hash", "line_no")
-    found = stored(occurrences(docs, least_chars).select("_id", "_text_hash", "line_no", "line_id"), "line_places")
+    rows = keyed(docs)
+    found = stored(occurrences(rows, least_chars).select("_id", "_text_hash", "line_no", "line_id"), "line_places")
     first = stored(found.groupBy("line_id").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")), "line_firsts")
     # texts of each line's first occurrence, read where they stand: no text is grouped
     repeated = first.filter("n > 1").select(F.col("line_id.a").alias("id"), "first")
@@ -194,10 +208,8 @@ def dropped_lines(docs: DataFrame, most: int = 2, least_chars: int = 24) -> Data
         found.join(repeated, (F.col("line_id.a") == F.col("id")) & (place != F.col("first")), "inner")
         .groupBy("_id", "_text_hash").agg(F.collect_set("line_no").alias("again")), "line_again",
     )
-    texts = occurrences(docs, least_chars).alias("o").join(
-        again.alias("g"), F.col("o._id").eqNullSafe(F.col("g._id")) & (F.col("o._text_hash") == F.col("g._text_hash")), "left"
-    ).filter(F.col("again").isNull() | ~F.array_contains("again", F.col("line_no"))).select("line_id", "line")
-    texts = stored(texts, "lines")
+    left = occurrences(_with_numbers(rows, again, "again"), least_chars, "again")
+    texts = stored(left.select("line_id", "line", "n"), "lines")
     pairs = near_pairs(spark, texts, most)
     seen = first.select("line_id", "first")
     earlier = pairs.join(seen.select(F.col("line_id").alias("one"), F.col("first").alias("one_first")), "one").join(
@@ -213,8 +225,7 @@ def dropped_lines(docs: DataFrame, most: int = 2, least_chars: int = 24) -> Data
 def without_repeats(docs: DataFrame, most: int = 2, least_chars: int = 24) -> DataFrame:
     """``docs`` with repeated and near-repeated lines taken out of ``text``, and ``gone``: their numbers."""
     gone = stored(dropped_lines(docs, most, least_chars), "line_gone")
-    gone = gone.select(F.col("_id").alias("_i"), F.col("_text_hash").alias("_h"), "gone")
-    joined = keyed(docs).join(gone, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_text_hash") == F.col("_h")), "left")
+    joined = _with_numbers(keyed(docs), gone, "gone")
     lines = F.split("_text", "\n", -1)
     kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("gone", i)), "\n")
     text = F.when(F.col("gone").isNull(), F.col("_text")).otherwise(kept)

@@ -41,7 +41,7 @@ FROM placed
 ORACLES["op8_line_dedup"] = r"""
 WITH lines AS (
   SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS line_no,
-    regexp_replace(unnest(string_split(text, chr(10))), '^\s+|\s+$', '', 'g') AS line
+    regexp_replace(unnest(string_split(text, chr(10))), '^[ \t\r\f]+|[ \t\r\f]+$', '', 'g') AS line
   FROM documents
 ), long_lines AS (
   SELECT * FROM lines WHERE length(line) >= 24
