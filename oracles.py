@@ -485,7 +485,12 @@ SELECT doc_id, 'Name: there' || chr(10) || 'Company: ' || source || ' & ' || lan
   || chr(10) || 'URL: https://jobs.example.com/' || doc_id || chr(10) || chr(10) || 'Posting:' || chr(10)
   || left(text, {K.DRAFT_POSTING_CHARS}) || chr(10) || chr(10) || 'Resume:' || chr(10)
   || left(resume, {K.DRAFT_RESUME_CHARS}) || {_text(T.DRAFT_ASK)} AS prompt FROM documents, r""",
-    "stored_files": "SELECT DISTINCT 'generic' AS platform FROM documents",
+    "stored_files": f"""
+WITH d AS (
+  SELECT *, source || ' & ' || lang AS company, {_DOC_TITLE} AS title,
+    TIMESTAMP '2024-01-01 00:00:00' + to_seconds(doc_id) AS t FROM documents),
+k AS (SELECT {_slug("company")} || '__' || {_slug("title")} || '__' || strftime(t, '%Y%m%d_%H%M%S') AS job_key FROM d)
+SELECT DISTINCT CAST('0x' || left(md5(job_key), 4) AS INT) % 64 AS folder FROM k""",
     "posting_documents": f"""
 WITH d AS (
   SELECT *, source || ' & ' || lang AS company, {_DOC_TITLE} AS title,

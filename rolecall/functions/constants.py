@@ -93,7 +93,8 @@ ADDRESS_PATTERNS = [
     "{first}{last}",
 ]
 # a local part: dot- or hyphen-separated segments, each starting with a letter
-LOCAL_PART = r"[a-z][a-z0-9]*(?:[.\-][a-z][a-z0-9]*)*"
+# a local part is such segments joined by dots or hyphens
+LOCAL_SEGMENT = r"[a-z][a-z0-9]*"
 SHORT_LOCAL_PART = 5
 
 # --- fixed values: outreach ---------------------------------------------------------------

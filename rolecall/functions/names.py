@@ -59,8 +59,9 @@ def ascii_letters(c: Column) -> Column:
 
 def _name_words(name: Column) -> Column:
     """Words of a name after one trailing ', CREDENTIAL ...' is cut."""
-    tail = r"[\p{L}\p{N}_\-.]+"
-    cut = rf",[{WS}]*[A-Z]{tail}(?:[{WS}]+[A-Z]{tail})*\z"
+    # repeats that never give back: a long tail is a loop, not a recursion
+    tail = r"[\p{L}\p{N}_\-.]++"
+    cut = rf",[{WS}]*+[A-Z]{tail}(?:[{WS}]++[A-Z]{tail})*+\z"
     return words(F.when(name.contains(","), F.regexp_replace(name, cut, "")).otherwise(name))
 
 

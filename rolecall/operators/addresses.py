@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rolecall.functions import constants as K
@@ -12,22 +12,38 @@ from rolecall.operators.domains import first_success
 from rolecall.operators.skew import first_by, lookup_join
 
 
+def _local_before(word: Column, segment: str, first: str) -> Column:
+    """The longest local part at a word's end: segments joined by dots or hyphens.
+
+    Worked backwards: what is cut off first is everything up to the last character that no local
+    part can hold, then all segments up to the last one that is not valid, then those that cannot
+    come first.
+    """
+    run = F.regexp_replace(word, r"(?s)\A.*[^\p{L}\p{N}_.\-]", "")
+    parts = F.split(run, r"[.\-]", -1)
+    bad = F.array_max(F.transform(parts, lambda p, i: F.when(~p.rlike(rf"(?iu)\A{segment}\z"), i)))
+    valid = F.slice(parts, F.coalesce(bad, F.lit(-1)) + 2, F.size(parts))
+    at = F.array_min(F.transform(valid, lambda p, i: F.when(p.rlike(rf"(?iu)\A{first}\z"), i)))
+    kept = F.slice(valid, at + 1, F.greatest(F.size(valid), F.lit(1)))
+    size = F.aggregate(kept, F.lit(0), lambda n, p: n + F.length(p) + 1) - 1
+    return F.when(at.isNotNull(), F.right(run, size)).otherwise(F.lit(""))
+
+
 def mined_addresses(
-    snippets: DataFrame, fields: list[str], local_part: str = K.LOCAL_PART
+    snippets: DataFrame, fields: list[str], segment: str = K.LOCAL_SEGMENT, first: str = K.LOCAL_SEGMENT
 ) -> DataFrame:
     """Every local@host in the text columns: local, host, host as far as it may be a name.
 
     Each '@' is looked at by itself: the local part must end right before it.
     """
     keep = [c for c in snippets.columns if c not in fields]
-    local = rf"(?iu)(?:^|[^\p{{L}}\p{{N}}_])({local_part})\z"
     pieces = F.col("_pieces")
     around = F.transform(
         F.sequence(F.lit(1), F.size(pieces) - 1),
         lambda i: F.struct(
             # a local part holds no blank, so the last word will do
-            F.regexp_extract(F.substring_index(F.get(pieces, i - 1), " ", -1), local, 1).alias("local"),
-            F.regexp_extract(F.get(pieces, i), r"^[\p{L}\p{N}_.\-]+", 0).alias("host"),
+            _local_before(F.substring_index(F.get(pieces, i - 1), " ", -1), segment, first).alias("local"),
+            F.regexp_extract(F.get(pieces, i), r"^[\p{L}\p{N}_.\-]++", 0).alias("host"),
         ),
     )
     texts = snippets.select(

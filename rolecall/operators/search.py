@@ -159,7 +159,10 @@ def sticky_backends(outcomes: DataFrame, queries: int = 6, backends: list[str] |
     slot = F.array_position(F.array(*[F.lit(b) for b in order]), F.col("backend")) - 1
     masks = (
         outcomes.withColumn("_slot", slot)
-        .filter((F.col("_slot") >= 0) & F.col("query_idx").between(0, queries - 1))
+        .filter(F.col("_slot") >= 0)
+        .withColumn("query_idx", F.when(F.col("query_idx").between(0, queries - 1), F.col("query_idx")).otherwise(
+            F.raise_error(F.concat(F.lit("query outside the plan: "), F.coalesce(F.col("query_idx").cast("string"), F.lit("null"))))
+        ))
         .groupBy("job_key")
         .agg(
             F.bit_or(

@@ -13,15 +13,23 @@ from pyspark.sql import functions as F
 
 from rolecall.functions import constants as K
 from rolecall.operators import addresses, domains, outreach, pages, postings, reconcile, search
+from rolecall.operators.skew import first_by
 
 
 def posting_run(crawled: DataFrame, answers: DataFrame, as_of: Column) -> tuple[DataFrame, DataFrame]:
     """(postings, quarantine) from crawled pages and the model's answers to their text.
 
-    answers: canonical_url, response.
+    answers: canonical_url, response. One page and one answer per address count; a page without an
+    answer is quarantined.
     """
-    usable, failed = pages.split_success(pages.page_texts(crawled))
-    checked = postings.checked_responses(usable.join(answers, "canonical_url"))
+    texts = first_by(pages.page_texts(crawled), ["canonical_url"], [F.desc("success"), F.xxhash64("raw_text")])
+    usable, failed = pages.split_success(texts)
+    one_answer = first_by(answers.select("canonical_url", "response"), ["canonical_url"], [F.col("response").isNull(), F.xxhash64("response")])
+    # one row per address on both sides, so no address is hot
+    answered = usable.join(one_answer.withColumn("has_answer", F.lit(True)), "canonical_url", "left")
+    checked = postings.checked_responses(answered).withColumn(
+        "problem", F.when(F.col("has_answer").isNull(), "no answer").otherwise(F.col("problem"))
+    ).drop("has_answer")
     stamped = postings.with_default_time(
         checked.withColumn("scraped_at", F.lit(None).cast("timestamp")), "scraped_at", as_of
     )

@@ -167,10 +167,13 @@ def draft_prompts(spark, sf_dir):
 
 @query
 def posting_documents(spark, sf_dir):
-    """Postings written as JSON documents and read back with the fixed schema."""
+    """Postings written as JSON documents in three goes, some of them anew, and read back."""
     path = session.work_path(spark, "postings")
     rows = postings.with_posting_key(I.documents_as_postings(spark, sf_dir))
-    writers.write_postings(rows.drop("doc_id"), path)
+    number = F.col("doc_id")
+    goes = [rows.filter(number % 2 == 0).withColumn("description", F.lit("old")), rows.filter(number % 4 == 0), rows.filter(number % 4 != 0)]
+    for go in goes:
+        writers.write_postings(go.drop("doc_id"), path)
     return readers.read_postings(spark, path).select(
         "job_key", "url", "platform", "job_title", "company", "location", "description"
     )
@@ -178,13 +181,13 @@ def posting_documents(spark, sf_dir):
 
 @query
 def stored_files(spark, sf_dir):
-    """Platforms of the stored documents whose files are listed, newest first."""
+    """Folders of the stored documents whose files are listed."""
     path = session.work_path(spark, "listing")
     rows = postings.with_posting_key(I.documents_as_postings(spark, sf_dir))
     writers.write_postings(rows.drop("doc_id"), path)
     files = readers.list_postings(spark, path)
-    platform = F.regexp_extract("path", "_folder=([^/]+)/", 1)
-    return files.select(platform.alias("platform")).distinct()
+    folder = F.regexp_extract("path", "_part=([0-9]+)/", 1).cast("int")
+    return files.filter(F.col("length") > 0).select(folder.alias("folder")).distinct()
 
 
 @query
@@ -283,7 +286,7 @@ def mined_addresses(spark, sf_dir):
 def mined_document_addresses(spark, sf_dir):
     """Addresses in the document texts, with a local-part rule that allows digit segments."""
     docs = I.table(spark, sf_dir, "documents").select("doc_id", "text")
-    return addresses.mined_addresses(docs, ["text"], r"[a-z][a-z0-9.\-]*")
+    return addresses.mined_addresses(docs, ["text"], r"[a-z0-9]*")
 
 
 def _text_domains(spark, sf_dir):

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rolecall.session import stored
+
 
 LIST_SIZE = 1000
 
@@ -35,10 +38,28 @@ def upsert_contacts(docs: DataFrame, nested: DataFrame) -> DataFrame:
     return kept.unionByName(fields.join(nested, "job_key"))
 
 
-def write_postings(postings: DataFrame, path: str) -> None:
-    """One JSON object per line, a folder per platform; the posting key is a column."""
-    kept = postings.withColumn("_folder", F.col("platform"))
-    kept.write.mode("overwrite").partitionBy("_folder").json(path)
+def write_postings(postings: DataFrame, path: str, parts: int = 64) -> None:
+    """Add or replace postings by key; all others stay.
+
+    One JSON object per line, in folders by a hash of the posting key. Only folders that hold a
+    written key are read and written again; a null key is one key.
+    """
+    spark = postings.sparkSession
+    number = F.conv(F.substring(F.md5(F.coalesce("job_key", F.lit(""))), 1, 4), 16, 10).cast("int")
+    fresh = stored(postings.withColumn("_part", number % parts), "postings")
+    touched = [r[0] for r in fresh.select("_part").distinct().collect()]  # at most ``parts`` numbers
+    try:
+        old = spark.read.schema(fresh.schema).json(path).filter(F.col("_part").isin(touched))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        merged = fresh
+    else:
+        keys = fresh.select(F.col("job_key").alias("_key")).distinct()
+        kept = old.join(keys, F.col("job_key").eqNullSafe(F.col("_key")), "left_anti")
+        merged = stored(kept.select(*fresh.columns).unionByName(fresh), "postings")
+    writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("_part").json(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

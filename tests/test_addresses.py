@@ -4,6 +4,7 @@ import re
 from pyspark.sql import functions as F
 
 from rolecall.functions import constants as K
+from rolecall.functions import names as N
 from rolecall.operators import addresses, domains
 
 
@@ -111,3 +112,13 @@ def test_contact_addresses(spark):
     assert len(first) == 4 and first["acme", "Jane Doe"] == "jdoe@acme.com"
     total = addresses.coverage(got.fillna("?", ["company"]), ["company"]).filter("company = 'acme'").collect()[0]
     assert (total.contacts, total.with_address) == (2, 2)
+
+
+def test_long_words_and_names(spark):
+    words = {"dotted": "a." * 500_000 + "a@acme.com", "broken": "a." * 500_000 + "1@acme.com", "plain": "x jo.do@acme.com"}
+    rows = spark.createDataFrame(list(words.items()), "name string, text string")
+    found = {r["name"]: len(r["local"]) for r in addresses.mined_addresses(rows, ["text"]).collect()}
+    assert found == {"dotted": 1_000_001, "plain": 5}
+    name = "Jane Doe, " + "PhD " * 250_000
+    split = N.with_first_last(spark.createDataFrame([(name.strip(),)], "name string"), "name").collect()
+    assert len(split) == 1

@@ -1,6 +1,7 @@
 import os
 import subprocess
 import sys
+import time
 
 from pyspark.sql import functions as F
 
@@ -95,3 +96,20 @@ def test_pass_travels_without_the_package(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "done" in out.stdout, out.stderr[-2000:]
+
+
+def test_broken_pages_of_a_megabyte_are_linear():
+    million = 1_000_000
+    bad = {
+        "unclosed tags": "<a" * (million // 2),
+        "unclosed tags before a bracket": "<a " * (million // 3) + ">",
+        "odd quotes": "<a \"<b '" * (million // 8) + ">",
+        "unmatched end tags": "<b>" * (million // 8) + "</i>" * (million // 8),
+        "end tags behind a stronger element": "<span><div>" + "<b>" * (million // 8) + "</span>" * (million // 12),
+        "nested links": "<a href=x><div>text" * (million // 19),
+        "open declarations": "<!x " * (million // 4),
+    }
+    for name, page in bad.items():
+        began = time.process_time()
+        H.scan(page)
+        assert time.process_time() - began < 5, name
