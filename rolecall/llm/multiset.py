@@ -54,13 +54,29 @@ def _lanes(hashes: Column, shift: int, mask: int, modulus: int | None) -> Column
     return F.aggregate(hashes, F.lit(0).cast("long"), step)
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, as the element of a one-row list."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def fingerprint(text: Column) -> Column:
     """struct(exact, like, n): packed lanes as arrays of longs, and the number of sentences."""
-    found = paragraphs(text)
-    exact = [_lanes(_hashes(found, seed), shift, LOW16, LOW16) for seed in range(EXACT) for shift in (0, 16)]
-    pieces = F.flatten(F.transform(found, sentences))
-    like = [_lanes(_hashes(pieces, 1000 + seed), bit, LOW1, None) for seed in range(LIKE) for bit in range(32)]
-    return F.struct(F.array(*exact).alias("exact"), F.array(*like).alias("like"), F.size(pieces).cast("long").alias("n"))
+    def exact(found: Column, seed: int) -> Column:
+        return _let(_hashes(found, seed), lambda h: F.array(*[_lanes(h, shift, LOW16, LOW16) for shift in (0, 16)]))
+
+    def like(pieces: Column, seed: int) -> Column:
+        return _let(_hashes(pieces, 1000 + seed), lambda h: F.array(*[_lanes(h, bit, LOW1, None) for bit in range(32)]))
+
+    def whole(found: Column, pieces: Column) -> Column:
+        return F.struct(
+            F.concat(*[exact(found, seed) for seed in range(EXACT)]).alias("exact"),
+            F.concat(*[like(pieces, seed) for seed in range(LIKE)]).alias("like"),
+            F.size(pieces).cast("long").alias("n"),
+        )
+
+    return _let(
+        paragraphs(text), lambda found: _let(F.flatten(F.transform(found, sentences)), lambda pieces: whole(found, pieces))
+    )
 
 
 def _hex(value: Column) -> Column:
@@ -109,10 +125,13 @@ def likeness(one: Column, other: Column) -> Column:
 
 def signed(df: DataFrame, name: str) -> DataFrame:
     """Add to a fingerprint column its sign sums and their squared length, worked out once."""
-    held = df.withColumn("_signs", _signs(F.col(name)))
-    held = held.withColumn("_norm", _dot(F.col("_signs"), F.col("_signs")))
-    whole = F.struct(f"{name}.exact", f"{name}.like", f"{name}.n", F.col("_signs").alias("signs"), F.col("_norm").alias("norm"))
-    return held.withColumn(name, whole).drop("_signs", "_norm")
+    def with_norm(signs: Column) -> Column:
+        return F.struct(
+            F.col(f"{name}.exact").alias("exact"), F.col(f"{name}.like").alias("like"), F.col(f"{name}.n").alias("n"),
+            signs.alias("signs"), _dot(signs, signs).alias("norm"),
+        )
+
+    return df.withColumn(name, _let(_signs(F.col(name)), with_norm))
 
 
 def _place(bounds: list[int], value: Column) -> Column:
@@ -159,7 +178,7 @@ def with_next(docs: DataFrame, ranges_per_partition: int = 4) -> DataFrame:
     dealt = dealt.select("doc_id", "text", F.explode("_copies").alias("_copy")).select(
         "doc_id", "text", F.col("_copy.r").alias("_range"), F.col("_copy.ghost").alias("_ghost")
     )
-    dealt = dealt.repartition("_range").withColumn("mark", fingerprint(F.col("text")))
+    dealt = settled(dealt.repartition("_range").withColumn("mark", fingerprint(F.col("text"))), "mark")
     order = Window.partitionBy("_range").orderBy("_ghost", F.desc_nulls_last("doc_id"), F.desc(F.xxhash64("text")))
     third = F.floor(F.length("text") / 3).cast("int")
     chained = dealt.withColumn("next_text", F.lead("text").over(order)).withColumn("next_mark", F.lead("mark").over(order))
