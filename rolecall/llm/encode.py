@@ -149,7 +149,7 @@ class SpanEncoder:
     Recurring pieces are remembered as the spans of their tokens from the piece's first character.
     """
 
-    def __init__(self, path: str, keeps_spaces: bool, remembered: int = 400_000):
+    def __init__(self, path: str, keeps_spaces: bool, remembered: int = 800_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -157,22 +157,23 @@ class SpanEncoder:
         self.keeps_spaces = keeps_spaces
         self.cut = _SPACED if keeps_spaces else re.compile(r"[^ \n]+")
         self.remembered = remembered
-        self.known: dict[str, tuple[tuple[int, ...], tuple[int, ...]]] = {}
+        self.known: dict[str, tuple[bytes, bytes]] = {}
 
     def direct(self, texts: list[str]) -> list[tuple[tuple[int, ...], tuple[int, ...]]]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [tuple(zip(*x.offsets, strict=True)) or ((), ()) for x in found]
 
-    def pieces_of(self, pieces: set[str]) -> dict[str, tuple[tuple[int, ...], tuple[int, ...]]]:
-        """Spans of each piece's tokens within the piece."""
+    def pieces_of(self, pieces: set[str]) -> dict[str, tuple[bytes, bytes]]:
+        """Begins and ends of each piece's tokens within the piece, as 32-bit integers."""
         out = {}
         for between, some in _groups(pieces, self.keeps_spaces):
             found = self.tokenizer.encode(between.join(some), add_special_tokens=False)
-            spans, at = found.offsets, 0
-            for piece, first, end in zip(some, *_token_spans(found, some, between), strict=True):
-                own = spans[first:end]
-                out[piece] = (tuple(b - at for b, _ in own), tuple(e - at for _, e in own))
-                at += len(piece) + len(between)
+            spans = np.array(found.offsets, dtype="<i4").reshape(-1, 2)
+            starts = np.cumsum([0, *(len(p) + len(between) for p in some[:-1])]).astype("<i4")
+            shift = starts[np.searchsorted(starts, spans[:, 0], side="right") - 1] if len(spans) else 0
+            begins, ends = (spans[:, 0] - shift).tobytes(), (spans[:, 1] - shift).tobytes()
+            for piece, b, e in zip(some, *_token_spans(found, some, between), strict=True):
+                out[piece] = (begins[4 * b : 4 * e], ends[4 * b : 4 * e])
         return out
 
     def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -187,11 +188,10 @@ class SpanEncoder:
             if len(known) + len(own) > self.remembered:
                 known.clear()
             known.update((p, s) for p, s in own.items() if len(p) <= _LONG)
-        sizes = [len(s[0]) for s in spans]
-        total = sum(sizes)
+        sizes = [len(s[0]) // 4 for s in spans]
         shift = np.repeat(np.array([at for at, _ in found], dtype=np.int64), sizes)
-        begins = np.fromiter((b for s in spans for b in s[0]), dtype=np.int64, count=total) + shift
-        ends = np.fromiter((e for s in spans for e in s[1]), dtype=np.int64, count=total) + shift
+        begins = np.frombuffer(b"".join([s[0] for s in spans]), dtype="<i4") + shift
+        ends = np.frombuffer(b"".join([s[1] for s in spans]), dtype="<i4") + shift
         return begins, ends
 
 
