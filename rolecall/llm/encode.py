@@ -157,42 +157,53 @@ class SpanEncoder:
         self.keeps_spaces = keeps_spaces
         self.cut = _SPACED if keeps_spaces else re.compile(r"[^ \n]+")
         self.remembered = remembered
-        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.known: dict[str, bytes] = {}
 
     def direct(self, texts: list[str]) -> list[tuple[tuple[int, ...], tuple[int, ...]]]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [tuple(zip(*x.offsets, strict=True)) or ((), ()) for x in found]
 
-    def pieces_of(self, pieces: set[str]) -> dict[str, tuple[bytes, bytes]]:
-        """Begins and ends of each piece's tokens within the piece, as 32-bit integers."""
+    def pieces_of(self, pieces: set[str]) -> dict[str, bytes]:
+        """(begin, end) of each piece's tokens within the piece, as pairs of 32-bit integers."""
         out = {}
         for between, some in _groups(pieces, self.keeps_spaces):
             found = self.tokenizer.encode(between.join(some), add_special_tokens=False)
             spans = np.array(found.offsets, dtype="<i4").reshape(-1, 2)
             starts = np.cumsum([0, *(len(p) + len(between) for p in some[:-1])]).astype("<i4")
-            shift = starts[np.searchsorted(starts, spans[:, 0], side="right") - 1] if len(spans) else 0
-            begins, ends = (spans[:, 0] - shift).tobytes(), (spans[:, 1] - shift).tobytes()
+            if len(spans):
+                spans = spans - starts[np.searchsorted(starts, spans[:, 0], side="right") - 1][:, None]
+            pairs = spans.tobytes()
             for piece, b, e in zip(some, *_token_spans(found, some, between), strict=True):
-                out[piece] = (begins[4 * b : 4 * e], ends[4 * b : 4 * e])
+                out[piece] = pairs[8 * b : 8 * e]
         return out
 
+    def _cut(self, text: str) -> tuple[list[str], np.ndarray]:
+        """(pieces, where each begins)."""
+        if self.keeps_spaces:  # the pieces cover the text
+            pieces = self.cut.findall(text)
+            sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+            return pieces, np.cumsum(sizes) - sizes
+        found = [(m.start(), m[0]) for m in self.cut.finditer(text)]
+        return [p for _, p in found], np.array([at for at, _ in found], dtype=np.int64)
+
     def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         if not text or _ODD.search(text):
             begins, ends = self.direct([text])[0] if text else ((), ())
             return np.array(begins, dtype=np.int64), np.array(ends, dtype=np.int64)
-        found = [(m.start(), m[0]) for m in self.cut.finditer(text)]
-        own = self.pieces_of({p for _, p in found}.difference(self.known))
+        pieces, starts = self._cut(text)
         known = self.known
-        spans = [known.get(p) or own[p] for _, p in found]
+        own = self.pieces_of(set(pieces).difference(known))
         if own:
+            spans = [own[p] if p in own else known[p] for p in pieces]
             if len(known) + len(own) > self.remembered:
                 known.clear()
             known.update((p, s) for p, s in own.items() if len(p) <= _LONG)
-        sizes = [len(s[0]) // 4 for s in spans]
-        shift = np.repeat(np.array([at for at, _ in found], dtype=np.int64), sizes)
-        begins = np.frombuffer(b"".join([s[0] for s in spans]), dtype="<i4") + shift
-        ends = np.frombuffer(b"".join([s[1] for s in spans]), dtype="<i4") + shift
-        return begins, ends
+        else:
+            spans = list(map(known.__getitem__, pieces))
+        counts = np.fromiter(map(len, spans), dtype=np.int64, count=len(spans)) >> 3
+        pairs = np.frombuffer(b"".join(spans), dtype="<i4").reshape(-1, 2)
+        shift = np.repeat(starts, counts)
+        return pairs[:, 0] + shift, pairs[:, 1] + shift
 
 
 _SPANS: dict[tuple, SpanEncoder] = {}

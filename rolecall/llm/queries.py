@@ -59,8 +59,7 @@ def op5_lattice(spark, sf_dir):
 @query
 def op9_section_tokens(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    docs = docs.withColumn("sections", token_spans.chunk_sections(F.coalesce("text", F.lit(""))))
-    return token_spans.section_tokens(docs, tokenizer_file("byte_bpe_50k.json"))
+    return token_spans.section_tokens(docs, tokenizer_file("byte_bpe_50k.json"), sections=token_spans.line_chunks)
 
 
 @query

@@ -18,7 +18,7 @@ an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +32,21 @@ COUNTS = (
 )
 
 
+def line_chunks(text: str, longest: int = 1000) -> list[tuple[int, int]]:
+    """Character spans of a text's lines, without their line ends, those over ``longest`` cut into chunks of that many."""
+    spans, at = [], 0
+    for line in text.split("\n"):
+        end = at + len(line)
+        spans += [(b, min(b + longest, end)) for b in range(at, max(end, at + 1), longest)]
+        at = end + 1
+    return spans
+
+
 def line_sections(text: Column) -> Column:
-    """Character spans of a text's lines, without their line ends: array of (from, to)."""
+    """Character spans of a text's lines, without their line ends: array of (from, to).
+
+    Copies the spans line by line: for texts of few lines. ``line_chunks`` takes any text.
+    """
     ends = F.transform(F.split(text, "\n", -1), F.length)
     step = F.aggregate(
         ends,
@@ -78,11 +91,10 @@ def allocate(
     inside = (at >= 0) & (ends <= stops[np.maximum(at, 0)]) & (begins < stops[np.maximum(at, 0)])
     owner = np.where(inside, at, -1)
     crossing = np.zeros(len(begins), dtype=bool)
-    for i in np.flatnonzero(~inside):
+    # a single character outside all sections is no one's and crosses nothing
+    for i in np.flatnonzero(~inside & (ends - begins > 1)):
         b, e = int(begins[i]), int(ends[i])
         chars = [c for c in range(b, e) if not text[c].isspace()] or list(range(b, e))
-        if not chars:  # a byte of a character that another token spans
-            continue
         homes = np.searchsorted(starts, chars, side="right") - 1
         homes = np.where((homes >= 0) & (np.array(chars) < stops[np.maximum(homes, 0)]), homes, -1)
         where, counts = np.unique(homes[homes >= 0], return_counts=True)
@@ -94,16 +106,27 @@ def allocate(
     return owner, crossing
 
 
-def section_tokens(docs: DataFrame, tokenizer: str, keeps_spaces: bool = True, sections: str = "sections") -> DataFrame:
-    """Token counts per section of doc_id, text and an array of (from, to) character spans."""
+def section_tokens(
+    docs: DataFrame, tokenizer: str, keeps_spaces: bool = True, sections: str | Callable = "sections"
+) -> DataFrame:
+    """Token counts per section of doc_id and text.
+
+    sections: the column with an array of (from, to) character spans, or a function of a text (never
+    null) that gives them, such as ``line_chunks``.
+    """
+    column = sections if isinstance(sections, str) else None
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = spans_encoder(tokenizer, keeps_spaces)
         for batch in batches:
             columns: list[list] = [[] for _ in range(7)]
-            for doc_id, text, spans in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                text = text or ""
-                given = [(s["from"], s["to"]) for s in spans or [] if s and s["from"] is not None and s["to"] is not None]
+            given_spans = batch.column(2).to_pylist() if column else [None] * batch.num_rows
+            for doc_id, text, spans in zip(batch.column(0).to_pylist(), batch.column(1), given_spans, strict=True):
+                text = text.as_py() or ""
+                if column:
+                    given = [(s["from"], s["to"]) for s in spans or [] if s and s["from"] is not None and s["to"] is not None]
+                else:
+                    given = sections(text)
                 clean = clean_sections(given, len(text))
                 full = [i for i, (b, e) in enumerate(clean) if b < e]
                 begins, ends = encode(text)
@@ -124,8 +147,6 @@ def section_tokens(docs: DataFrame, tokenizer: str, keeps_spaces: bool = True, s
             names = ["doc_id", "section", "section_from", "section_to", "n_tokens", "n_crossing", "doc_tokens"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text",
-        F.col(sections).cast("array<struct<from:int,to:int>>").alias("sections"),
-    )
+    spans = [F.col(column).cast("array<struct<from:int,to:int>>").alias("sections")] if column else []
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *spans)
     return rows.mapInArrow(count, COUNTS)

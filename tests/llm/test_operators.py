@@ -316,6 +316,8 @@ def test_sections(spark, odd_docs, no_docs):
     owner, crossing = token_spans.allocate("abcdef", begins, ends, [(0, 3), (3, 6)])
     assert owner.tolist() == [0, 1, 1] and crossing.tolist() == [False, True, False]
     assert token_spans.section_tokens(docs.limit(0), tokenizer_file(BYTE)).count() == 0
+    by_text = token_spans.section_tokens(odd_docs, tokenizer_file(BYTE), sections=lambda t: token_spans.line_chunks(t, 7))
+    assert sorted(map(str, by_text.collect())) == sorted(map(str, rows))
     nulls = odd_docs.withColumn("sections", F.lit(None).cast("array<struct<from:int,to:int>>"))
     assert token_spans.section_tokens(nulls, tokenizer_file(BYTE)).count() == odd_docs.count()
 
