@@ -49,35 +49,44 @@ def _shape(word: str) -> str:
     return out[:8]
 
 
-class Features:
-    """Hashed feature counts of texts; what is known of a word is remembered."""
+class _Words(dict):
+    """Word to ``word feature * SHAPES + shape feature``; what is known of short words is remembered."""
 
-    def __init__(self, remembered: int = 400_000):
+    def __init__(self, remembered: int):
+        super().__init__()
         self.remembered = remembered
-        self.known: dict[str, tuple[int, int]] = {}
 
-    def _learn(self, word: str) -> tuple[int, int]:
-        shape = _shape(word)
-        plain = "".join(c for c in word.lower() if c.isalnum())
-        found = (zlib.crc32(plain.encode()) % WORDS, zlib.crc32(shape.encode()) % (SHAPES - 1))
+    def __missing__(self, word: str) -> int:
+        # most words are letters and at most one mark at their end
+        body, mark = (word, "") if word[-1:].isalnum() else (word[:-1], word[-1:])
+        if body.isalpha() and (body.islower() or body[1:].islower() and body[0].isupper()):
+            plain, shape = body.lower(), ("a" if body.islower() else "Aa") + mark
+        else:
+            plain, shape = "".join(c for c in word.lower() if c.isalnum()), _shape(word)
+        found = zlib.crc32(plain.encode()) % WORDS * SHAPES + zlib.crc32(shape.encode()) % (SHAPES - 1)
         if len(word) <= 48:
-            if len(self.known) >= self.remembered:
-                self.known.clear()
-            self.known[word] = found
+            if len(self) >= self.remembered:
+                self.clear()
+            self[word] = found
         return found
 
+
+class Features:
+    """Hashed feature counts of texts; a word repeats the one before when both give the same features."""
+
+    def __init__(self, remembered: int = 400_000):
+        self.words = _Words(remembered)
+
     def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """(features, damped counts), the features in order."""
         words = (text or "").split()
         if not words:
             return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.float32)
-        known, learn = self.known, self._learn
-        both = np.array([known.get(w) or learn(w) for w in words], dtype=np.int64)
-        shapes = both[:, 1]
+        codes = np.fromiter(map(self.words.__getitem__, words), dtype=np.int64, count=len(words))
+        plain, shapes = codes // SHAPES, codes % SHAPES
         pairs = (shapes[:-1] * 31 + shapes[1:] * 17 + 7) % (SHAPES - 1)
-        repeats = sum(a == b for a, b in zip(words, words[1:], strict=False))
-        counts = np.bincount(np.concatenate([both[:, 0], WORDS + shapes, WORDS + pairs]), minlength=FEATURES)
-        counts[FEATURES - 1] = repeats
+        counts = np.bincount(np.concatenate([plain, WORDS + shapes, WORDS + pairs]), minlength=FEATURES)
+        counts[FEATURES - 1] = np.count_nonzero(codes[1:] == codes[:-1])
         found = np.flatnonzero(counts)
         return found.astype(np.int32), np.log1p(counts[found]).astype(np.float32)
 
