@@ -541,9 +541,9 @@ UNION ALL SELECT 'doc' || doc_id, line_no, url, name, role, 'duckduckgo' FROM pr
 QUALIFY row_number() OVER (PARTITION BY job_key, profile_key ORDER BY query_idx, hit_rank) = 1""",
     "found_contacts": _with(SNIPPETS, PROFILES, HITS, FETCHES, STICKY, FOUND)
     + "SELECT job_key, contact_rank, name, role, url, tagged AS source FROM found",
-    "query_yields": _with(SNIPPETS, PROFILES, HITS)
+    "query_yields": _with(SNIPPETS, PROFILES, HITS, FETCHES, STICKY, FOUND)
     + f""", n AS (
-  SELECT *, row_number() OVER (PARTITION BY job_key, profile_key ORDER BY query_idx, hit_rank) = 1 AS fresh FROM hits),
+  SELECT *, row_number() OVER (PARTITION BY job_key, profile_key ORDER BY query_idx, hit_rank) = 1 AS fresh FROM used_hits),
 q AS (SELECT job_key, query_idx, term, count(*) AS hits, count(*) FILTER (fresh) AS new_hits FROM n GROUP BY ALL),
 w AS (SELECT *, coalesce(sum(new_hits) OVER (PARTITION BY job_key ORDER BY query_idx
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM q)
@@ -617,6 +617,7 @@ FROM ready r JOIN after_send a USING (job_key, contact_rank)""",
   CASE WHEN CAST(substr(r.job_key, 2) AS BIGINT) % 2 = 0 THEN a.tried ELSE r.tried END, ',') AS tried
 FROM ready r JOIN after_send a USING (job_key, contact_rank)""",
     "bounce_recipients": _with(NOTICES) + "SELECT message_id, received_at, address FROM notices",
+    "stored_notices": _with(NOTICES) + "SELECT message_id, address FROM notices",
     "bounced_addresses": _with(NOTICES)
     + f"SELECT address, count(*) AS notices FROM notices WHERE received_at >= {_SINCE} GROUP BY address",
     "newest_notices": _with(NOTICES)
@@ -658,3 +659,46 @@ FROM events WHERE event_type = 'signup' GROUP BY ALL""",
     + """SELECT f.job_key, f.contact_rank, f.name, f.tagged AS source, array_to_string(a.candidates, ',') AS email
 FROM found f JOIN addressed a ON 'doc' || a.doc_id = f.job_key AND a.line_no = f.hit_rank""",
 }
+
+
+_RUN = _with(VARIANTS, CANONICAL, PAGE_TEXT) + f""",
+addresses AS (
+  SELECT canonical_url, 'generic' AS platform, page_title, raw_text, success, 'no text extracted' AS failure, t.page_id AS no
+  FROM page_text t JOIN canon c ON c.page_id = t.page_id AND c.variant = 0
+  UNION ALL
+  SELECT 'https://jobs.lever.co/' || source || '/' || doc_id, 'lever', page_title, raw_text, true, NULL, doc_id
+  FROM ({ORACLES["lever_postings"]}) JOIN documents USING (doc_id)
+  UNION ALL
+  SELECT 'https://boards.greenhouse.io/' || ats_company || '/jobs/' || doc_id, 'greenhouse', page_title, raw_text,
+    doc_id % 7 <> 0, 'unreadable answer', doc_id FROM ({ORACLES["ats_postings"]})),
+texts AS (
+  SELECT * FROM addresses
+  QUALIFY row_number() OVER (PARTITION BY canonical_url ORDER BY success DESC, raw_text, page_title) = 1),
+replies AS (
+  SELECT canonical_url, no % 6 AS shape, 'Role ' || no AS title, 'Acme ' || no AS company FROM addresses WHERE no % 6 <> 0
+  QUALIFY row_number() OVER (PARTITION BY canonical_url ORDER BY CASE no % 6
+    WHEN 1 THEN '{{"job_title": "Role ' || no WHEN 4 THEN '{{"job_title": "Role ' || no WHEN 2 THEN '{{"company": "Old'
+    WHEN 3 THEN '{{oops' ELSE '{{"location"' END) = 1),
+checked AS (
+  SELECT t.*, CASE WHEN NOT success THEN failure WHEN shape IS NULL THEN 'no answer' WHEN shape = 3 THEN 'not json' END AS problem,
+    CASE WHEN shape = 5 THEN page_title ELSE title END AS job_title,
+    CASE WHEN shape = 5 THEN '' ELSE company END AS firm, shape
+  FROM texts t LEFT JOIN replies r ON r.canonical_url = t.canonical_url)
+"""
+
+ORACLES["posting_run"] = _RUN + f"""SELECT
+  {_slug("firm")} || '__' || {_slug("job_title")} || '__20240101_000000' AS job_key, canonical_url AS url, platform, job_title,
+  firm AS company, CASE WHEN shape = 5 THEN 'Other' ELSE 'Marketing' END AS job_family,
+  CASE WHEN shape = 5 THEN 'Rome' END AS location, raw_text AS description, shape = 5 AS company_doubtful,
+  job_title = '' AS title_blank FROM checked WHERE problem IS NULL"""
+ORACLES["posting_quarantine"] = _RUN + "SELECT canonical_url, problem FROM checked WHERE problem IS NOT NULL"
+
+ORACLES["send_run"] = _with(RECONCILED) + f""", ready AS (
+  SELECT 'U' || substr(split_part(low, '@', 1), 2) AS job_key, event_id AS contact_rank, low, w.sent_at IS NOT NULL AS sent
+  FROM was w JOIN reconciled r ON r.contact_rank = w.event_id WHERE w.sent_at IS NULL OR r.bounced),
+plan AS (
+  SELECT *, row_number() OVER (PARTITION BY job_key ORDER BY contact_rank) AS send_no FROM ready
+  QUALIFY send_no <= {K.MAX_SEND})
+SELECT job_key, contact_rank, send_no, CASE WHEN sent THEN 'second.' || low ELSE low END AS to_address,
+  'Role for ' || job_key AS subject, 'Hi Jane,' || chr(10) || chr(10) || 'Best,' || chr(10) AS body,
+  CASE WHEN sent THEN 2 ELSE 1 END AS attempt, CASE WHEN sent THEN '[retry 2/2]' ELSE '' END AS attempt_label FROM plan"""

@@ -11,6 +11,7 @@ from rolecall.functions import urls as U
 from rolecall.functions.html import page_facets
 from rolecall.functions.stage import settled
 from rolecall.operators.skew import first_by
+from rolecall.session import last_of_repeated_keys
 
 
 def canonical_pages(pages: DataFrame, url: str = "url") -> DataFrame:
@@ -62,7 +63,11 @@ def split_success(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def with_jsonld(df: DataFrame, source: str = "jsonld") -> DataFrame:
-    """Title, company and location of an embedded posting object; blanks when unreadable."""
+    """Title, company and location of an embedded posting object; blanks when unreadable.
+
+    The last of repeated keys counts.
+    """
+    last_of_repeated_keys(df.sparkSession)
     paths = {
         "ld_title": "$.title",
         "ld_company": "$.hiringOrganization.name",
@@ -106,8 +111,15 @@ ATS_PAYLOAD = "title string, offices array<struct<name:string>>, content string"
 
 
 def ats_texts(payloads: DataFrame) -> DataFrame:
-    """Board API answers (url, body): title, joined offices and entity-encoded content."""
-    read = canonical_pages(payloads).withColumn("_job", F.from_json("body", ATS_PAYLOAD))
+    """Board API answers (url, body): title, joined offices and entity-encoded content.
+
+    A body that is not one JSON object stays as a failed row.
+    """
+    last_of_repeated_keys(payloads.sparkSession)
+    kind = F.schema_of_variant(F.try_parse_json("body"))
+    read = canonical_pages(payloads).withColumn("_job", F.from_json("body", ATS_PAYLOAD)).withColumn(
+        "success", F.coalesce(kind.startswith("OBJECT"), F.lit(False))
+    )
     offices = F.transform("_job.offices", lambda o: F.coalesce(o["name"], F.lit("")))
     staged = (
         read.withColumn("title", F.coalesce("_job.title", F.lit("")))
@@ -117,13 +129,33 @@ def ats_texts(payloads: DataFrame) -> DataFrame:
     company = F.coalesce("ats_company", F.lit(""))
     text = T.posting_text(F.col("title"), company, F.col("location"), F.col("_page.text"))
     return (
-        staged.withColumn("raw_text", text)
+        staged.withColumn("raw_text", F.when(F.col("success"), text).otherwise(""))
         .withColumn("page_title", F.concat("title", F.lit(" at "), company))
-        .withColumn("success", F.lit(True))
+        .withColumn("error", F.when(~F.col("success"), "unreadable answer"))
         .drop("body", "_job", "_page")
     )
 
 
+TEXT_FIELDS = ["canonical_url", "platform", "page_title", "raw_text", "success", "error"]
+
+
+def routed_texts(pages: DataFrame, payloads: DataFrame | None = None) -> DataFrame:
+    """One text per address, each read the way its platform serves it.
+
+    pages: url, html. payloads: url, body of board API answers. Lever pages are read by their
+    blocks, board postings from their API answer; a board address without ids in it, or without a
+    readable answer, falls back to its page, as all other pages are read. Of several readings of
+    an address a good one counts before a failed one, then the API answer, then the first text.
+    """
+    lever = F.coalesce(U.platform(U.host(F.col("url"))) == "lever", F.lit(False))
+    found = lever_texts(pages.filter(lever)).select(*TEXT_FIELDS, F.lit(1).alias("_route"))
+    found = found.unionByName(page_texts(pages.filter(~lever)).select(*TEXT_FIELDS, F.lit(1).alias("_route")))
+    if payloads is not None:
+        answers = ats_texts(payloads).filter(F.col("ats_job_id").isNotNull())
+        found = found.unionByName(answers.select(*TEXT_FIELDS, F.lit(0).alias("_route")))
+    return first_by(found, ["canonical_url"], [F.desc("success"), "_route", "raw_text", "page_title"]).drop("_route")
+
+
 def page_links(pages: DataFrame, css_class: str | None = None) -> DataFrame:
     """Anchors in page order: link_pos, href, link_text."""
     links = F.col("_page.links")

@@ -9,14 +9,16 @@ from rolecall.functions import constants as K
 from rolecall.functions import names as N
 from rolecall.functions import text as T
 from rolecall.functions.stage import settled
+from rolecall.session import last_of_repeated_keys
 
 
 def checked_responses(responses: DataFrame) -> DataFrame:
     """Model answers (response, page_title) to posting fields.
 
     Adds job_title, company, job_family, location and ``problem``: null when the answer is
-    usable, else why it is not. Unusable answers keep null fields.
+    usable, else why it is not. Unusable answers keep null fields. The last of repeated keys counts.
     """
+    last_of_repeated_keys(responses.sparkSession)
     fenced = T.strip(F.col("response"))
     bare = F.regexp_replace(
         F.regexp_replace(fenced, rf"\A```(?:json)?[{T.WS}]*", ""), rf"[{T.WS}]*```\z", ""

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# a key is hot when it holds more than 1/HOT_SHARE of all rows, so fewer than HOT_SHARE keys are
-HOT_SHARE = 64
-SALTS = 32
+# a hot key holds more rows than one of so many even parts, or of the shuffle's parts if there are more
+LEAST_PARTS = 64
 
 
 def top_by(df: DataFrame, keys: list[str], order: list, n: int, rank: str | None = None) -> DataFrame:
@@ -41,16 +40,25 @@ def numbered(df: DataFrame, keys: list[str], order: str, rank: str, width: int =
     return (
         ranged.withColumn("_at", F.row_number().over(within))
         .join(starts, [*keys, "_range"])
-        .withColumn(rank, (F.col("_start") + F.col("_at")).cast("int"))
+        .withColumn(rank, (F.col("_start") + F.col("_at")).cast("long"))
         .drop("_range", "_at", "_start")
     )
 
 
-def hot_keys(df: DataFrame, on: list[str]) -> DataFrame:
-    """Keys holding more than 1/HOT_SHARE of the rows: fewer than HOT_SHARE of them."""
+def even_parts(df: DataFrame) -> int:
+    return max(LEAST_PARTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def hot_keys(df: DataFrame, on: list[str], parts: int | None = None) -> DataFrame:
+    """Keys with more rows than one of ``parts`` even parts, and ``_salts``, the parts their rows fill.
+
+    Fewer than ``parts`` keys are hot, and their salts sum to less than twice ``parts``.
+    """
+    parts = parts or even_parts(df)
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
-    return counts.filter(F.col("_n") * HOT_SHARE > total).select(*on, F.lit(True).alias("_hot"))
+    filled = F.ceil(F.col("_n") * parts / total).cast("int")
+    return counts.filter(F.col("_n") * parts > total).select(*on, filled.alias("_salts"))
 
 
 def lookup_join(
@@ -58,24 +66,25 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``fact`` to a table with one row per key.
 
-    Hot keys (and null ones) are spread over SALTS partitions by the ``spread`` columns and
-    only their dimension rows are copied; every other key joins as usual. The hot set has
-    fewer than HOT_SHARE rows, so it may be broadcast at any scale.
+    A hot key is cut by the ``spread`` columns into as many salts as its rows fill shuffle
+    parts (null keys into all of them), and only its dimension row is copied; every other key
+    joins as usual. Fewer keys than shuffle parts are hot, so the hot set may be broadcast.
     """
-    hot = hot_keys(fact.select(*on), on)
+    parts = even_parts(fact)
+    hot = hot_keys(fact.select(*on), on, parts)
     missing = F.lit(False)
     for key in on:
         missing = missing | F.col(key).isNull()
-    salt: Column = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
-    every = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    salts: Column = F.when(missing, F.lit(parts)).otherwise(F.coalesce("_salts", F.lit(1)))
+    every = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
     left = (
         fact.join(F.broadcast(hot), on, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | missing, salt).otherwise(0))
-        .drop("_hot")
+        .withColumn("_salt", F.pmod(F.xxhash64(*spread), salts).cast("int"))
+        .drop("_salts")
     )
     right = (
         dim.join(F.broadcast(hot), on, "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
+        .withColumn("_salt", F.explode(every))
+        .drop("_salts")
     )
     return left.join(right, [*on, "_salt"], how).drop("_salt")

@@ -285,6 +285,11 @@ def documents_as_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def broken_payloads(payloads: DataFrame) -> DataFrame:
+    """Every seventh API answer is an error page."""
+    return payloads.withColumn("body", F.when(F.col("doc_id") % 7 == 0, "<html>busy</html>").otherwise(F.col("body")))
+
+
 # --- model answers ---------------------------------------------------------------------
 
 
@@ -323,6 +328,20 @@ def model_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def posting_answers(asked: DataFrame) -> DataFrame:
+    """Model answers to addresses (canonical_url, no): canonical_url, response; none to every sixth."""
+    no = F.col("no").cast("string")
+    fields = F.concat(F.lit('"job_title": "Role '), no, F.lit('", "job_family": "Marketing manager"'))
+    company = F.concat(F.lit(', "company": "Acme '), no, F.lit('"'))
+    good = F.concat(F.lit("{"), fields, company, F.lit("}"))
+    repeated = F.concat(F.lit('{"company": "Old", "job_title": 7, '), fields, company, F.lit("}"))
+    answers = pick(
+        F.col("no"), F.array().cast("array<string>"), F.array(good), F.array(repeated), F.array(F.lit("{oops")),
+        F.array(F.lit(None).cast("string"), F.concat(good, F.lit("  ")), good), F.array(F.lit('{"location": "Rome"}')),
+    )
+    return asked.select("canonical_url", F.explode(answers).alias("response"))
+
+
 # --- customers and orders as postings and contacts ------------------------------------------
 
 
@@ -443,6 +462,24 @@ def event_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def user_contacts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(contacts, postings): each user a posting with a draft, each of the user's events a contact."""
+    sent = F.col("email_sent_at").isNotNull()
+    first = F.lower("email_sent_to")
+    contacts = event_contacts(spark, sf_dir).select(
+        F.split_part("email_sent_to", F.lit("@"), F.lit(1)).alias("job_key"),
+        "contact_rank", F.lit("Jane Doe").alias("name"),
+        F.array(first, F.concat(F.lit("second."), first)).alias("candidates"),
+        F.when(sent, F.array(first)).otherwise(F.array().cast("array<string>")).alias("email_tried"),
+        "email_sent_at", "email_sent_to", "email_bounced",
+    )
+    jobs = contacts.select("job_key").distinct().select(
+        "job_key", F.concat(F.lit("Role for "), "job_key").alias("email_subject"),
+        F.lit("Hi there,\n\nBest,\n").alias("email_body"),
+    )
+    return contacts, jobs
+
+
 def as_stream_events(events: DataFrame) -> DataFrame:
     """Events (batch or stream) with an address, an attempt number and a kind."""
     return events.select(

@@ -16,15 +16,16 @@ from rolecall.operators import addresses, domains, outreach, pages, postings, re
 from rolecall.operators.skew import first_by
 
 
-def posting_run(crawled: DataFrame, answers: DataFrame, as_of: Column) -> tuple[DataFrame, DataFrame]:
-    """(postings, quarantine) from crawled pages and the model's answers to their text.
+def posting_run(
+    crawled: DataFrame, answers: DataFrame, as_of: Column, payloads: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(postings, quarantine) from crawled pages, board API answers and the model's answers to their text.
 
-    answers: canonical_url, response. One page and one answer per address count; a page without an
-    answer is quarantined.
+    answers: canonical_url, response. payloads: url, body. One text and one answer per address
+    count; a page without an answer is quarantined.
     """
-    texts = first_by(pages.page_texts(crawled), ["canonical_url"], [F.desc("success"), F.xxhash64("raw_text")])
-    usable, failed = pages.split_success(texts)
-    one_answer = first_by(answers.select("canonical_url", "response"), ["canonical_url"], [F.col("response").isNull(), F.xxhash64("response")])
+    usable, failed = pages.split_success(pages.routed_texts(crawled, payloads))
+    one_answer = first_by(answers.select("canonical_url", "response"), ["canonical_url"], [F.col("response").isNull(), "response"])
     # one row per address on both sides, so no address is hot
     answered = usable.join(one_answer.withColumn("has_answer", F.lit(True)), "canonical_url", "left")
     checked = postings.checked_responses(answered).withColumn(

@@ -264,7 +264,8 @@ def found_contacts(spark, sf_dir):
 
 @query
 def query_yields(spark, sf_dir):
-    return search.query_yield(search.profile_hits(I.search_hits(spark, sf_dir)))
+    used = search.sticky_backends(search.fetch_outcomes(I.fetch_log(spark, sf_dir)))
+    return search.query_yield(search.profile_hits(search.answered_hits(I.search_hits(spark, sf_dir), used)))
 
 
 # --- addresses -------------------------------------------------------------------------------
@@ -482,6 +483,14 @@ def bounce_recipients(spark, sf_dir):
     return rows.select("message_id", "received_at", "address")
 
 
+@query
+def stored_notices(spark, sf_dir):
+    """Messages written as JSON lines, read back as notices."""
+    path = session.work_path(spark, "notices")
+    I.messages(spark, sf_dir).withColumn("received_at", F.col("received_at").cast("timestamp")).write.json(path)
+    return reconcile.bounce_notices(readers.read_notices(spark, path)).select("message_id", "address")
+
+
 @query
 def bounced_addresses(spark, sf_dir):
     since = reconcile.cutoff(_as_of(spark, sf_dir), WEEK_MINUTES)
@@ -594,3 +603,35 @@ def contact_run(spark, sf_dir):
         save=lambda found: session.stored(found, "found"),
     )
     return rows.select("job_key", "contact_rank", "name", "source", F.array_join("candidates", ",").alias("email"))
+
+
+def _posting_run(spark, sf_dir):
+    """Pages of all platforms, with model answers that are missing, repeated or broken."""
+    crawled = readers.read_pages(spark, f"{sf_dir.rstrip('/')}/pages.parquet")
+    lever = I.lever_pages(spark, sf_dir)
+    board = I.broken_payloads(I.ats_payloads(spark, sf_dir))
+    asked = pages.canonical_pages(crawled).select("canonical_url", F.col("page_id").alias("no"))
+    for more in (lever, board):
+        asked = asked.unionByName(pages.canonical_pages(more).select("canonical_url", F.col("doc_id").alias("no")))
+    return pipeline.posting_run(
+        crawled.select("url", "html").unionByName(lever.select("url", "html")),
+        I.posting_answers(asked), F.expr(I.START), board.select("url", "body"),
+    )
+
+
+@query
+def posting_run(spark, sf_dir):
+    return _posting_run(spark, sf_dir)[0].drop("email_subject", "email_body", "scraped_at")
+
+
+@query
+def posting_quarantine(spark, sf_dir):
+    return _posting_run(spark, sf_dir)[1]
+
+
+@query
+def send_run(spark, sf_dir):
+    """One posting per user, each event a contact: bounce check, then the outbox."""
+    contacts, jobs = I.user_contacts(spark, sf_dir)
+    out = pipeline.send_run(contacts, jobs, I.messages(spark, sf_dir), _as_of(spark, sf_dir), WEEK_MINUTES)[1]
+    return out.select("job_key", "contact_rank", "send_no", "to_address", "subject", "body", "attempt", "attempt_label")

@@ -46,6 +46,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def last_of_repeated_keys(spark: SparkSession) -> None:
+    """Let the JSON parser take the last of repeated keys, as most readers do, not refuse the text."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table in the shared folder: worked out once, and safe from lost executors."""
     path = work_path(df.sparkSession, name)

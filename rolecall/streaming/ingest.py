@@ -16,6 +16,7 @@ from rolecall.operators.skew import first_by
 def stream_table(spark: SparkSession, path: str) -> DataFrame:
     """The parquet table at ``path``, a folder or one file, as a stream with its own schema."""
     # a file stream takes a single file only as a pattern, here one that matches just it
+    path = path.rstrip("/")
     pattern = f"{path[:-1]}[{path[-1]}]"
     return spark.readStream.schema(spark.read.parquet(path).schema).parquet(pattern)
 

@@ -76,11 +76,16 @@ def test_lever_and_ats(spark):
     bodies = [
         ("https://boards.greenhouse.io/acme/jobs/1", '{"title":"Dev","offices":[{"name":"Rome"},{"id":1},{"name":"Oslo"}],"content":"&lt;p&gt;A &amp;amp; B&lt;/p&gt;&lt;script&gt;x&lt;/script&gt;"}'),
         ("https://boards.greenhouse.io/acme/jobs/2", "{}"),
+        ("https://boards.greenhouse.io/acme/jobs/3", "<html>busy"),
+        ("https://boards.greenhouse.io/acme/jobs/4", None),
+        ("https://boards.greenhouse.io/acme/jobs/5", '{"title":"Old","title":"New"}'),
     ]
     got = {r.url[-1]: r for r in pages.ats_texts(spark.createDataFrame(bodies, "url string, body string")).collect()}
     assert got["1"].raw_text == "Job Title: Dev\nCompany: acme\nLocation: Rome, , Oslo\n\nA & B"
     assert got["2"].raw_text == "Job Title: \nCompany: acme\nLocation: \n\n"
     assert got["1"].page_title == "Dev at acme"
+    assert [(got[n].success, got[n].error, got[n].raw_text) for n in "34"] == [(False, "unreadable answer", "")] * 2
+    assert got["5"].success and got["5"].title == "New"
 
 
 def test_pass_travels_without_the_package(tmp_path):

@@ -37,7 +37,9 @@ def test_numbered(spark):
 
 def test_hot_keys_are_few_and_spread(spark):
     fact = facts(spark)
-    assert {r.k for r in skew.hot_keys(fact, ["k"]).collect()} == {"hot", "missing", None}
+    hot = {r.k: r["_salts"] for r in skew.hot_keys(fact, ["k"]).collect()}
+    assert set(hot) == {"hot", "missing", None} and hot["missing"] == 2 and hot["hot"] > 20
+    assert {r.k: r["_salts"] for r in skew.hot_keys(fact, ["k"], 5).collect()} == {"hot": 2}
     same = spark.range(2000).select(F.lit("one").alias("k"), F.col("id"))
     joined = skew.lookup_join(same, spark.createDataFrame([("one", 1)], "k string, v int"), ["k"], ["id"])
     assert joined.filter("v = 1").count() == 2000
