@@ -151,10 +151,31 @@ def _probe(kind: str, tables: int, neighbours: int, scale: float, seed: int):
     return run
 
 
-def _meet(own: np.ndarray, around: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For pairs (x, y): in which tables cells are equal, y is among x's probes, x among y's."""
-    same = own[x] == own[y]
-    return same, (around[x] == own[y][:, :, None]).any(axis=2), (around[y] == own[x][:, :, None]).any(axis=2)
+def _finds(own: np.ndarray, around: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """For pairs (x, y) in one table: is y's cell among x's probes?"""
+    wanted = own[y]
+    found = np.zeros(len(x), dtype=bool)
+    for probe in around.T:
+        found |= probe[x] == wanted
+    return found
+
+
+def _meet(own: np.ndarray, around: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """For pairs (x, y): do they meet in this table at all?"""
+    met = own[x] == own[y]
+    rest = np.flatnonzero(~met)
+    met[rest] = _finds(own, around, x[rest], y[rest]) | _finds(own, around, y[rest], x[rest])
+    return met
+
+
+def _bucket(own: np.ndarray, around: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """For pairs that meet in this table: the bucket that counts them."""
+    bucket = own[x].copy()
+    rest = np.flatnonzero(bucket != own[y])
+    x, y = x[rest], y[rest]
+    x_finds, y_finds = _finds(own, around, x, y), _finds(own, around, y, x)
+    bucket[rest] = np.where(x_finds & y_finds, np.minimum(own[x], own[y]), np.where(x_finds, own[y], own[x]))
+    return bucket
 
 
 def _compare(kind: str, tables: int, neighbours: int, least: float):
@@ -170,15 +191,11 @@ def _compare(kind: str, tables: int, neighbours: int, least: float):
         probing, left, right = (rows[c].to_numpy() for c in ("probing", "as_left", "as_right"))
         a, b = np.flatnonzero(left & ~probing), np.flatnonzero(right)
         links = np.zeros(len(rows), dtype=np.int64)
-        parent = list(range(len(rows)))
+        # cells by table; those of later tables do not tell where a pair meets first
+        own = [np.ascontiguousarray(own[:, t]) for t in range(table + 1)]
+        around = [np.asfortranarray(around[:, t]) for t in range(table + 1)]
+        joined = np.arange(len(rows))
         tree: list[tuple[int, int]] = []
-
-        def root(i: int) -> int:
-            while parent[i] != i:
-                parent[i] = parent[parent[i]]
-                i = parent[i]
-            return i
-
         for at in range(0, len(a), 512):
             some = a[at : at + 512]
             i, j = np.nonzero(vectors[some] @ vectors[b].T >= least)
@@ -186,25 +203,24 @@ def _compare(kind: str, tables: int, neighbours: int, least: float):
             # two index rows of a block meet once; a vector never meets itself
             once = (signs[x] != signs[y]) & (probing[y] | ~(left[y] & right[x]) | (signs[x] < signs[y]))
             x, y = x[once], y[once]
+            for t in range(table):
+                later = ~_meet(own[t], around[t], x, y)
+                x, y = x[later], y[later]
+            here = _bucket(own[table], around[table], x, y) == bucket
+            x, y = x[here], y[here]
             if not len(x):
                 continue
-            same, x_finds, y_finds = _meet(own, around, x, y)
-            first = (same | x_finds | y_finds).argmax(axis=1) == table
-            here = np.where(
-                same[:, table], own[x, table],
-                np.where(
-                    x_finds[:, table] & y_finds[:, table], np.minimum(own[x, table], own[y, table]),
-                    np.where(x_finds[:, table], own[y, table], own[x, table]),
-                ),
-            ) == bucket
-            x, y = x[first & here], y[first & here]
             np.add.at(links, x, weights[y])
             np.add.at(links, y, weights[x])
-            for p, q in zip(x.tolist(), y.tolist(), strict=True):
-                p_root, q_root = root(p), root(q)
-                if p_root != q_root:
-                    parent[p_root] = q_root
-                    tree.append((p, q))
+            starts = np.flatnonzero(np.diff(x, prepend=-1))
+            for p, others in zip(x[starts].tolist(), np.split(y, starts[1:]), strict=False):
+                trees = joined[others]
+                if (trees == joined[p]).all():
+                    continue
+                trees, at_first = np.unique(trees, return_index=True)
+                new = trees != joined[p]
+                tree.extend((p, q) for q in others[at_first[new]].tolist())
+                joined[np.isin(joined, trees[new])] = joined[p]
         some = np.flatnonzero(links)
         ends = np.array(tree, dtype=np.int64).reshape(-1, 2)
         return pd.DataFrame({
