@@ -253,7 +253,11 @@ def near_components(docs: DataFrame, words: int = 3, most: int = 2) -> DataFrame
 def one_of_each(docs: DataFrame, words: int = 3, most: int = 2) -> DataFrame:
     """``docs`` with only one document of each component: the one with the smallest doc_id."""
     marks = stored(fingerprints(docs, words), "fingerprints")
-    kept = stored(_rooted(marks, most).groupBy("root").agg(F.min("first").alias("first")), "kept")
+    return only(docs, stored(_rooted(marks, most).groupBy("root").agg(F.min("first").alias("first")), "kept"))
+
+
+def only(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``kept`` names: first (with id and text hash), one row each."""
     kept = kept.select(F.col("first.id").alias("_id"), F.col("first.hash").alias("_hash"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     same = F.col("_row.doc_id").cast("long").eqNullSafe(F.col("_id")) & (_text_hash(F.col("_row.text")) == F.col("_hash"))

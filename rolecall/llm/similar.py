@@ -1,0 +1,173 @@
+"""Near copies by the shingles they share: all pairs of a Jaccard likeness or more, found exactly.
+
+A text is the set of its word shingles. Two sets of likeness ``share`` or more hold a common shingle among the first
+n - ceil(share * n) + 1 of their n shingles, in any order that is the same for all sets. So only those are joined; sets
+that meet are compared by size and by the places of the shingle, and then shingle by shingle.
+
+* The order is that of the hashes, with shingles that a sample of the sets finds often at the end, the most frequent
+  last. It decides what the join costs, not what it finds.
+* A shingle's sets are first compared with one of them. Components of these links leave out most of what is alike;
+  only sets of different components are then compared pair by pair. The links give the components of all pairs.
+
+Defined results: words are those of ``simhash``; a text of fewer words than a shingle is one shingle; texts without
+a word are alike; repeated rows link; a group keeps its smallest doc_id, null ids last; an empty table gives no rows;
+other columns are kept.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from rolecall.llm.common import stored
+from rolecall.llm.components import components
+from rolecall.llm.simhash import _text_hash, only
+
+#: Likeness of near copies as a fraction.
+SHARE = (4, 5)
+SAMPLE, OFTEN, MOST_OFTEN = 50_000, 8, 100_000
+
+
+def shingle_set(text: str | None, words: int, seed: int = 42) -> np.ndarray:
+    """Hashes of the text's different shingles, sorted."""
+    import xxhash
+
+    found = (text or "").encode().lower().split()
+    if len(found) <= words:
+        shingles = [b" ".join(found)]
+    else:
+        shingles = map(b" ".join, zip(*(found[i:] for i in range(words))))
+    digest = xxhash.xxh64_intdigest
+    hashes = np.array(list({digest(s, seed) for s in shingles}), dtype="<u8")
+    hashes.sort()
+    return hashes
+
+
+def shingle_sets(rows: DataFrame, words: int) -> DataFrame:
+    """node, n, ids (the sorted hashes as bytes) of node, text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t.as_py(), words) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                names=["node", "n", "ids"],
+            )
+
+    return rows.select("node", "text").mapInArrow(run, "node long, n long, ids binary")
+
+
+def often_shared(sets: DataFrame) -> np.ndarray:
+    """Shingles that many sets of a sample hold, the least frequent first."""
+    every = max(1, -(-sets.count() // SAMPLE))
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(batch.column(0).to_pylist()), "<i8"))], names=["hash"])
+
+    some = sets.filter(F.pmod(F.xxhash64("node"), F.lit(every)) == 0).select("ids").mapInArrow(spread, "hash long")
+    counts = some.groupBy("hash").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") >= OFTEN)
+    found = counts.orderBy(F.desc("k"), "hash").limit(MOST_OFTEN).collect()
+    return np.array([r.hash for r in reversed(found)], dtype="<i8").view("<u8")
+
+
+def prefixes(sets: DataFrame, share: tuple[int, int], often: np.ndarray) -> DataFrame:
+    """hash, node, n, at (from 0): the first shingles of each set."""
+    order = np.argsort(often)
+    known = often[order]
+
+    def first(ids: np.ndarray) -> np.ndarray:
+        most = len(ids) - -(-len(ids) * share[0] // share[1]) + 1
+        if not len(known):
+            return ids[:most]
+        place = np.minimum(np.searchsorted(known, ids), len(known) - 1)
+        late = known[place] == ids
+        rare = ids[~late]
+        if len(rare) >= most:
+            return rare[:most]
+        return np.concatenate([rare, often[np.sort(order[place[late]])]])[:most]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            parts = [first(np.frombuffer(x, "<u8")) for x in batch.column("ids").to_pylist()]
+            sizes = np.array([len(p) for p in parts])
+            at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(parts).view("<i8")), pa.array(np.repeat(batch.column("node").to_numpy(), sizes)),
+                    pa.array(np.repeat(batch.column("n").to_numpy(), sizes).astype(np.int32)), pa.array(at.astype(np.int32)),
+                ],
+                names=["hash", "node", "n", "at"],
+            )
+
+    return sets.select("node", "n", "ids").mapInArrow(run, "hash long, node long, n int, at int")
+
+
+def _can_reach(a: str, b: str, share: tuple[int, int]) -> Column:
+    """Whether two sets can still share enough, by size and by the places of their first common shingle."""
+    x, y = F.col(f"{a}n").cast("long"), F.col(f"{b}n").cast("long")
+    left = F.least(x - F.col(f"{a}at"), y - F.col(f"{b}at"))
+    return (left * (share[0] + share[1]) >= (x + y) * share[0]) & (x * share[1] >= y * share[0]) & (y * share[1] >= x * share[0])
+
+
+def alike(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets have the likeness."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
+                one, other = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+                both = len(np.intersect1d(one, other, assume_unique=True))
+                keep.append(both * share[1] >= (len(one) + len(other) - both) * share[0])
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    held = sets.select("node", "ids")
+    both = pairs.join(held.withColumnsRenamed({"node": "a", "ids": "x"}), "a").join(held.withColumnsRenamed({"node": "b", "ids": "y"}), "b")
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def _pair(one: str, other: str) -> list[Column]:
+    return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
+
+
+def links(sets: DataFrame, share: tuple[int, int] = SHARE) -> DataFrame:
+    """Links (a, b) between nodes whose sets have the likeness ``share``, each pair found at least as
+    part of a path; ``sets``: a stored table of ``shingle_sets``."""
+    rows = stored(prefixes(sets, share, often_shared(sets)), "prefixes")
+    shared = rows.groupBy("hash").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("n", "node", "at")).alias("p"))
+    shared = stored(shared.filter("k > 1").select("hash", "p"), "shared")
+    met = stored(rows.join(shared, "hash").select("hash", "node", "n", "at", "p"), "met")
+    near_one = met.filter((F.col("node") != F.col("p.node")) & _can_reach("", "p.", share))
+    stars = stored(alike(stored(near_one.select(*_pair("node", "p.node")).distinct(), "star_pairs"), sets, share), "stars")
+    roots = stored(components(stars), "star_roots")
+    rooted = stored(
+        met.filter(F.col("node") != F.col("p.node")).join(roots, "node", "left")
+        .select("hash", "node", "n", "at", F.coalesce("root", "node").alias("root")), "rooted",
+    )
+    several = rooted.groupBy("hash").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("hash")
+    left = stored(rooted.join(several, "hash", "left_semi"), "several")
+    x, y = left.alias("x"), left.alias("y")
+    close = (F.col("x.hash") == F.col("y.hash")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
+    pairs = x.join(y, close & _can_reach("x.", "y.", share)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    return stars.unionByName(alike(stored(pairs, "root_pairs"), sets, share))
+
+
+def one_of_each(docs: DataFrame, words: int = 5, share: tuple[int, int] = SHARE) -> DataFrame:
+    """``docs`` with only one document of each group of near copies: the one with the smallest doc_id."""
+    ids = F.col("doc_id").cast("long")
+    hashed = docs.select(ids.alias("id"), _text_hash(F.col("text")).alias("hash"), "text")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash")).alias("first")
+    classes = stored(hashed.groupBy("hash").agg(first, F.count(F.lit(1)).alias("k")), "classes")
+    again = classes.filter("k > 1").select("hash", F.col("first.id").alias("first_id"), F.lit(True).alias("again"))
+    texts = hashed.join(again, "hash", "left").filter(F.col("again").isNull() | F.col("id").eqNullSafe(F.col("first_id")))
+    sets = stored(shingle_sets(texts.select(F.col("hash").alias("node"), "text"), words), "shingle_sets")
+    roots = stored(components(stored(links(sets, share), "near_links")), "roots")
+    rooted = classes.join(roots, F.col("hash") == F.col("node"), "left").select("first", F.coalesce("root", "hash").alias("root"))
+    return only(docs, stored(rooted.groupBy("root").agg(F.min("first").alias("first")), "kept"))

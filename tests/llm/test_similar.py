@@ -1,0 +1,90 @@
+"""Near copies by shared shingles, against all pairs."""
+
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from rolecall.llm import similar
+from rolecall.llm.components import components
+
+corpus_pipeline = pytest.importorskip("corpus_pipeline")
+
+
+def _kept(docs, words, share):
+    """Documents that are the smallest of their group, from all pairs."""
+    sets = {d: set(similar.shingle_set(t, words).tolist()) for d, t in docs}
+    holders = defaultdict(list)
+    for d, s in sets.items():
+        for h in s:
+            holders[h].append(d)
+    root = {d: d for d in sets}
+
+    def top(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for d, s in sets.items():
+        for other, both in Counter(o for h in s for o in holders[h] if o < d).items():
+            if both * share[1] >= (len(s) + len(sets[other]) - both) * share[0]:
+                a, b = sorted((top(d), top(other)))
+                root[b] = a
+    return {d for d in sets if top(d) == d}
+
+
+def _planted(rng):
+    """Copies with words changed, around the limit; a form that many texts fill in; odd texts."""
+    vocabulary = [f"w{i}" for i in range(3000)]
+    form = rng.choices(vocabulary, k=90)
+    texts = [None, "", " \n", "one", "One", "a b c d e", "a b c d f"]
+    for _ in range(25):
+        base = rng.choices(vocabulary, k=rng.randrange(6, 200))
+        texts.append(" ".join(base))
+        for _ in range(rng.randrange(4)):
+            copy = list(base)
+            for _ in range(rng.randrange(1, 6)):
+                copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+            texts.append("  ".join(copy).upper())
+    for _ in range(60):
+        texts.append(" ".join(form + rng.choices(vocabulary, k=rng.randrange(5, 40))))
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+def test_stage_keeps_one_of_near_copies(spark, sf_dir):
+    rng = random.Random(8)
+    base = [f"word{i}" for i in range(200)]
+    docs = []
+    for at in range(12):
+        copy = list(base)
+        for _ in range(at % 4):
+            copy[rng.randrange(200)] = f"other{rng.random()}"
+        docs.append((at, " ".join(copy), "en", "a", 1))
+    docs.append((99, " ".join(f"else{i}" for i in range(200)), "en", "a", 1))
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars int")
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, sf_dir).collect()} == {0, 99}
+
+
+def test_all_pairs(spark, sf_dir, odd_docs, no_docs, monkeypatch):
+    monkeypatch.setattr(similar, "OFTEN", 4)
+    docs = _planted(random.Random(4))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for words, share in ((5, (4, 5)), (3, (7, 10)), (2, (1, 2))):
+        got = {r.doc_id for r in similar.one_of_each(df, words, share).collect()}
+        assert got == _kept(docs, words, share) and 5 < len(got) < len(docs)
+    real = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    assert {r.doc_id for r in similar.one_of_each(real).collect()} == _kept([tuple(r) for r in real.collect()], 5, similar.SHARE)
+    kept = similar.one_of_each(odd_docs)
+    assert kept.columns == odd_docs.columns and kept.filter("doc_id = 5").count() == 1
+    assert {r.doc_id for r in kept.collect()} >= {0, 3} and kept.filter("doc_id in (1, 2, 50)").count() == 0
+    assert similar.one_of_each(no_docs).count() == 0
+
+
+def test_order_only_moves_shingles(spark):
+    sets = spark.createDataFrame([(1, 10, np.arange(10, dtype="<u8").tobytes())], "node long, n long, ids binary")
+    often = np.array([2, 0], dtype="<u8")
+    got = similar.prefixes(sets, (1, 10), often).orderBy("at").collect()
+    assert [r.hash for r in got] == [1, 3, 4, 5, 6, 7, 8, 9, 2, 0]
+    assert components(similar.links(sets)).count() == 0
