@@ -14,7 +14,10 @@ by banded bit-parallel edit distance: for each number of errors a bit mask of th
 still alive, moved one character at a time. Only true links leave the join, so a group of many lines
 that share a segment is compared but not written out as pairs.
 
-Everything is column expressions: no Python runs on the data.
+Edits alone do not reach near-repeats of long lines. With ``share``, lines whose three-word shingles have that
+Jaccard likeness or more are near too (all pairs, see ``similar``): of each group of these the first line stays.
+
+But for those shingles, everything is column expressions: no Python runs on the data.
 
 Defined results: a null text stays null and an empty one stays empty; lines are compared without white space
 at their ends; shorter lines always stay; a column called gone is replaced; null document ids come first; rows with equal id and text are one
@@ -26,7 +29,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rolecall.llm import similar
 from rolecall.llm.common import stored
+from rolecall.llm.components import components
 
 #: Line hashes and line numbers up to this many are joined by broadcast; more, by an ordinary join.
 BROADCAST_ROWS = 1_000_000
@@ -195,7 +200,16 @@ def near_pairs(spark: SparkSession, texts: DataFrame, most: int) -> DataFrame:
     return both.filter(within_edits(F.col("one_chars"), F.col("other_chars"), most)).select("one", "other")
 
 
-def dropped_lines(docs: DataFrame, most: int = 2, least_chars: int = 24) -> DataFrame:
+def late_alike(texts: DataFrame, first: DataFrame, share: tuple[int, int], words: int = 3) -> DataFrame:
+    """near_id: lines that are not the first of their group of lines alike by their shingles."""
+    sets = stored(similar.shingle_sets(texts.select(F.col("line_id.a").alias("node"), F.col("line").alias("text")), words), "line_sets")
+    roots = stored(components(stored(similar.links(sets, share), "line_links")), "line_roots")
+    groups = stored(first.join(roots, F.col("line_id.a") == F.col("node")).select("line_id", "first", "root"), "line_groups")
+    starts = groups.groupBy("root").agg(F.min("first").alias("start"))
+    return groups.join(starts, "root").filter(F.col("first") != F.col("start")).select(F.col("line_id").alias("near_id"))
+
+
+def dropped_lines(docs: DataFrame, most: int = 2, least_chars: int = 24, share: tuple[int, int] | None = None) -> DataFrame:
     """_id, _text_hash, gone (line numbers from 0), for documents that lose a line."""
     spark = docs.sparkSession
     place = F.struct("_id", "_text_hash", "line_no")
@@ -216,15 +230,18 @@ def dropped_lines(docs: DataFrame, most: int = 2, least_chars: int = 24) -> Data
         seen.select(F.col("line_id").alias("other"), F.col("first").alias("other_first")), "other"
     )
     late = F.when(F.col("one_first") < F.col("other_first"), F.col("other")).otherwise(F.col("one"))
-    near = stored(earlier.select(late.alias("near_id")).distinct(), "line_near")
+    near = earlier.select(late.alias("near_id"))
+    if share:
+        near = near.unionByName(late_alike(texts, first, share))
+    near = stored(near.distinct(), "line_near")
     near_first = first.join(near, F.col("line_id") == F.col("near_id")).select("first.*")
     gone = near_first.unionByName(again.select("_id", "_text_hash", F.explode("again").alias("line_no")))
     return gone.groupBy("_id", "_text_hash").agg(F.collect_set("line_no").alias("gone"))
 
 
-def without_repeats(docs: DataFrame, most: int = 2, least_chars: int = 24) -> DataFrame:
+def without_repeats(docs: DataFrame, most: int = 2, least_chars: int = 24, share: tuple[int, int] | None = None) -> DataFrame:
     """``docs`` with repeated and near-repeated lines taken out of ``text``, and ``gone``: their numbers."""
-    gone = stored(dropped_lines(docs, most, least_chars), "line_gone")
+    gone = stored(dropped_lines(docs, most, least_chars, share), "line_gone")
     joined = _with_numbers(keyed(docs), gone, "gone")
     lines = F.split("_text", "\n", -1)
     kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("gone", i)), "\n")
