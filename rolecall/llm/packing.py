@@ -17,7 +17,6 @@ document ids are packed as null; an empty table gives no pieces; other columns a
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +28,7 @@ from pyspark.sql import functions as F
 from rolecall.llm.common import bucket_count, running, stored
 from rolecall.llm.encode import encoder
 
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
+PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
 
 
 def class_lengths(capacity: int, classes: int = 32) -> list[int]:
@@ -49,7 +48,7 @@ def cuts(n: int, lengths: list[int]) -> list[int]:
     return found
 
 
-def _cutter(tokenizer: str, keeps_spaces: bool, end_id: int, capacity: int, classes: int, with_ids: bool):
+def _cutter(tokenizer: str, keeps_spaces: bool, end_id: int, capacity: int, classes: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer, keeps_spaces)
         lengths = class_lengths(capacity, classes)
@@ -65,13 +64,13 @@ def _cutter(tokenizer: str, keeps_spaces: bool, end_id: int, capacity: int, clas
                     known[rest] = cuts(rest, lengths)
                 for length in [capacity] * (total // capacity) + known[rest]:
                     own = ids[4 * start : 4 * (start + length)]
-                    rows.append((doc_id, start, length, zlib.crc32(own), total, own if with_ids else None))
+                    rows.append((doc_id, start, length, total, own))
                     start += length
-            columns = list(zip(*rows, strict=True)) or [()] * 6
-            kinds = [pa.int64()] * 5 + [pa.binary()]
+            columns = list(zip(*rows, strict=True)) or [()] * 5
+            kinds = [pa.int64()] * 4 + [pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"],
+                names=["doc_id", "start", "length", "doc_tokens", "ids"],
             )
 
     return cut
@@ -79,12 +78,11 @@ def _cutter(tokenizer: str, keeps_spaces: bool, end_id: int, capacity: int, clas
 
 def cut_documents(
     docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 2048, keeps_spaces: bool = True,
-    classes: int = 32, with_ids: bool = True,
+    classes: int = 32,
 ) -> DataFrame:
-    """Pieces of doc_id, text: doc_id, start, length, ids_crc32, doc_tokens, ids (little-endian
-    unsigned 32-bit; null without ``with_ids``)."""
+    """Pieces of doc_id, text: doc_id, start, length, doc_tokens, ids (little-endian unsigned 32-bit)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(_cutter(tokenizer, keeps_spaces, end_id, capacity, classes, with_ids), PIECES)
+    return rows.mapInArrow(_cutter(tokenizer, keeps_spaces, end_id, capacity, classes), PIECES)
 
 
 def _first_fit(capacity: int):
@@ -111,7 +109,7 @@ def _first_fit(capacity: int):
 
 
 def place_pieces(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
-    """Add sequence_id and offset to a stored table of pieces (see ``cut_documents``)."""
+    """Add sequence_id and offset to a stored table of pieces (see ``cut_documents``) with ids_crc32."""
     rows = pieces.count()
     bucket = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(bucket_count(rows))).cast("long")
     slim = pieces.withColumn("_bucket", bucket)
@@ -147,16 +145,16 @@ def place_pieces(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
 
 def pack(
     docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 2048, keeps_spaces: bool = True,
-    classes: int = 32, with_ids: bool = True,
+    classes: int = 32,
 ) -> DataFrame:
     """Pieces with their place: doc_id, start, length, ids_crc32, doc_tokens, ids, sequence_id, offset.
 
-    Pieces are encoded once and kept in the shared folder. A sequence is its pieces in order of
+    Pieces are encoded once and kept with their ids in the shared folder; ids_crc32 is that of the ids read back. A sequence is its pieces in order of
     ``offset``, padded to ``capacity``; see ``sequences``.
     """
-    return place_pieces(
-        stored(cut_documents(docs, tokenizer, end_id, capacity, keeps_spaces, classes, with_ids), "pieces"), capacity
-    )
+    pieces = stored(cut_documents(docs, tokenizer, end_id, capacity, keeps_spaces, classes), "pieces")
+    read = pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "ids")
+    return place_pieces(read, capacity)
 
 
 def sequences(placed: DataFrame, capacity: int, pad_id: int) -> DataFrame:

@@ -64,10 +64,7 @@ def op9_section_tokens(spark, sf_dir):
 
 @query
 def op10_harmonic_pack(spark, sf_dir):
-    packed = packing.pack(
-        table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), BYTE_END, with_ids=False
-    )
-    return packed.drop("ids")
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), BYTE_END).drop("ids")
 
 
 #: The key of the registered query only; a real run brings its own.
