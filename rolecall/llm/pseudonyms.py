@@ -1,12 +1,12 @@
 """Operator 6: format-preserving pseudonyms for personal numbers, dates and addresses.
 
-Candidates are found by pattern and kept only if valid: card numbers by their check digit, IBANs by their
-remainder, IPv4 addresses by octet, national identity numbers (ddd-dd-dddd) by their reserved parts, dates by
+Candidates are found by pattern and kept only if valid: card numbers by their check digit, IBANs, in
+groups of four or not, by their remainder, IPv4 addresses by octet, national identity numbers (ddd-dd-dddd) by their reserved parts, dates by
 the calendar, phone numbers by their number of digits. A valid value is permuted within its own format by a
 keyed Feistel network: ten rounds over two parts whose product is the size of the value's domain, each
 round adding a keyed hash of one part to the other. So it is a bijection: different values stay
 different, equal values stay equal in every document, separators and lengths stay, and whatever was
-valid is valid again (check digits are worked out anew). E-mail addresses keep their domain; the
+valid is valid again (check digits are worked out anew). An IBAN's letters and digits are permuted apart. E-mail addresses keep their domain; the
 letters and the digits of the local part are permuted.
 
 Everything is column expressions: no Python runs on the data.
@@ -27,15 +27,33 @@ ROUNDS = 10
 #: Dates are permuted from this day on, over 17 * 4297 = 73,049 days: to 2099-12-31.
 FIRST_DAY, DAYS = "1900-01-01", (17, 4297)
 
-EMAIL = r"(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"
+EMAIL = r"(?<![\w.%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"
 IP = r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\d]|\.\d)"
 DATE = r"(?<!\d)(?:\d{4}-\d\d-\d\d|\d\d/\d\d/\d{4}|\d\d\.\d\d\.\d{4})(?!\d)"
 IDENTITY = r"(?<![\d-])\d{3}-\d\d-\d{4}(?![\d-])"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{13,32}(?![A-Za-z0-9])"
+#: Countries by the length of their IBANs: it tells where one in groups of four ends and the next word begins.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _grouped(n: int, countries: str) -> str:
+    rest = f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else ""
+    return rf"(?:{countries.replace(' ', '|')})\d\d(?: ?[A-Z0-9]{{4}}){{{n // 4 - 1}}}{rest}"
+
+
+#: In groups or not where the country is known, in one piece for any other.
+IBAN = (
+    r"(?<![A-Za-z0-9])(?=[A-Z]{2}\d\d)(?:" + "|".join(_grouped(*x) for x in IBAN_LENGTHS.items())
+    + r"|[A-Z]{2}\d\d[A-Z0-9]{11,30})(?![A-Za-z0-9])"
+)
 CARD = r"(?<!\d)(?:\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?!\d)"
 PHONE = (
     r"(?<![\d+])(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3,4}[ .-]?\d{3,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}"
-    r"|\d{3}[.-]\d{3}[.-]\d{4})(?!\d)"
+    r"|\d{3}[ .-]\d{3}[ .-]\d{4})(?!\d)"
 )
 KINDS = {"email": EMAIL, "ip": IP, "date": DATE, "identity": IDENTITY, "iban": IBAN, "card": CARD, "phone": PHONE}
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
@@ -81,6 +99,37 @@ def permuted_digits(digits: Column, key: str, kind: str) -> Column:
     return F.concat(F.when(left > 0, _pad(a, left)).otherwise(F.lit("")), _pad(b, n - left))
 
 
+def permuted_letters(letters: Column, key: str, kind: str) -> Column:
+    """A string of small letters as another one of the same length."""
+    # letters in runs of up to six, each a number in base 26; neighbours are permuted together
+    runs = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.length(letters) / 12) - 1, F.lit(0)).cast("int")), lambda i: F.substring(letters, i * 12 + 1, F.lit(12)))
+
+    def number(text: Column) -> Column:
+        return F.aggregate(F.filter(F.split(text, ""), lambda c: c != ""), _long(0), lambda s, c: s * 26 + (F.ascii(c) - 97))
+
+    def letters_of(value: Column, width: Column) -> Column:
+        places = F.sequence(F.lit(1), F.greatest(width, F.lit(1)))
+        drawn = F.aggregate(
+            places, F.struct(value.alias("v"), F.lit("").alias("t")),
+            lambda s, i: F.struct(F.floor(s["v"] / 26).cast("long").alias("v"), F.concat(F.chr((s["v"] % 26 + 97).cast("long")), s["t"]).alias("t")),
+        )["t"]
+        return F.when(width > 0, drawn).otherwise(F.lit(""))
+
+    def power(width: Column) -> Column:
+        return F.aggregate(F.slice(F.array_repeat(F.lit(26), 12), F.lit(1), width), _long(1), lambda s, x: s * x)
+
+    def run(text: Column, at: Column) -> Column:
+        n = F.length(text)
+        left = F.floor(n / 2).cast("int")
+        a, b = feistel(
+            number(F.substring(text, F.lit(1), left)), number(F.substring(text, left + 1, n)), power(left), power(n - left),
+            key, F.concat(F.lit(f"{kind}:"), n.cast("string"), F.lit(":"), at.cast("string")),
+        )
+        return F.concat(letters_of(a, left), letters_of(b, n - left))
+
+    return F.array_join(F.transform(runs, run), "")
+
+
 def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
@@ -117,17 +166,43 @@ def _card(match: Column, key: str) -> Column:
     return F.when(luhn_valid(digits), _refill(match, "0-9", F.concat(body, check.cast("string")))).otherwise(match)
 
 
-def _remainder(country: Column, digits: Column) -> Column:
-    """Remainder by 97 of digits followed by the country's letters as numbers and a check of 00."""
-    letters = F.array_join(F.transform(F.split(country, ""), lambda c: (F.ascii(c) - 55).cast("string")), "")
-    return F.aggregate(F.split(F.concat(digits, letters, F.lit("00")), ""), F.lit(0), lambda s, c: (s * 10 + c.cast("int")) % 97)
+def _remainder(country: Column, body: Column) -> Column:
+    """Remainder by 97 of the account part and the country, letters as numbers, followed by a check of 00."""
+    def step(s: Column, c: Column) -> Column:
+        letter = F.ascii(c) >= 65
+        return (s * F.when(letter, 100).otherwise(10) + F.ascii(c) - F.when(letter, 55).otherwise(48)) % 97
+
+    return F.aggregate(F.split(F.concat(body, country, F.lit("00")), ""), F.lit(0), step)
+
+
+def iban_valid(match: Column) -> Column:
+    plain = F.replace(match, F.lit(" "), F.lit(""))
+    return (98 - _remainder(F.substring(plain, 1, 2), F.substring(plain, 5, 40))) == F.substring(plain, 3, 2).cast("int")
+
+
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, as the element of a one-row list."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _iban(match: Column, key: str) -> Column:
-    country, check, body = F.substring(match, 1, 2), F.substring(match, 3, 2), F.substring(match, 5, 40)
-    valid = (98 - _remainder(country, body)) == check.cast("int")
-    fresh = permuted_digits(body, key, "iban")
-    return F.when(valid, F.concat(country, _pad(98 - _remainder(country, fresh), F.lit(2)), fresh)).otherwise(match)
+    country, shape = F.substring(match, 1, 2), F.substring(match, 5, 60)
+    digits, letters = _digits(shape), F.regexp_replace(shape, "[^A-Z]", "")
+    numbers = F.when(digits == "", digits).otherwise(permuted_digits(digits, key, "iban"))
+    drawn = F.when(letters == "", letters).otherwise(F.upper(permuted_letters(F.lower(letters), key, "iban")))
+
+    def filled(new: Column) -> Column:
+        return _once(_refill(shape, "0-9", new["digits"]), lambda x: _refill(x, "A-Z", new["letters"]))
+
+    def checked(fresh: Column) -> Column:
+        check = _pad(98 - _remainder(country, F.replace(fresh, F.lit(" "), F.lit(""))), F.lit(2))
+        return F.concat(country, check, fresh)
+
+    # what only looks like one may hold a card number
+    card = F.regexp_extract(match, CARD, 0)
+    other = F.when(card == "", match).otherwise(_once(card, lambda c: F.replace(match, c, _card(c, key))))
+    new = F.struct(numbers.alias("digits"), drawn.alias("letters"))
+    return F.when(iban_valid(match), _once(_once(new, filled), checked)).otherwise(other)
 
 
 def _ip(match: Column, key: str) -> Column:
@@ -182,33 +257,7 @@ def _email(match: Column, key: str) -> Column:
     local, domain = F.substring_index(match, "@", 1), F.substring_index(match, "@", -1)
     digits = _digits(local)
     letters = F.regexp_replace(F.lower(local), "[^a-z]", "")
-    # letters in runs of up to six, each a number in base 26; neighbours are permuted together
-    runs = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.length(letters) / 12) - 1, F.lit(0)).cast("int")), lambda i: F.substring(letters, i * 12 + 1, F.lit(12)))
-
-    def number(text: Column) -> Column:
-        return F.aggregate(F.filter(F.split(text, ""), lambda c: c != ""), _long(0), lambda s, c: s * 26 + (F.ascii(c) - 97))
-
-    def letters_of(value: Column, width: Column) -> Column:
-        places = F.sequence(F.lit(1), F.greatest(width, F.lit(1)))
-        drawn = F.aggregate(
-            places, F.struct(value.alias("v"), F.lit("").alias("t")),
-            lambda s, i: F.struct(F.floor(s["v"] / 26).cast("long").alias("v"), F.concat(F.chr((s["v"] % 26 + 97).cast("long")), s["t"]).alias("t")),
-        )["t"]
-        return F.when(width > 0, drawn).otherwise(F.lit(""))
-
-    def power(width: Column) -> Column:
-        return F.aggregate(F.slice(F.array_repeat(F.lit(26), 12), F.lit(1), width), _long(1), lambda s, x: s * x)
-
-    def run(text: Column, at: Column) -> Column:
-        n = F.length(text)
-        left = F.floor(n / 2).cast("int")
-        a, b = feistel(
-            number(F.substring(text, F.lit(1), left)), number(F.substring(text, left + 1, n)), power(left), power(n - left),
-            key, F.concat(F.lit("email:"), n.cast("string"), F.lit(":"), at.cast("string")),
-        )
-        return F.concat(letters_of(a, left), letters_of(b, n - left))
-
-    fresh = F.array_join(F.transform(runs, run), "")
+    fresh = permuted_letters(letters, key, "email")
     own = F.when(letters == "", local).otherwise(_refill(F.lower(local), "a-z", fresh))
     head, tail = F.substring(digits, 1, 18), F.substring(digits, 19, 36)
     tail = F.when(tail == "", F.lit("")).otherwise(permuted_digits(F.substring(tail, 1, 36), key, "email-tail"))
@@ -240,7 +289,10 @@ def pseudonymised(docs: DataFrame, key: str, column: str = "text") -> DataFrame:
     none = F.array().cast("array<string>")
     some = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(none)
     rows = settled(rows.withColumn("_matches", F.coalesce(some, none)), "_matches")
-    kinds = F.transform("_matches", lambda m: F.coalesce(*[F.when(m.rlike(f"^(?:{p})$"), F.lit(k)) for k, p in KINDS.items()]))
+    def kind(m: Column, k: str) -> Column:
+        return F.when(iban_valid(m), F.lit(k)).otherwise(F.lit("card")) if k == "iban" else F.lit(k)
+
+    kinds = F.transform("_matches", lambda m: F.coalesce(*[F.when(m.rlike(f"^(?:{p})$"), kind(m, k)) for k, p in KINDS.items()]))
     rows = settled(
         rows.withColumn("_between", F.when(F.size("_matches") > 0, F.split(text, ANY, -1)).otherwise(F.array(text)))
         .withColumn("_new", F.transform("_matches", lambda m: pseudonym(m, key))).withColumn("_kinds", kinds),
