@@ -202,8 +202,8 @@ def near_pairs(spark: SparkSession, texts: DataFrame, most: int) -> DataFrame:
 
 def late_alike(texts: DataFrame, first: DataFrame, share: tuple[int, int], words: int = 3) -> DataFrame:
     """near_id: lines that are not the first of their group of lines alike by their shingles."""
-    sets = stored(similar.shingle_sets(texts.select(F.col("line_id.a").alias("node"), F.col("line").alias("text")), words), "line_sets")
-    roots = stored(components(stored(similar.links(sets, share), "line_links")), "line_roots")
+    named = texts.select(F.col("line_id.a").alias("node"), F.col("line").alias("text"))
+    roots = stored(components(stored(similar.links(named, words, share), "line_links")), "line_roots")
     groups = stored(first.join(roots, F.col("line_id.a") == F.col("node")).select("line_id", "first", "root"), "line_groups")
     starts = groups.groupBy("root").agg(F.min("first").alias("start"))
     return groups.join(starts, "root").filter(F.col("first") != F.col("start")).select(F.col("line_id").alias("near_id"))

@@ -30,6 +30,8 @@ from rolecall.llm.simhash import _text_hash, only
 #: Likeness of near copies as a fraction.
 SHARE = (4, 5)
 SAMPLE, OFTEN, MOST_OFTEN = 50_000, 8, 100_000
+#: Shared shingles up to this many are joined by broadcast.
+BROADCAST_ROWS = 1_000_000
 
 
 def shingle_set(text: str | None, words: int, seed: int = 42) -> np.ndarray:
@@ -47,36 +49,24 @@ def shingle_set(text: str | None, words: int, seed: int = 42) -> np.ndarray:
     return hashes
 
 
-def shingle_sets(rows: DataFrame, words: int) -> DataFrame:
-    """node, n, ids (the sorted hashes as bytes) of node, text."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(t.as_py(), words) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                names=["node", "n", "ids"],
-            )
-
-    return rows.select("node", "text").mapInArrow(run, "node long, n long, ids binary")
-
-
-def often_shared(sets: DataFrame) -> np.ndarray:
-    """Shingles that many sets of a sample hold, the least frequent first."""
-    every = max(1, -(-sets.count() // SAMPLE))
+def often_shared(texts: DataFrame, words: int) -> np.ndarray:
+    """Shingles that many texts of a sample hold, the least frequent first."""
+    every = max(1, -(-texts.count() // SAMPLE))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(batch.column(0).to_pylist()), "<i8"))], names=["hash"])
+            sets = [shingle_set(t.as_py(), words) for t in batch.column(0)]
+            if sets:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view("<i8"))], names=["hash"])
 
-    some = sets.filter(F.pmod(F.xxhash64("node"), F.lit(every)) == 0).select("ids").mapInArrow(spread, "hash long")
+    some = texts.filter(F.pmod(F.xxhash64("node"), F.lit(every)) == 0).select("text").mapInArrow(spread, "hash long")
     counts = some.groupBy("hash").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") >= OFTEN)
     found = counts.orderBy(F.desc("k"), "hash").limit(MOST_OFTEN).collect()
     return np.array([r.hash for r in reversed(found)], dtype="<i8").view("<u8")
 
 
-def prefixes(sets: DataFrame, share: tuple[int, int], often: np.ndarray) -> DataFrame:
-    """hash, node, n, at (from 0): the first shingles of each set."""
+def prefixes(texts: DataFrame, words: int, share: tuple[int, int], often: np.ndarray) -> DataFrame:
+    """hash, node, n, at (from 0): the first shingles of each text's set."""
     order = np.argsort(often)
     known = often[order]
 
@@ -95,18 +85,19 @@ def prefixes(sets: DataFrame, share: tuple[int, int], often: np.ndarray) -> Data
         for batch in batches:
             if not batch.num_rows:
                 continue
-            parts = [first(np.frombuffer(x, "<u8")) for x in batch.column("ids").to_pylist()]
+            sets = [shingle_set(t.as_py(), words) for t in batch.column("text")]
+            parts = [first(x) for x in sets]
             sizes = np.array([len(p) for p in parts])
             at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate(parts).view("<i8")), pa.array(np.repeat(batch.column("node").to_numpy(), sizes)),
-                    pa.array(np.repeat(batch.column("n").to_numpy(), sizes).astype(np.int32)), pa.array(at.astype(np.int32)),
+                    pa.array(np.repeat([len(x) for x in sets], sizes).astype(np.int32)), pa.array(at.astype(np.int32)),
                 ],
                 names=["hash", "node", "n", "at"],
             )
 
-    return sets.select("node", "n", "ids").mapInArrow(run, "hash long, node long, n int, at int")
+    return texts.select("node", "text").mapInArrow(run, "hash long, node long, n int, at int")
 
 
 def _can_reach(a: str, b: str, share: tuple[int, int]) -> Column:
@@ -116,20 +107,20 @@ def _can_reach(a: str, b: str, share: tuple[int, int]) -> Column:
     return (left * (share[0] + share[1]) >= (x + y) * share[0]) & (x * share[1] >= y * share[0]) & (y * share[1] >= x * share[0])
 
 
-def alike(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets have the likeness."""
+def alike(pairs: DataFrame, texts: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:
+    """The pairs (a, b) of nodes whose texts' sets have the likeness."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                one, other = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+                one, other = shingle_set(x.as_py(), words), shingle_set(y.as_py(), words)
                 both = len(np.intersect1d(one, other, assume_unique=True))
                 keep.append(both * share[1] >= (len(one) + len(other) - both) * share[0])
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    held = sets.select("node", "ids")
-    both = pairs.join(held.withColumnsRenamed({"node": "a", "ids": "x"}), "a").join(held.withColumnsRenamed({"node": "b", "ids": "y"}), "b")
+    held = texts.select("node", "text")
+    both = pairs.join(held.withColumnsRenamed({"node": "a", "text": "x"}), "a").join(held.withColumnsRenamed({"node": "b", "text": "y"}), "b")
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
@@ -137,15 +128,17 @@ def _pair(one: str, other: str) -> list[Column]:
     return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
 
 
-def links(sets: DataFrame, share: tuple[int, int] = SHARE) -> DataFrame:
-    """Links (a, b) between nodes whose sets have the likeness ``share``, each pair found at least as
-    part of a path; ``sets``: a stored table of ``shingle_sets``."""
-    rows = stored(prefixes(sets, share, often_shared(sets)), "prefixes")
-    shared = rows.groupBy("hash").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("n", "node", "at")).alias("p"))
-    shared = stored(shared.filter("k > 1").select("hash", "p"), "shared")
-    met = stored(rows.join(shared, "hash").select("hash", "node", "n", "at", "p"), "met")
+def links(texts: DataFrame, words: int, share: tuple[int, int] = SHARE) -> DataFrame:
+    """Links (a, b) between nodes whose texts have the likeness ``share``, each pair found at least as
+    part of a path; ``texts``: node, text."""
+    rows = stored(prefixes(texts, words, share, often_shared(texts, words)), "prefixes")
+    shared = stored(rows.groupBy("hash").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("hash"), "shared")
+    small = shared.count() <= BROADCAST_ROWS
+    found = stored(rows.join(F.broadcast(shared) if small else shared, "hash").select("hash", "node", "n", "at"), "found")
+    ones = stored(found.groupBy("hash").agg(F.min(F.struct("n", "node", "at")).alias("p")), "ones")
+    met = found.join(ones, "hash")
     near_one = met.filter((F.col("node") != F.col("p.node")) & _can_reach("", "p.", share))
-    stars = stored(alike(stored(near_one.select(*_pair("node", "p.node")).distinct(), "star_pairs"), sets, share), "stars")
+    stars = stored(alike(stored(near_one.select(*_pair("node", "p.node")).distinct(), "star_pairs"), texts, words, share), "stars")
     roots = stored(components(stars), "star_roots")
     rooted = stored(
         met.filter(F.col("node") != F.col("p.node")).join(roots, "node", "left")
@@ -156,7 +149,7 @@ def links(sets: DataFrame, share: tuple[int, int] = SHARE) -> DataFrame:
     x, y = left.alias("x"), left.alias("y")
     close = (F.col("x.hash") == F.col("y.hash")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
     pairs = x.join(y, close & _can_reach("x.", "y.", share)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    return stars.unionByName(alike(stored(pairs, "root_pairs"), sets, share))
+    return stars.unionByName(alike(stored(pairs, "root_pairs"), texts, words, share))
 
 
 def one_of_each(docs: DataFrame, words: int = 5, share: tuple[int, int] = SHARE) -> DataFrame:
@@ -167,7 +160,7 @@ def one_of_each(docs: DataFrame, words: int = 5, share: tuple[int, int] = SHARE)
     classes = stored(hashed.groupBy("hash").agg(first, F.count(F.lit(1)).alias("k")), "classes")
     again = classes.filter("k > 1").select("hash", F.col("first.id").alias("first_id"), F.lit(True).alias("again"))
     texts = hashed.join(again, "hash", "left").filter(F.col("again").isNull() | F.col("id").eqNullSafe(F.col("first_id")))
-    sets = stored(shingle_sets(texts.select(F.col("hash").alias("node"), "text"), words), "shingle_sets")
-    roots = stored(components(stored(links(sets, share), "near_links")), "roots")
+    texts = texts.select(F.col("hash").alias("node"), "text")
+    roots = stored(components(stored(links(texts, words, share), "near_links")), "roots")
     rooted = classes.join(roots, F.col("hash") == F.col("node"), "left").select("first", F.coalesce("root", "hash").alias("root"))
     return only(docs, stored(rooted.groupBy("root").agg(F.min("first").alias("first")), "kept"))

@@ -7,7 +7,6 @@ import numpy as np
 import pytest
 
 from rolecall.llm import similar
-from rolecall.llm.components import components
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
@@ -83,8 +82,11 @@ def test_all_pairs(spark, sf_dir, odd_docs, no_docs, monkeypatch):
 
 
 def test_order_only_moves_shingles(spark):
-    sets = spark.createDataFrame([(1, 10, np.arange(10, dtype="<u8").tobytes())], "node long, n long, ids binary")
-    often = np.array([2, 0], dtype="<u8")
-    got = similar.prefixes(sets, (1, 10), often).orderBy("at").collect()
-    assert [r.hash for r in got] == [1, 3, 4, 5, 6, 7, 8, 9, 2, 0]
-    assert components(similar.links(sets)).count() == 0
+    text = " ".join(f"w{i}" for i in range(10))
+    texts = spark.createDataFrame([(1, text)], "node long, text string")
+    plain = similar.shingle_set(text, 1)
+    often = plain[[2, 0]]
+    got = similar.prefixes(texts, 1, (1, 10), often).orderBy("at").collect()
+    expected = [*np.delete(plain, [0, 2]), plain[2], plain[0]]
+    assert [r.hash for r in got] == [int(x) for x in np.array(expected, "<u8").view("<i8")]
+    assert {r.n for r in got} == {10}
