@@ -16,11 +16,19 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Characters that this module and the tokenizers may not agree on; texts with them go in whole.
 _ODD = re.compile("[\x1c-\x1f\x85᠎​﻿]")
+#: White space to Python, but not to the tokenizers.
+_SPLIT_HERE_ONLY = "\x1c\x1d\x1e\x1f\x85"
+_OTHER_WHITE = re.compile(r"[^\S \n]")
 _SPACED = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 #: Pieces longer than this are not remembered.
 _LONG = 48
 
 
+def _whole(special) -> re.Pattern:
+    """What sends a text in whole: its pieces may not stand alone. A special token is known by its first two characters."""
+    return re.compile("|".join([_ODD.pattern, *sorted({re.escape(t.content[:2]) for t in special})]))
+
+
 def _groups(pieces: set[str], keeps_spaces: bool) -> list[tuple[str, list[str]]]:
     """(what to put between them, pieces) that can stand in one text without changing each other."""
     if not keeps_spaces:
@@ -50,14 +58,17 @@ class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes.
 
     keeps_spaces: whether the tokenizer's pieces carry white space (byte-level) or drop it.
+    plain_special: whether special tokens' strings inside a text are plain text; else they are the special tokens,
+    as the library has it unless told otherwise.
     remembered: most pieces held at once; the bound on memory.
     """
 
-    def __init__(self, path: str, keeps_spaces: bool, remembered: int = 1_600_000):
+    def __init__(self, path: str, keeps_spaces: bool, plain_special: bool = False, remembered: int = 1_600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain_special
+        self.whole = _whole([] if plain_special else self.tokenizer.get_added_tokens_decoder().values())
         self.keeps_spaces = keeps_spaces
         self.learn = self.keys_of if keeps_spaces else self.pieces_of
         self.line_end = self.direct(["\n"])[0]
@@ -96,34 +107,47 @@ class Encoder:
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if _ODD.search(text):
-            return self.direct([text])[0]
         if not self.keeps_spaces:
+            if any(c in text for c in _SPLIT_HERE_ONLY):
+                return self.direct([text])[0]
             pieces = text.split()
             return self._remembered(text, pieces, set(pieces))
         # one key per word: line ends go with the word after them
         pieces = ("\n" + text).replace("\n", " \n").split(" ")[1:]
         wanted = set(pieces)
-        if "" in wanted or "\n" in wanted or len(text.split()) != len(pieces):
-            # other white space than single spaces and line ends between words
-            found = _SPACED.findall(text)
-            return b"".join(map(self.pieces_of(set(found)).__getitem__, found))
-        return self._remembered(text, pieces, wanted)[len(self.line_end) :]
+        if "" in wanted or "\n" in wanted:  # more than one space or line end between words
+            return self._spaced(text)
+        return self._remembered(text, pieces, wanted)
+
+    def _spaced(self, text: str) -> bytes:
+        """By way of the tokenizer's own cuts, for texts with other white space than single spaces and line ends."""
+        if self.whole.search(text):
+            return self.direct([text])[0]
+        found = _SPACED.findall(text)
+        return b"".join(map(self.pieces_of(set(found)).__getitem__, found))
 
     def _remembered(self, text: str, pieces: list[str], wanted: set[str]) -> bytes:
+        """Ids piece by piece. Remembered pieces are known to stand alone, so only unseen ones are looked into."""
         wanted = wanted.difference(self.young)
-        long = [p for p in wanted if len(p) > _LONG]
         if len(wanted) > self.half:  # more than can be remembered: a very long text
-            return (self.line_end if self.keeps_spaces else b"") + self.direct([text])[0]
+            return self.direct([text])[0]
+        own: dict[str, bytes] = {}
         if wanted:
+            unseen = "".join(wanted)
+            if self.whole.search(unseen):
+                return self.direct([text])[0]
+            if self.keeps_spaces and _OTHER_WHITE.search(unseen):
+                return self._spaced(text)
+            long = {p for p in wanted if len(p) > _LONG}
             self._fill(wanted.difference(long))
-        if long:
-            own = self.learn(set(long))
-            return b"".join([self._one(p, own) for p in pieces])
+            own = self.learn(long) if long else {}
         try:
-            return b"".join(map(self.young.__getitem__, pieces))
+            found = None if own else b"".join(map(self.young.__getitem__, pieces))
         except KeyError:  # some were in the half that was put aside
-            return b"".join([self._one(p, {}) for p in pieces])
+            found = None
+        if found is None:
+            found = b"".join([self._one(p, own) for p in pieces])
+        return found[len(self.line_end) :] if self.keeps_spaces else found
 
     def _one(self, piece: str, own: dict[str, bytes]) -> bytes:
         for known in (own, self.young, self.old):
@@ -135,11 +159,11 @@ class Encoder:
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, keeps_spaces: bool) -> Encoder:
+def encoder(path: str, keeps_spaces: bool, plain_special: bool = False) -> Encoder:
     """One encoder per Python worker: its file is read once, its memory is kept between tasks."""
-    key = (path, keeps_spaces)
+    key = (path, keeps_spaces, plain_special)
     if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(path, keeps_spaces)
+        _ENCODERS[key] = Encoder(path, keeps_spaces, plain_special)
     return _ENCODERS[key]
 
 
@@ -153,7 +177,7 @@ class SpanEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.whole = _whole(self.tokenizer.get_added_tokens_decoder().values())
         self.keeps_spaces = keeps_spaces
         self.cut = _SPACED if keeps_spaces else re.compile(r"[^ \n]+")
         self.remembered = remembered
@@ -187,7 +211,7 @@ class SpanEncoder:
         return [p for _, p in found], np.array([at for at, _ in found], dtype=np.int64)
 
     def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        if not text or _ODD.search(text):
+        if not text or self.whole.search(text):
             begins, ends = self.direct([text])[0] if text else ((), ())
             return np.array(begins, dtype=np.int64), np.array(ends, dtype=np.int64)
         pieces, starts = self._cut(text)

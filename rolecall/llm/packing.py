@@ -48,30 +48,49 @@ def cuts(n: int, lengths: list[int]) -> list[int]:
     return found
 
 
+#: Ids held before a batch of pieces is handed over, in bytes.
+_HELD = 64 << 20
+
+
 def _cutter(tokenizer: str, keeps_spaces: bool, end_id: int, capacity: int, classes: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer, keeps_spaces)
         lengths = class_lengths(capacity, classes)
         end = np.array([end_id], dtype="<u4").tobytes()
-        known: dict[int, list[int]] = {}
+        known: dict[int, np.ndarray] = {}
+
+        def pieces_of(total: int) -> np.ndarray:
+            rest = total % capacity
+            if rest not in known:
+                known[rest] = np.array(cuts(rest, lengths), dtype=np.int64)
+            whole = total // capacity
+            return np.concatenate([np.full(whole, capacity, dtype=np.int64), known[rest]]) if whole else known[rest]
+
+        def rows(doc_ids: pa.Array, found: list[bytes]) -> pa.RecordBatch:
+            totals = np.array([len(x) // 4 for x in found], dtype=np.int64)
+            parts = [pieces_of(n) for n in totals.tolist()]
+            counts = np.array([len(p) for p in parts], dtype=np.int64)
+            sizes = np.concatenate(parts)
+            ends = np.cumsum(sizes)
+            before = np.repeat(np.cumsum(totals) - totals, counts)
+            offsets = np.concatenate([[0], 4 * ends]).astype(np.int32)
+            ids = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(b"".join(found))])
+            columns = [
+                doc_ids.take(pa.array(np.repeat(np.arange(len(found)), counts))), pa.array(ends - sizes - before),
+                pa.array(sizes), pa.array(np.repeat(totals, counts)), ids,
+            ]
+            return pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "doc_tokens", "ids"])
+
         for batch in batches:
-            rows: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encode(text.as_py()) + end
-                total, start = len(ids) // 4, 0
-                rest = total % capacity
-                if rest not in known:
-                    known[rest] = cuts(rest, lengths)
-                for length in [capacity] * (total // capacity) + known[rest]:
-                    own = ids[4 * start : 4 * (start + length)]
-                    rows.append((doc_id, start, length, total, own))
-                    start += length
-            columns = list(zip(*rows, strict=True)) or [()] * 5
-            kinds = [pa.int64()] * 4 + [pa.binary()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                names=["doc_id", "start", "length", "doc_tokens", "ids"],
-            )
+            first, held, found = 0, 0, []
+            for text in batch.column(1):
+                found.append(encode(text.as_py()) + end)
+                held += len(found[-1])
+                if held >= _HELD:
+                    yield rows(batch.column(0).slice(first, len(found)), found)
+                    first, held, found = first + len(found), 0, []
+            if found:
+                yield rows(batch.column(0).slice(first, len(found)), found)
 
     return cut
 

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolecall.llm import binary_tokens, lattice, lines, mixing, multiset, neighbours, packing, pseudonyms, simhash, token_spans
+from rolecall.llm import (
+    alignment, binary_tokens, lattice, lines, mixing, multiset, neighbours, packing, pseudonyms, ranked, rules, simhash, token_spans,
+)
 from rolecall.llm.common import table
 from rolecall.session import work_path
 
@@ -96,3 +98,20 @@ def op8_line_dedup(spark, sf_dir):
         "doc_id", F.size("gone").alias("n_gone"), F.length(left).cast("long").alias("kept_chars"),
         F.md5(left.cast("binary")).alias("kept_md5"),
     )
+
+
+@query
+def op11_quality_rules(spark, sf_dir):
+    found = rules.verdicts(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op12_token_alignment(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return alignment.cross_aligned(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))[0]
+
+
+@query
+def op13_ranked_search(spark, sf_dir):
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -93,3 +93,67 @@ SELECT e.vec_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_links, least(e.vec_id, co
   least(e.vec_id, coalesce(s.other, e.vec_id)) = e.vec_id AS kept
 FROM embeddings e LEFT JOIN smallest s USING (vec_id) LEFT JOIN counts c USING (vec_id)
 """
+
+ORACLES["op11_quality_rules"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+), words AS (
+  SELECT r, list_transform(range(len(w)), lambda i: {i: i, w: w[i + 1]}) AS ws, len(w) AS n
+  FROM (SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM docs)
+), word AS (
+  SELECT r, unnest(ws).i AS i, unnest(ws).w AS w FROM words
+), windows AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, w || chr(10) || w2 || chr(10) || w3) AS k FROM (
+    SELECT r, i, w, lead(w) OVER o AS w2, lead(w, 2) OVER o AS w3 FROM word WINDOW o AS (PARTITION BY r ORDER BY i)) WHERE w3 IS NOT NULL
+), again AS (
+  SELECT r, count(DISTINCT i + d) AS n_repeat_words FROM windows, range(3) s(d) WHERE k > 1 GROUP BY r
+), tops AS (
+  SELECT r, max(k) AS top, sum(CASE WHEN lettered THEN k END) AS lettered
+  FROM (SELECT r, w, count(*) AS k, regexp_matches(w, '\p{L}') AS lettered FROM word GROUP BY r, w) GROUP BY r
+), line AS (
+  SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs
+), filled AS (
+  SELECT r, line, regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS bare FROM line WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), line_counts AS (
+  SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS dup, count(*) FILTER (contains('-*•‣◦', left(bare, 1))) AS marked,
+    count(*) FILTER (suffix(bare, '...') OR suffix(bare, '…')) AS faded FROM filled GROUP BY r
+), counts AS (
+  SELECT d.doc_id, w.n AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(l.dup, 0) AS n_dup_lines,
+    coalesce(a.n_repeat_words, 0) AS n_repeat_words, coalesce(l.n_lines, 0) AS n_lines, coalesce(l.marked, 0) AS marked,
+    coalesce(l.faded, 0) AS faded, coalesce(t.top, 0) AS top, coalesce(t.lettered, 0) AS lettered,
+    length(regexp_replace(text, '[^\p{Lu}]', '', 'g')) AS capitals, length(regexp_replace(text, '[^\p{L}]', '', 'g')) AS letters
+  FROM docs d JOIN words w USING (r) LEFT JOIN again a USING (r) LEFT JOIN tops t USING (r) LEFT JOIN line_counts l USING (r)
+), judged AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+  CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+  NOT base_failed AND 10 * n_symbols <= n_words AND 10 * n_dup_lines <= 3 * n_lines AND word_chars BETWEEN 2 * n_words AND 12 * n_words
+    AND 10 * lettered >= 7 * n_words AND 2 * capitals <= letters AND 4 * top <= n_words
+    AND 10 * marked <= 9 * n_lines AND 2 * faded <= n_lines AS kept
+FROM judged
+"""
+
+ORACLES["op13_ranked_search"] = r"""
+WITH item AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), doc AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), total AS (
+  SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM doc WHERE len(terms) > 0
+), posting AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM doc) GROUP BY r, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM posting, total GROUP BY term, n_docs
+), scored AS (
+  SELECT i.item_id, d.doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * len(d.terms) * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM item i JOIN posting p USING (term) JOIN weights USING (term) JOIN doc d USING (r), total GROUP BY i.item_id, d.r, d.doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""

@@ -22,9 +22,7 @@ ODD = ["a  b", "  a", "a \n b", "\n\nF", "a\t\tb ", " \xa0b", "a\x1cb", "don't I
 def tokenizer(name):
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(tokenizer_file(name))
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(tokenizer_file(name))
 
 
 def texts_of(spark, sf_dir, name="documents"):
@@ -36,8 +34,8 @@ def test_remembered_pieces_encode_alike(spark, sf_dir, name, keeps):
     texts = [r.text for r in texts_of(spark, sf_dir).select("text").collect()] + ODD
     whole = tokenizer(name)
     for remembered in (1_000_000, 60):
-        fast = encode.Encoder(tokenizer_file(name), keeps, remembered)
-        spans = encode.SpanEncoder(tokenizer_file(name), keeps, remembered)
+        fast = encode.Encoder(tokenizer_file(name), keeps, remembered=remembered)
+        spans = encode.SpanEncoder(tokenizer_file(name), keeps, remembered=remembered)
         for text in texts:
             found = whole.encode(text, add_special_tokens=False)
             assert np.frombuffer(fast(text), "<u4").tolist() == found.ids
