@@ -26,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,7 @@ BLOCK, BLOCK_BYTES = 1 << 16, 1 << 13
 HELD = 1 << 21
 
 _CHUNK = re.compile(r" +[^ ]*")
+LOST = b"!"  # no ids are one byte long
 
 
 # --- tokens as bytes --------------------------------------------------------------------------------------------------------
@@ -77,7 +79,8 @@ class Pieces:
     """Tokenizer B: ids of a text, which it gives a space of its own first, and each id's bytes.
 
     No piece goes on after a space that ends it, so the ids of a text are those of its chunks (spaces and what follows
-    them), which are remembered. A vocabulary with such pieces, or one that rewrites texts, is asked for whole texts.
+    them), which are remembered. A vocabulary with such pieces is asked for whole texts. A chunk whose pieces do not give
+    back its bytes is remembered as LOST.
     """
 
     def __init__(self, path: str, remembered: int = 600_000):
@@ -87,8 +90,9 @@ class Pieces:
         names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.pieces = [self._bytes(name) for name in names]
         self.apart = all("▁" not in name.lstrip("▁") for name in names)
-        self.space = np.array([self.model.piece_to_id("▁")], dtype="<u4").tobytes()
-        self.remembered, self.known = remembered, {" ": self.space}
+        self.remembered = remembered
+        self.known: dict[str, bytes] = {}
+        self.lossy = False  # whether any chunk so far was LOST
 
     @staticmethod
     def _bytes(name: str) -> bytes:
@@ -96,33 +100,60 @@ class Pieces:
             return bytes([int(name[3:5], 16)])
         return name.replace("▁", " ").encode()
 
-    def __call__(self, text: str) -> np.ndarray:
+    def _learned(self, chunks: list[str]) -> dict[str, bytes]:
+        found = self.model.encode([c[1:] for c in chunks], num_threads=1)
+        flat = np.fromiter(chain.from_iterable(found), dtype="<u4").tobytes()
+        out, at = {}, 0
+        for chunk, ids in zip(chunks, found, strict=True):
+            end = at + 4 * len(ids)
+            if chunk == " ":  # no text at all: the library would give nothing for it
+                out[chunk] = np.array([self.model.piece_to_id("▁")], dtype="<u4").tobytes()
+            else:
+                out[chunk] = flat[at:end] if b"".join([self.pieces[i] for i in ids]) == chunk.encode() else LOST
+                self.lossy |= out[chunk] is LOST
+            at = end
+        return out
+
+    def __call__(self, text: str) -> np.ndarray | None:
+        """Ids, or None where they do not give back a space and the text."""
         if not self.apart:
-            return np.array(self.model.encode(text, num_threads=1), dtype="<u4")
+            ids = self.model.encode(text, num_threads=1)
+            same = b"".join([self.pieces[i] for i in ids]) == (" " + text).encode()
+            return np.array(ids, dtype="<u4") if same else None
         chunks = _CHUNK.findall(" " + text)
-        unseen = list(set(chunks).difference(self.known))
-        own: dict[str, bytes] = {}
-        if unseen:
-            ids = self.model.encode([c[1:] for c in unseen], num_threads=1)
-            own = {c: np.array(x, dtype="<u4").tobytes() for c, x in zip(unseen, ids, strict=True)}
+        parts = list(map(self.known.get, chunks))
+        if None in parts:
+            own = self._learned(list({c for c, ids in zip(chunks, parts, strict=True) if ids is None}))
+            parts = [own[c] if ids is None else ids for c, ids in zip(chunks, parts, strict=True)]
             if len(self.known) + len(own) > self.remembered:
-                wanted = set(chunks).difference(own)
-                self.known = {c: self.known[c] for c in wanted} | {" ": self.space}
-            own_short = {c: x for c, x in own.items() if len(c) <= 48}
-            self.known.update(own_short)
-            if len(own_short) < len(own):
-                return np.frombuffer(b"".join([own[c] if c in own else self.known[c] for c in chunks]), dtype="<u4")
-        return np.frombuffer(b"".join(map(self.known.__getitem__, chunks)), dtype="<u4")
+                self.known = {}
+            self.known.update((c, ids) for c, ids in own.items() if len(c) <= 48)
+        return None if self.lossy and LOST in parts else np.frombuffer(b"".join(parts), dtype="<u4")
+
+
+class Strings:
+    """A list of byte strings as one buffer, to join many of them at once."""
+
+    def __init__(self, strings: list[bytes]):
+        self.flat = np.frombuffer(b"".join(strings), dtype=np.uint8)
+        self.sizes = np.array([len(s) for s in strings], dtype=np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def joined(self, numbers: np.ndarray) -> bytes:
+        sizes = self.sizes[numbers]
+        ends = np.cumsum(sizes)
+        shift = np.repeat(self.starts[numbers] - (ends - sizes), sizes)
+        return self.flat[shift + np.arange(len(shift))].tobytes()
 
 
 class Aligner:
-    """Digest and pairs of a text under two tokenizers, given as factories of (callable with ``pieces``)."""
+    """Digest and pairs of a text under two tokenizers."""
 
     def __init__(self, a, b):
         self.a, self.b = a, b
         self.sizes = [np.array([len(p) for p in t.pieces], dtype=np.int64) for t in (a, b)]
-        most = max(len(a.pieces), len(b.pieces))
-        self.marked = [f"{i}{mark}".encode() for i in range(most) for mark in ",|;"]
+        self.a_bytes = Strings(a.pieces)
+        self.marked = Strings([f"{i}{mark}".encode() for i in range(max(len(a.pieces), len(b.pieces))) for mark in ",|;"])
 
     def __call__(self, text: str | None) -> tuple[int, int, int, int, str, bytes, bytes]:
         """n_a, n_b, n_groups, n_links, groups_sha256, pairs (a << 32 | b, sorted), times."""
@@ -132,7 +163,7 @@ class Aligner:
         spaced = " " + text
         raw = spaced.encode()
         a, b = self.a(spaced), self.b(text)
-        if b"".join(map(self.a.pieces.__getitem__, a.tolist())) != raw or b"".join(map(self.b.pieces.__getitem__, b.tolist())) != raw:
+        if b is None or self.a_bytes.joined(a) != raw:
             return nothing
         a_ends, b_ends = np.cumsum(self.sizes[0][a]), np.cumsum(self.sizes[1][b])
         # tokens are never empty, so an end stands once in each list, and a shared one is one link
@@ -145,18 +176,17 @@ class Aligner:
 
     def groups(self, a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> bytes:
         """``a1,a2|b1;a3|b2,b3``: the groups' ids in order."""
-        n, m, k = len(a), len(b), len(at_a)
-        no = np.arange(k)
+        n, m = len(a), len(b)
         # token i of A stands after the i tokens of A and the tokens of B of the groups before its own
         group_a, group_b = np.searchsorted(at_a, np.arange(n)), np.searchsorted(at_b, np.arange(m))
         before_b = np.concatenate([[0], at_b + 1])
         place_a = np.arange(n) + before_b[group_a]
         place_b = np.arange(m) + at_a[group_b] + 1
         marks_a, marks_b = np.zeros(n, dtype=np.int64), np.zeros(m, dtype=np.int64)
-        marks_a[at_a[no]], marks_b[at_b[no]] = 1, 2
+        marks_a[at_a], marks_b[at_b] = 1, 2
         line = np.empty(n + m, dtype=np.int64)
         line[place_a], line[place_b] = 3 * a.astype(np.int64) + marks_a, 3 * b.astype(np.int64) + marks_b
-        return b"".join(map(self.marked.__getitem__, line.tolist()))[:-1]
+        return self.marked.joined(line)[:-1]
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}

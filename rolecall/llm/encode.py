@@ -96,28 +96,41 @@ class Encoder:
         found = self.pieces_of({" " + k for k in spaced} | {k[1:] for k in keys if k[0] == "\n"})
         return {k: self.line_end + found[k[1:]] if k[0] == "\n" else found[" " + k] for k in keys}
 
-    def _fill(self, wanted: set[str]) -> None:
-        if len(self.young) + len(wanted) > self.half:
+    def _learned(self, unseen: set[str]) -> dict[str, bytes]:
+        """Ids of pieces that are not in the younger half of the memory; all but long ones are now remembered."""
+        if len(self.young) + len(unseen) > self.half:
             self.old, self.young = self.young, {}
-        missing_all = wanted.difference(self.old)
-        for piece in wanted.difference(missing_all):
-            self.young[piece] = self.old[piece]
-        self.young.update(self.learn(missing_all))
+        own = {p: self.old[p] for p in unseen if p in self.old}
+        own.update(self.learn(unseen.difference(own)))
+        self.young.update((p, ids) for p, ids in own.items() if len(p) <= _LONG)
+        return own
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if not self.keeps_spaces:
-            if any(c in text for c in _SPLIT_HERE_ONLY):
-                return self.direct([text])[0]
+        before = 0
+        if self.keeps_spaces:
+            # one key per word: line ends go with the word after them, and a first word counts as after one
+            led = text[0] == " "
+            before = 0 if led else len(self.line_end)
+            pieces = (text[1:] if led else "\n" + text).replace("\n", " \n").split(" ")[not led :]
+        elif any(c in text for c in _SPLIT_HERE_ONLY):
+            return self.direct([text])[0]
+        else:
             pieces = text.split()
-            return self._remembered(text, pieces, set(pieces))
-        # one key per word: line ends go with the word after them
-        pieces = ("\n" + text).replace("\n", " \n").split(" ")[1:]
-        wanted = set(pieces)
-        if "" in wanted or "\n" in wanted:  # more than one space or line end between words
-            return self._spaced(text)
-        return self._remembered(text, pieces, wanted)
+        parts = list(map(self.young.get, pieces))
+        if None in parts:
+            # remembered pieces are known to stand alone: only unseen ones are looked into
+            unseen = {p for p, ids in zip(pieces, parts, strict=True) if ids is None}
+            together = "".join(unseen)
+            if len(unseen) > self.half or self.whole.search(together):
+                return self.direct([text])[0]
+            if self.keeps_spaces and ("" in unseen or "\n" in unseen or _OTHER_WHITE.search(together)):
+                return self._spaced(text)
+            own = self._learned(unseen)
+            parts = [own[p] if ids is None else ids for p, ids in zip(pieces, parts, strict=True)]
+        found = b"".join(parts)
+        return found[before:] if before else found
 
     def _spaced(self, text: str) -> bytes:
         """By way of the tokenizer's own cuts, for texts with other white space than single spaces and line ends."""
@@ -126,35 +139,6 @@ class Encoder:
         found = _SPACED.findall(text)
         return b"".join(map(self.pieces_of(set(found)).__getitem__, found))
 
-    def _remembered(self, text: str, pieces: list[str], wanted: set[str]) -> bytes:
-        """Ids piece by piece. Remembered pieces are known to stand alone, so only unseen ones are looked into."""
-        wanted = wanted.difference(self.young)
-        if len(wanted) > self.half:  # more than can be remembered: a very long text
-            return self.direct([text])[0]
-        own: dict[str, bytes] = {}
-        if wanted:
-            unseen = "".join(wanted)
-            if self.whole.search(unseen):
-                return self.direct([text])[0]
-            if self.keeps_spaces and _OTHER_WHITE.search(unseen):
-                return self._spaced(text)
-            long = {p for p in wanted if len(p) > _LONG}
-            self._fill(wanted.difference(long))
-            own = self.learn(long) if long else {}
-        try:
-            found = None if own else b"".join(map(self.young.__getitem__, pieces))
-        except KeyError:  # some were in the half that was put aside
-            found = None
-        if found is None:
-            found = b"".join([self._one(p, own) for p in pieces])
-        return found[len(self.line_end) :] if self.keeps_spaces else found
-
-    def _one(self, piece: str, own: dict[str, bytes]) -> bytes:
-        for known in (own, self.young, self.old):
-            if piece in known:
-                return known[piece]
-        return self.learn({piece})[piece]
-
 
 _ENCODERS: dict[tuple, Encoder] = {}
 

@@ -88,9 +88,9 @@ class Shard:
         places = self._places(rows, terms, shares, directions)
         order = np.lexsort((rows, terms))
         rows, terms = rows[order], terms[order]
-        edges = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]])) if len(terms) else np.array([], dtype=int)
+        edges = np.flatnonzero(np.diff(terms, prepend=-1))
         self.lists = {}
-        for s, e in zip(edges, [*edges[1:], len(terms)], strict=True):
+        for s, e in zip(edges, np.append(edges, len(terms))[1:], strict=True):
             term = int(terms[s])
             members, firsts = self._blocks(rows[s:e], places, block)
             columns = wanted[term]
