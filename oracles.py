@@ -634,9 +634,20 @@ WITH s AS (
     to_timestamp((epoch(ts)::BIGINT // 21600) * 21600 + 43200)::TIMESTAMP AS ends FROM events WHERE event_type = 'signup'),
 b AS (SELECT ts, user_id FROM events WHERE event_type = 'error'),
 mark AS (SELECT least((SELECT max(ts) FROM s), (SELECT max(ts) FROM b)) - INTERVAL 1 HOUR AS watermark)
-SELECT send_id, address, CASE WHEN EXISTS (SELECT 1 FROM b WHERE b.user_id = s.user_id AND b.ts BETWEEN s.ts AND s.ts + INTERVAL 6 HOUR)
+SELECT send_id, address, CASE WHEN ends > (SELECT watermark FROM mark) THEN 'pending'
+  WHEN EXISTS (SELECT 1 FROM b WHERE b.user_id = s.user_id AND b.ts BETWEEN s.ts AND s.ts + INTERVAL 6 HOUR)
   THEN 'bounced' ELSE 'delivered' END AS outcome
-FROM s WHERE ends <= (SELECT watermark FROM mark)""",
+FROM s""",
+    "retry_events": """
+WITH e AS (SELECT user_id AS contact_key, CAST(json_extract_string(props, '$.k') AS INT) % 6 + 1 AS attempt, event_type, ts
+  FROM events WHERE event_type IN ('signup', 'error')),
+a AS (SELECT contact_key, attempt, min(ts) FILTER (event_type = 'signup') AS sent, min(ts) FILTER (event_type = 'error') AS bounce FROM e GROUP BY ALL),
+s AS (SELECT *, coalesce(bounce <= sent + INTERVAL 6 HOUR, false) AS bounced FROM a WHERE sent IS NOT NULL)
+SELECT contact_key, attempt, 'pending' AS state, sent AS at FROM s
+UNION ALL SELECT contact_key, attempt, 'bounced', bounce FROM s WHERE bounced
+UNION ALL SELECT contact_key, attempt, CASE WHEN attempt < 6 THEN 'retry' ELSE 'exhausted' END, bounce FROM s WHERE bounced
+UNION ALL SELECT contact_key, attempt, 'delivered', sent + INTERVAL 6 HOUR FROM s
+  WHERE NOT bounced AND sent + INTERVAL 6 HOUR <= (SELECT max(ts) FROM e) - INTERVAL 1 HOUR""",
     "retry_states": """
 WITH e AS (SELECT user_id AS contact_key, CAST(json_extract_string(props, '$.k') AS INT) % 6 + 1 AS attempt, event_type, ts FROM events),
 a AS (

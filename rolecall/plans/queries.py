@@ -13,17 +13,19 @@ from rolecall.functions import names as N
 from rolecall.functions import text as T
 from rolecall.functions import urls as U
 from rolecall.operators import addresses, domains, outreach, pages, postings, reconcile, search
-from rolecall.operators.skew import numbered, top_by
+from rolecall.operators.skew import hot_keys, numbered, top_by
 from rolecall.plans import inputs as I
 from rolecall.plans import pipeline
 from rolecall.sources import readers, writers
-from rolecall.streaming import ingest
+from rolecall.streaming import ingest, retries
 from rolecall.streaming import reconcile as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 WEEK_MINUTES = 7 * 24 * 60
 STREAM_WAIT = 6 * 3600
+#: Longer than the events' span: an attempt is judged by its first send alone.
+KEEP = 3650 * 86_400
 
 
 def query(fn):
@@ -537,14 +539,26 @@ def _finish(running):
 
 @query
 def stream_outcomes(spark, sf_dir):
-    """Outcome of every send whose answer windows are over, from two watermarked streams."""
+    """Every send once: bounced or delivered where its answer windows are over, pending where the stream still waits."""
     events = _events_stream(spark, sf_dir)
     sends = events.filter("kind = 'send'")
     notices = events.filter("kind = 'bounce'")
-    target = session.work_path(spark, "outcomes")
-    outcomes = streams.send_outcomes(sends, notices, STREAM_WAIT)
-    _finish(streams.store_stream(outcomes, target, session.work_path(spark, "progress")))
-    return spark.read.parquet(target).select("send_id", "address", "outcome")
+    target, progress = session.work_path(spark, "outcomes"), session.work_path(spark, "progress")
+    busy = hot_keys(I.as_stream_events(I.table(spark, sf_dir, "events")).filter("kind = 'send'"), ["address"])
+    outcomes = streams.send_outcomes(sends, notices, STREAM_WAIT, hot=busy)
+    _finish(streams.store_stream(outcomes, target, progress))
+    given = spark.read.parquet(target)
+    return given.unionByName(streams.open_sends(spark, progress, given)).select("send_id", "address", "outcome")
+
+
+@query
+def retry_events(spark, sf_dir):
+    """What happens to every attempt, emitted when it happens: pending, bounced, retry or exhausted, delivered."""
+    target = session.work_path(spark, "retries")
+    events = retries.retry_events(_events_stream(spark, sf_dir), len(K.ADDRESS_PATTERNS), STREAM_WAIT, KEEP)
+    _finish(retries.store_retries(events, target, session.work_path(spark, "progress")))
+    found = retries.emitted(spark, target)
+    return found.select("contact_key", "attempt", "state", F.col("at").cast("timestamp_ntz").alias("at"))
 
 
 @query

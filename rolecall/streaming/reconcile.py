@@ -28,6 +28,7 @@ def send_outcomes(
     wait: int = K.WAIT_SECONDS,
     delay: str = "1 hour",
     salts: int = SALTS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Outcome per send: did a notice for its address arrive within ``wait`` seconds of it?
 
@@ -35,9 +36,17 @@ def send_outcomes(
     hold every notice that can answer it. Of those only the last notice of the first half
     and the first of the second half decide, so notices are aggregated per address and
     window pair (combining before the shuffle) and a send meets one row at most. Sends to
-    a busy address are spread over ``salts`` copies of that row. Notices later than
-    ``delay`` are dropped; a send is given out once its windows are over.
+    a busy address are spread over ``salts`` copies of that row, or over as many as ``hot``
+    says (address, _salts; see ``skew.hot_keys``), all others then over one. Notices later than
+    ``delay`` are dropped; a send is given out once its windows are over. ``open_sends`` gives those
+    that are not.
     """
+
+    def salted(rows: DataFrame) -> tuple[DataFrame, Column]:
+        if hot is None:
+            return rows, F.lit(salts)
+        return rows.join(F.broadcast(hot.select("address", "_salts")), "address", "left"), F.coalesce("_salts", F.lit(1))
+
     early = _in_first_half(wait)
     answers = (
         notices.select("address", "at")
@@ -48,9 +57,10 @@ def send_outcomes(
             F.max(F.when(early, F.col("at"))).alias("last_early"),
             F.min(F.when(~early, F.col("at"))).alias("first_late"),
         )
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
-    open_sends = (
+    answers, most = salted(answers)
+    answers = answers.withColumn("salt", F.explode(F.sequence(F.lit(0), most - 1))).drop("_salts")
+    waiting = (
         sends.select("send_id", "address", "at")
         .withWatermark("at", delay)
         .withColumn("span", _spans("at", wait))
@@ -58,18 +68,36 @@ def send_outcomes(
         # the join's event time is the window, so the send's own time becomes a plain column
         .withColumn("sent_at", F.timestamp_micros(F.unix_micros("at")))
         .drop("at")
-        .withColumn("salt", F.pmod(F.xxhash64("send_id"), F.lit(salts)).cast("int"))
     )
+    waiting, most = salted(waiting)
+    waiting = waiting.withColumn("salt", F.pmod(F.xxhash64("send_id"), most).cast("int")).drop("_salts")
     in_time = (F.col("last_early") >= F.col("sent_at")) | (
         F.col("first_late") <= F.col("sent_at") + F.expr(f"INTERVAL '{wait}' SECOND")
     )
     return (
-        open_sends.join(answers, ["span", "address", "salt"], "left")
+        waiting.join(answers, ["span", "address", "salt"], "left")
         .withColumn("outcome", F.when(in_time, "bounced").otherwise("delivered"))
         .select("send_id", "address", "sent_at", "outcome")
     )
 
 
+def open_sends(spark: SparkSession, checkpoint: str, stored: DataFrame) -> DataFrame:
+    """Sends that wait in the stopped stream's state, as send_id, address, sent_at, outcome 'pending'.
+
+    The join keeps a send until its windows are over, so its state and ``stored`` (what the stream has given out)
+    together hold every send. Only the state is read, and of ``stored`` what is no older than it. A send to no address is
+    not matched with one, and waits like any other.
+    """
+    operators = spark.read.format("state-metadata").load(checkpoint)
+    join = operators.filter(F.col("operatorName") == "symmetricHashJoin").select("operatorId").first()[0]
+    reader = spark.read.format("statestore").option("joinSide", "left").option("operatorId", join)
+    held = reader.load(checkpoint).select("value.send_id", "value.address", "value.sent_at")
+    since = held.agg(F.min("sent_at")).first()[0]
+    given = stored.filter(F.lit(False) if since is None else F.col("sent_at") >= F.lit(since)).select("send_id").distinct()
+    # a matched send was given out, but stays in the state as long as the others
+    return held.join(given, "send_id", "left_anti").withColumn("outcome", F.lit("pending"))
+
+
 def store_stream(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     """Append a stream to a parquet table, exactly once through the sink's own log."""
     writer = (
