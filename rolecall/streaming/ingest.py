@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rolecall.operators.pages import unseen
-from rolecall.operators.skew import first_by
+from rolecall.sources.segments import Segments
 
 
 def stream_table(spark: SparkSession, path: str) -> DataFrame:
@@ -55,25 +54,26 @@ def run_available(
 
 
 def append_once(
-    stream: DataFrame, target: str, keys: list[str], order: list[str], checkpoint: str
+    stream: DataFrame, target: str, keys: list[str], order: list[str], checkpoint: str,
+    recent: tuple[str, str] | None = None, buckets: int = 64, fan: int = 8,
 ) -> StreamingQuery:
     """Append the first row per key to ``target``, keys already stored left out.
 
-    A batch is reduced to one row per key before it meets the stored keys, so a hot key
-    costs one row. Each batch owns a folder: a replay after a lost driver or executor
-    writes the same folder again. A target belongs to one checkpoint.
+    A batch is reduced to one row per key before it meets the stored keys, and reads only the
+    folders its keys hash to (see ``segments``). A batch that is run again, after a lost driver or
+    executor, writes the same. A target belongs to one checkpoint.
+
+    recent: (time column, delay). Repeats that come within the delay are then dropped by the stream's
+    own state, before they reach the table; of a key's rows in one batch any may be the one that stays.
     """
+    if recent:
+        stream = stream.withWatermark(*recent).dropDuplicatesWithinWatermark(keys)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        # the first folder is empty and gives the table its schema
-        batch.limit(0).write.mode("ignore").parquet(f"{target}/batch_id=-1")
-        stored = spark.read.parquet(target).filter(F.col("batch_id") < batch_id)
-        new = unseen(first_by(batch, keys, order), stored, keys)
-        new.select(*batch.columns).write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        Segments(batch.sparkSession, target, keys, buckets, fan).append(batch, batch_id, order)
 
     return run_available(stream, checkpoint, store)
 
 
 def stored_rows(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target).drop("batch_id")
+    return Segments(spark, target, []).rows()

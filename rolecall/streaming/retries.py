@@ -75,7 +75,7 @@ class RetryProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         held, settled, last, version = self._load()
-        changed = set()
+        changed, opened = set(), set()
         for row in rows:
             last = max(last, *(t for t in (row.sent, row.bounced) if t is not None))
             if row.attempt in settled:
@@ -85,11 +85,13 @@ class RetryProcessor(StatefulProcessor):
                 if at is not None and (times[place] == NEVER or at < times[place]):
                     times[place] = at
                     changed.add(row.attempt)
+                    if place == 0:
+                        opened.add(row.attempt)
         for attempt in sorted(changed):
             sent, bounced = held[attempt]
             if sent == NEVER:
                 continue  # a bounce ahead of its send waits for it
-            found = [("pending", sent)]
+            found = [("pending", sent)] if attempt in opened else []
             if bounced != NEVER and bounced <= sent + self.wait:
                 found += [("bounced", bounced), ("retry" if attempt < self.candidates else "exhausted", bounced)]
                 settled.add(attempt)
