@@ -29,7 +29,7 @@ from rolecall.llm.simhash import _text_hash, only
 
 #: Likeness of near copies as a fraction.
 SHARE = (4, 5)
-SAMPLE, OFTEN, MOST_OFTEN = 50_000, 8, 100_000
+SAMPLE, OFTEN, MOST_OFTEN, PER_TASK = 50_000, 8, 100_000, 20_000
 #: Shared shingles up to this many are joined by broadcast.
 BROADCAST_ROWS = 1_000_000
 
@@ -49,19 +49,40 @@ def shingle_set(text: str | None, words: int, seed: int = 42) -> np.ndarray:
     return hashes
 
 
+def _most_frequent(hashes: np.ndarray, counts: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(hashes) <= most:
+        return hashes, counts
+    kept = np.argpartition(counts, -most)[-most:]
+    return hashes[kept], counts[kept]
+
+
 def often_shared(texts: DataFrame, words: int) -> np.ndarray:
-    """Shingles that many texts of a sample hold, the least frequent first."""
-    every = max(1, -(-texts.count() // SAMPLE))
+    """Shingles that many texts of a sample hold, the least frequent first.
+
+    Each task gives at most ``PER_TASK`` of its shingles, the most frequent ones: the order need not be exact.
+    """
+    rows = texts.count()
+    every = max(1, -(-rows // SAMPLE))
+    least = max(2, OFTEN // every)
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, counts = np.array([], dtype="<u8"), np.array([], dtype=np.int64)
         for batch in batches:
             sets = [shingle_set(t.as_py(), words) for t in batch.column(0)]
-            if sets:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view("<i8"))], names=["hash"])
-
-    some = texts.filter(F.pmod(F.xxhash64("node"), F.lit(every)) == 0).select("text").mapInArrow(spread, "hash long")
-    counts = some.groupBy("hash").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") >= OFTEN)
-    found = counts.orderBy(F.desc("k"), "hash").limit(MOST_OFTEN).collect()
+            if not sets:
+                continue
+            found, k = np.unique(np.concatenate(sets), return_counts=True)
+            both = np.concatenate([hashes, found])
+            hashes, back = np.unique(both, return_inverse=True)
+            counts = np.bincount(back, weights=np.concatenate([counts, k]), minlength=len(hashes)).astype(np.int64)
+            hashes, counts = _most_frequent(hashes, counts, 50 * PER_TASK)
+        often = counts > 1
+        hashes, counts = _most_frequent(hashes[often], counts[often], PER_TASK)
+        yield pa.RecordBatch.from_arrays([pa.array(hashes.view("<i8")), pa.array(counts)], names=["hash", "k"])
+
+    some = texts.filter(F.pmod(F.xxhash64("node"), F.lit(every)) == 0).select("text").mapInArrow(counted, "hash long, k long")
+    totals = some.groupBy("hash").agg(F.sum("k").alias("k")).filter(F.col("k") >= least)
+    found = totals.orderBy(F.desc("k"), "hash").limit(MOST_OFTEN).collect()
     return np.array([r.hash for r in reversed(found)], dtype="<i8").view("<u8")
 
 
@@ -131,7 +152,8 @@ def _pair(one: str, other: str) -> list[Column]:
 def links(texts: DataFrame, words: int, share: tuple[int, int] = SHARE) -> DataFrame:
     """Links (a, b) between nodes whose texts have the likeness ``share``, each pair found at least as
     part of a path; ``texts``: node, text."""
-    rows = stored(prefixes(texts, words, share, often_shared(texts, words)), "prefixes")
+    # worked out twice, for the counts and for what is shared: most are in one text only and are not worth storing
+    rows = prefixes(texts, words, share, often_shared(texts, words))
     shared = stored(rows.groupBy("hash").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("hash"), "shared")
     small = shared.count() <= BROADCAST_ROWS
     found = stored(rows.join(F.broadcast(shared) if small else shared, "hash").select("hash", "node", "n", "at"), "found")
