@@ -536,6 +536,8 @@ UNION ALL SELECT 'doc' || doc_id, line_no, url, name, role, 'duckduckgo' FROM pr
     "fetch_outcomes": _with(LINES, FETCHES)
     + "SELECT job_key, line_no, query_idx, backend, http_status, outcome, detail FROM outcomes",
     "sticky_backends": _with(LINES, FETCHES, STICKY) + "SELECT * FROM sticky",
+    "unplanned_requests": _with(LINES, FETCHES)
+    + "SELECT job_key, line_no, CAST(line_no // 3 AS INTEGER) AS query_idx, outcome FROM outcomes WHERE line_no // 3 > 5",
     "first_seen_profiles": _with(SNIPPETS, PROFILES, HITS)
     + """SELECT job_key, profile_key, query_idx, hit_rank, name FROM hits
 QUALIFY row_number() OVER (PARTITION BY job_key, profile_key ORDER BY query_idx, hit_rank) = 1""",
@@ -618,6 +620,8 @@ FROM ready r JOIN after_send a USING (job_key, contact_rank)""",
 FROM ready r JOIN after_send a USING (job_key, contact_rank)""",
     "bounce_recipients": _with(NOTICES) + "SELECT message_id, received_at, address FROM notices",
     "stored_notices": _with(NOTICES) + "SELECT message_id, address FROM notices",
+    "streamed_notices": _with(NOTICES) + "SELECT message_id, address FROM notices WHERE message_id % 97 <> 0",
+    "notice_quarantine": "SELECT '{broken ' || event_id AS record FROM events WHERE event_id % 97 = 0",
     "bounced_addresses": _with(NOTICES)
     + f"SELECT address, count(*) AS notices FROM notices WHERE received_at >= {_SINCE} GROUP BY address",
     "newest_notices": _with(NOTICES)

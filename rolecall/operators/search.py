@@ -144,41 +144,42 @@ def fetch_outcomes(log: DataFrame) -> DataFrame:
     return log.withColumn("outcome", outcome).withColumn("detail", detail)
 
 
+def split_requests(outcomes: DataFrame, queries: int = 6) -> tuple[DataFrame, DataFrame]:
+    """(requests of a planned query, requests whose query number is missing or outside the plan)."""
+    planned = F.coalesce(F.col("query_idx").between(0, queries - 1), F.lit(False))
+    return outcomes.filter(planned), outcomes.filter(~planned)
+
+
 def sticky_backends(outcomes: DataFrame, queries: int = 6, backends: list[str] | None = None) -> DataFrame:
     """Backend that answered each query of a posting, a failed one never being tried again.
 
     Query i uses the first backend at or after the one query i-1 ended on whose request
-    succeeded; when none is left the posting stops. A posting has at most six queries and
-    four backends, so its successes are the bits of one number: they combine before the
-    shuffle and nothing is collected.
+    succeeded; when none is left the posting stops. The successes of a query are the bits of
+    one number, one for each query: they combine before the shuffle and nothing is collected.
+    Requests outside the plan are left out (see ``split_requests``); all others count.
     """
     order = backends or K.BACKENDS
     width = len(order)
-    if queries * width > 63:
-        raise ValueError("queries x backends must fit in one 64-bit mask")
+    if width > 63:
+        raise ValueError("at most 63 backends fit in one 64-bit mask")
     slot = F.array_position(F.array(*[F.lit(b) for b in order]), F.col("backend")) - 1
+
+    def successes(query: int) -> Column:
+        good = (F.col("query_idx") == query) & (F.col("outcome") == "ok")
+        return F.bit_or(F.when(good, F.expr("shiftleft(1L, int(_slot))")).otherwise(F.lit(0).cast("long")))
+
     masks = (
-        outcomes.withColumn("_slot", slot)
+        split_requests(outcomes, queries)[0].withColumn("_slot", slot)
         .filter(F.col("_slot") >= 0)
-        .withColumn("query_idx", F.when(F.col("query_idx").between(0, queries - 1), F.col("query_idx")).otherwise(
-            F.raise_error(F.concat(F.lit("query outside the plan: "), F.coalesce(F.col("query_idx").cast("string"), F.lit("null"))))
-        ))
         .groupBy("job_key")
-        .agg(
-            F.bit_or(
-                F.when(
-                    F.col("outcome") == "ok", F.expr(f"shiftleft(1L, int(query_idx * {width} + _slot))")
-                ).otherwise(F.lit(0).cast("long"))
-            ).alias("_mask"),
-            F.max("query_idx").alias("_last"),
-        )
+        .agg(*[successes(q).alias(f"_mask{q}") for q in range(queries)], F.max("query_idx").alias("_last"))
     )
     pointer: Column = F.lit(0)
     used = []
     for query in range(queries):
         step: Column = F.lit(width)
         for at in reversed(range(width)):
-            ok = F.getbit("_mask", F.lit(query * width + at)) == 1
+            ok = F.getbit(f"_mask{query}", F.lit(at)) == 1
             step = F.when((F.col(f"_at{query}") <= at) & ok, at).otherwise(step)
         masks = masks.withColumn(f"_at{query}", pointer)
         pointer = step

@@ -250,6 +250,13 @@ def sticky_backends(spark, sf_dir):
     return search.sticky_backends(search.fetch_outcomes(I.fetch_log(spark, sf_dir)))
 
 
+@query
+def unplanned_requests(spark, sf_dir):
+    """Requests whose query number is outside the plan: three lines a query, without an end."""
+    log = I.fetch_log(spark, sf_dir).withColumn("query_idx", F.floor(F.col("line_no") / 3).cast("int"))
+    return search.split_requests(search.fetch_outcomes(log))[1].select("job_key", "line_no", "query_idx", "outcome")
+
+
 @query
 def first_seen_profiles(spark, sf_dir):
     seen = search.first_seen(search.profile_hits(I.search_hits(spark, sf_dir)))
@@ -493,6 +500,26 @@ def stored_notices(spark, sf_dir):
     return reconcile.bounce_notices(readers.read_notices(spark, path)).select("message_id", "address")
 
 
+def _streamed_messages(spark, sf_dir):
+    """Messages as JSON lines, every 97th of them broken, read as a stream and stored."""
+    path, target = session.work_path(spark, "mailbox"), session.work_path(spark, "messages")
+    rows = I.messages(spark, sf_dir).withColumn("received_at", F.col("received_at").cast("timestamp"))
+    line = F.when(F.col("message_id") % 97 == 0, F.concat(F.lit("{broken "), F.col("message_id").cast("string")))
+    rows.select(F.coalesce(line, F.to_json(F.struct(*rows.columns))).alias("value")).write.text(path)
+    _finish(streams.store_stream(readers.stream_notices(spark, path, 3), target, session.work_path(spark, "progress")))
+    return readers.split_notices(spark.read.parquet(target))
+
+
+@query
+def streamed_notices(spark, sf_dir):
+    return reconcile.bounce_notices(_streamed_messages(spark, sf_dir)[0]).select("message_id", "address")
+
+
+@query
+def notice_quarantine(spark, sf_dir):
+    return _streamed_messages(spark, sf_dir)[1]
+
+
 @query
 def bounced_addresses(spark, sf_dir):
     since = reconcile.cutoff(_as_of(spark, sf_dir), WEEK_MINUTES)

@@ -78,3 +78,15 @@ def read_text_docs(spark: SparkSession, path: str) -> DataFrame:
 
 def read_notices(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.NOTICES).json(path)
+
+
+def stream_notices(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
+    """Messages as a stream of JSON lines; a line that is no message keeps its text in ``_corrupt_record``."""
+    lines = spark.readStream.schema(f"{S.NOTICES}, _corrupt_record string")
+    return lines.option("maxFilesPerTrigger", files_per_batch).option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
+
+
+def split_notices(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(messages, lines that are none: record); of stored messages, since a text's reader may skip unused columns."""
+    broken = F.col("_corrupt_record").isNotNull()
+    return messages.filter(~broken).drop("_corrupt_record"), messages.filter(broken).select(F.col("_corrupt_record").alias("record"))

@@ -189,3 +189,15 @@ def test_default_time_and_drafts(spark):
     assert [(r.email_subject, r.email_body) for r in patched] == [("s0", "b0"), ("s1", "b1")]
     ready, lacking = postings.split_drafted(df)
     assert [r.job_key for r in ready.collect()] == ["a"] and [r.job_key for r in lacking.collect()] == ["b"]
+
+
+def test_unplanned_requests_are_set_aside_and_others_keep_their_result(spark):
+    backends = [f"b{i}" for i in range(40)]
+    rows = [("j", 0, "b0", "quota"), ("j", 0, "b39", "ok"), ("j", 1, "b0", "ok"), ("j", 1, "b39", "ok"), ("k", None, "b0", "ok"),
+            ("j", -1, "b0", "ok"), ("j", 6, "b0", "ok"), ("k", 2, "b7", "ok"), ("k", 2, "other", "ok")]
+    log = spark.createDataFrame(rows, "job_key string, query_idx int, backend string, outcome string")
+    good, aside = search.split_requests(log)
+    assert sorted(map(str, (r.query_idx for r in aside.collect()))) == ["-1", "6", "None"] and good.count() == 6
+    used = {(r.job_key, r.query_idx): r.backend for r in search.sticky_backends(log, backends=backends).collect()}
+    # 6 x 40 answers are more than one mask holds; b0 failed first and is not tried again; k's first queries had no answer
+    assert used == {("j", 0): "b39", ("j", 1): "b39"}
