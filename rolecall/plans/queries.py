@@ -571,7 +571,8 @@ def stream_outcomes(spark, sf_dir):
     sends = events.filter("kind = 'send'")
     notices = events.filter("kind = 'bounce'")
     target, progress = session.work_path(spark, "outcomes"), session.work_path(spark, "progress")
-    busy = hot_keys(I.as_stream_events(I.table(spark, sf_dir, "events")).filter("kind = 'send'"), ["address"])
+    # stored, since every batch of the stream reads it
+    busy = session.stored(hot_keys(I.as_stream_events(I.table(spark, sf_dir, "events")).filter("kind = 'send'"), ["address"]), "busy")
     outcomes = streams.send_outcomes(sends, notices, STREAM_WAIT, hot=busy)
     _finish(streams.store_stream(outcomes, target, progress))
     given = spark.read.parquet(target)

@@ -69,7 +69,8 @@ class Segments:
     def _written(self, rows: DataFrame, name: str, level: int, held: list[int] | None = None) -> dict:
         """Write a segment; ``held``: its folders, where they are known."""
         path = f"{self.target}/segments/{name}"
-        rows.write.mode("overwrite").option("maxRecordsPerFile", 5_000_000).partitionBy(BUCKET).parquet(path)
+        # rows of a folder together, in tasks of even size: few files, and a large folder is still split
+        rows.hint("rebalance", F.col(BUCKET)).write.mode("overwrite").option("maxRecordsPerFile", 5_000_000).partitionBy(BUCKET).parquet(path)
         if held is None:
             prefix = f"{BUCKET}="
             held = sorted(int(n.removeprefix(prefix)) for n in folders.names(self.spark, path) if n.startswith(prefix))
@@ -101,7 +102,7 @@ class Segments:
         while any(s["level"] >= level for s in live):
             of_level = [s for s in live if s["level"] == level]
             if len(of_level) > self.fan:
-                rows = self._bucketed(self._read(self.paths(of_level), schema)).repartition(BUCKET)
+                rows = self._bucketed(self._read(self.paths(of_level), schema))
                 held = sorted({b for s in of_level for b in s["buckets"]})
                 merged = self._written(rows, f"m{batch_id}-{level + 1}", level + 1, held)
                 live = [merged, *(s for s in live if s["level"] != level)]
