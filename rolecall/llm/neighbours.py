@@ -8,8 +8,8 @@ vectors are broadcast; their size is bounded by ``sample``, whatever the input.
 cosines with all of them are computed exactly, in blocks, and its ``nearest`` vote with their labels, each
 weighted by a power of its cosine.
 
-Labels are learned only from rows outside the held-out third. A score depends on the text alone, but
-that a training document has no vote on itself.
+Labels are learned only from rows outside the held-out third. A score depends on the text alone: equal texts have
+equal scores. Labelled documents whose vector equals a text's have no vote on it, so no document votes on itself.
 
 Defined results: a null, empty or blank text, or one without any neighbour, scores the share of label 1
 among all training labels; without any training label that is 0.5; null ids are scored, not learned from;
@@ -31,6 +31,8 @@ from pyspark.sql import types as T
 
 WORDS, SHAPES = 4096, 1024
 FEATURES = WORDS + SHAPES
+#: Cosine of equal vectors, to single precision.
+SAME = 1 - 2e-6
 _RUNS = (re.compile(r"[^\W\d_]+"), re.compile(r"\d+"))
 
 
@@ -178,15 +180,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 2000, latent: int = 48
     }
 
 
-def vote(model: dict, vectors: np.ndarray, doc_ids: list, nearest: int, power: float) -> np.ndarray:
-    """Scores of a block of unit vectors (zero vectors: no neighbours)."""
+def vote(model: dict, vectors: np.ndarray, nearest: int, power: float) -> np.ndarray:
+    """Scores of a block of unit vectors (zero vectors: no neighbours). Labelled vectors equal to one do not vote on it."""
     if not len(model["ids"]):
         return np.full(len(vectors), model["prior"])
     cosines = vectors @ model["vectors"]
-    own = {d: i for i, d in enumerate(model["ids"].tolist())}
-    for row, doc_id in enumerate(doc_ids):
-        if doc_id in own:
-            cosines[row, own[doc_id]] = 0
+    cosines[cosines > SAME] = 0
     k = min(nearest, cosines.shape[1])
     best = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
     weights = np.maximum(np.take_along_axis(cosines, best, axis=1), 0).astype(np.float64) ** power
@@ -215,7 +214,7 @@ def scored(
                         if len(features):
                             vectors[i] = (counts * m["idf"][features]) @ m["directions"][features]
                     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
-                scores.append(vote(m, vectors, part.column("doc_id").to_pylist(), nearest, power))
+                scores.append(vote(m, vectors, nearest, power))
             score = np.concatenate(scores) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.clip(score, 0, 1))], names=[*batch.schema.names, "score"])
 
