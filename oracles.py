@@ -498,6 +498,23 @@ WITH d AS (
 SELECT {_slug("company")} || '__' || {_slug("title")} || '__' || strftime(t, '%Y%m%d_%H%M%S') AS job_key,
   'https://jobs.example.com/' || doc_id AS url, 'generic' AS platform, title AS job_title, company,
   CAST(NULL AS VARCHAR) AS location, text AS description FROM d""",
+    "listed_files": f"""
+WITH d AS (
+  SELECT *, source || ' & ' || lang AS company, {_DOC_TITLE} AS title,
+    TIMESTAMP '2024-01-01 00:00:00' + to_seconds(doc_id) AS t FROM documents)
+SELECT {_slug("company")} || '__' || {_slug("title")} || '__' || strftime(t, '%Y%m%d_%H%M%S') AS job_key,
+  true AS listed, true AS same_time, true AS same_size, true AS in_order
+FROM d WHERE doc_id % 2 = 0 OR length(company) % 2 = 0""",
+    "foreign_keys": f"""
+WITH d AS (
+  SELECT *, source || ' & ' || lang AS company, {_DOC_TITLE} AS title,
+    TIMESTAMP '2024-01-01 00:00:00' + to_seconds(doc_id) AS t FROM documents)
+SELECT {_slug("company")} || '__' || {_slug("title")} || '__' || strftime(t, '%Y%m%d_%H%M%S') AS job_key,
+  CASE WHEN doc_id % 3 = 0 THEN 'New subject' END AS email_subject,
+  CAST(CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 0 END AS BIGINT) AS n_contacts,
+  CASE WHEN doc_id % 4 = 0 THEN 'ann@example.com' WHEN doc_id % 2 = 0 THEN '' END AS tried,
+  lang, source AS origin, CAST(n_chars AS BIGINT) AS n_chars FROM d""",
+    "text_documents": f"SELECT CAST(item_id AS BIGINT) AS item_id, {_trim('text')} AS text FROM benchmark",
     "saved_drafts": _with(POSTINGS)
     + """, d AS (SELECT job_key, company,
     CASE WHEN c_custkey % 3 = 0 THEN 'New subject' ELSE email_subject END AS email_subject,

@@ -33,9 +33,36 @@ def dedupe_pages(pages: DataFrame, order: list) -> DataFrame:
     return first_by(keyed.filter(F.col("url_key") != ""), ["url_key"], order)
 
 
+#: Bits of the filter of new keys: 16 MB at most, however many keys there are.
+KEY_BITS = 1 << 27
+_BLOCK_BITS = 1 << 15
+
+
+def may_hold(stored: DataFrame, rows: DataFrame, on: list[str], bits: int = KEY_BITS) -> DataFrame:
+    """Rows of ``stored`` whose hashed key is one of the keys in ``rows``, and a few others by chance.
+
+    The hashes of the new keys are marked in one bitmap of ``bits`` bits, held in blocks of 4 KB. It is
+    broadcast, so most of the stored table is left behind where it is read, before any shuffle.
+    """
+    def spot() -> Column:
+        return F.pmod(F.xxhash64(*on), F.lit(bits)) + 1
+
+    marks = rows.select(spot().alias("_spot")).groupBy(F.bitmap_bucket_number("_spot").alias("_block"))
+    marks = marks.agg(F.bitmap_construct_agg(F.bitmap_bit_position("_spot")).alias("_marks"))
+    place = F.col("_place")
+    byte = F.conv(F.hex(F.substring("_marks", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    marked = F.call_function("shiftright", byte, (place % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+    spots = stored.withColumn("_spot", spot()).withColumn("_place", F.bitmap_bit_position("_spot"))
+    met = spots.join(F.broadcast(marks), F.bitmap_bucket_number("_spot") == F.col("_block"))
+    return met.filter(marked).drop("_spot", "_place", "_block", "_marks")
+
+
 def unseen(rows: DataFrame, stored: DataFrame, on: list[str]) -> DataFrame:
-    """Rows whose key is not stored yet. ``rows`` has one row per key."""
-    return rows.join(stored.select(*on).distinct(), on, "left_anti")
+    """Rows whose key is not stored yet. ``rows`` has one row per key and is read twice.
+
+    Only stored keys that pass the filter of new keys are shuffled; the anti join with them is exact.
+    """
+    return rows.join(may_hold(stored.select(*on), rows, on).distinct(), on, "left_anti")
 
 
 def _outcome(text: Column, problem: str) -> tuple[Column, Column]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rolecall import session
@@ -192,6 +192,74 @@ def stored_files(spark, sf_dir):
     return files.filter(F.col("length") > 0).select(folder.alias("folder")).distinct()
 
 
+@query
+def listed_files(spark, sf_dir):
+    """Each posting with the file it lies in, as the listing has that file: time, size and place in the order."""
+    path = session.work_path(spark, "listing")
+    rows = postings.with_posting_key(I.documents_as_postings(spark, sf_dir))
+    for go in (rows.filter("doc_id % 2 = 0"), rows.filter("doc_id % 2 <> 0").filter(F.length("company") % 2 == 0)):
+        writers.write_postings(go.drop("doc_id"), path)
+    # the listing's own order, numbered as it comes, against the order worked out anew
+    listed = readers.list_postings(spark, path).withColumn("at", F.monotonically_increasing_id())
+    newest = Window.orderBy(F.desc("modificationTime"), "path")
+    listed = listed.withColumn("newest", F.row_number().over(newest)).withColumn("came", F.row_number().over(Window.orderBy("at")))
+    found = F.struct("_metadata.file_path", "_metadata.file_modification_time", "_metadata.file_size")
+    lines = spark.read.text(path).select(F.get_json_object("value", "$.job_key").alias("job_key"), found.alias("file"))
+    return lines.join(listed, F.col("file.file_path") == F.col("path"), "left").select(
+        "job_key", F.col("path").isNotNull().alias("listed"),
+        (F.col("file.file_modification_time") == F.col("modificationTime")).alias("same_time"),
+        (F.col("file.file_size") == F.col("length")).alias("same_size"),
+        (F.col("newest") == F.col("came")).alias("in_order"),
+    )
+
+
+@query
+def foreign_keys(spark, sf_dir):
+    """Documents with keys that are no fields, after drafts, contact lists and send states were patched into them."""
+    path = session.work_path(spark, "foreign")
+    rows = postings.with_posting_key(I.documents_as_postings(spark, sf_dir))
+    labels = I.table(spark, sf_dir, "documents").select("doc_id", "lang", F.struct("source", "n_chars").alias("origin"))
+    writers.write_postings(rows.join(labels, "doc_id").drop("doc_id"), path)
+    number = F.regexp_extract("url", "([0-9]+)$", 1).cast("bigint")
+
+    def contacts(which, tried):
+        return readers.read_postings(spark, path).filter(which).select(
+            "job_key", F.lit(1).alias("contact_rank"), F.lit("Ann").alias("name"), F.lit(None).cast("string").alias("title"),
+            F.lit(None).cast("string").alias("linkedin_url"), F.array(F.lit("ann@example.com")).alias("candidates"),
+            F.lit("brave").alias("source"), F.lit(None).cast("timestamp").alias("found_at"),
+            F.lit(None).cast("timestamp").alias("email_sent_at"), F.lit(None).cast("string").alias("email_sent_to"),
+            tried.alias("email_tried"), F.lit(None).cast("boolean").alias("email_bounced"),
+        )
+
+    def patched(which, change):
+        writers.write_postings(change(readers.read_postings(spark, path).filter(which)), path)
+
+    new = F.lit("New subject").alias("email_subject"), F.lit("New body").alias("email_body")
+    patched(number % 3 == 0, lambda docs: postings.apply_drafts(docs, docs.select("job_key", *new)))
+    found = writers.nested_contacts(contacts(number % 2 == 0, F.array().cast("array<string>")))
+    patched(number % 2 == 0, lambda docs: writers.upsert_contacts(docs, found))
+    sent = writers.nested_contacts(contacts(number % 4 == 0, F.array(F.lit("ann@example.com"))))
+    patched(number % 4 == 0, lambda docs: writers.upsert_contacts(docs, sent))
+    rest = F.col("rest")
+    return readers.read_postings(spark, path).select(
+        "job_key", "email_subject", F.coalesce(F.size("recruiters"), F.lit(0)).cast("bigint").alias("n_contacts"),
+        F.array_join(F.get("recruiters.email_tried", F.lit(0)), ",").alias("tried"),
+        F.variant_get(rest["lang"], "$", "string").alias("lang"),
+        F.try_variant_get(rest["origin"], "$.source", "string").alias("origin"),
+        F.try_variant_get(rest["origin"], "$.n_chars", "bigint").alias("n_chars"),
+    )
+
+
+@query
+def text_documents(spark, sf_dir):
+    """Benchmark items written as one text file each and read back whole."""
+    path = session.work_path(spark, "texts")
+    items = I.table(spark, sf_dir, "benchmark").select("item_id", "text")
+    items.repartition("item_id").write.partitionBy("item_id").text(path)
+    docs = readers.read_text_docs(spark, f"{path}/*")
+    return docs.select(F.regexp_extract("path", "item_id=([0-9]+)/", 1).cast("bigint").alias("item_id"), "text")
+
+
 @query
 def saved_drafts(spark, sf_dir):
     """Drafts patched into every third posting; the others keep their own."""

@@ -22,6 +22,8 @@ POSTING = (
 )
 POSTINGS = f"job_key string, {POSTING}"
 POSTING_DOCS = f"{POSTINGS}, part int, recruiters array<struct<{_STORED_STRUCT}>>"
+# keys of a stored document that are no fields of it
+REST = "map<string,variant>"
 
 NOTICES = f"message_id bigint, received_at timestamp, sender string, headers {HEADERS}"
 PAGES = "page_id bigint, url string, html string"

@@ -16,6 +16,8 @@ SETTINGS = {
     # whole pages travel to Python: bound a batch by bytes as well as by rows
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
+    # of repeated JSON keys the last counts, as most readers have it
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rolecall import schemas as S
 from rolecall.functions import text as T
+from rolecall.session import last_of_repeated_keys
 from rolecall.sources.writers import LIST_SIZE
 
 
@@ -23,14 +25,24 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.PAGES).parquet(path)
 
 
+def _fields_and_rest(docs: DataFrame) -> DataFrame:
+    """The fields of whole documents (``doc``, a variant) and ``rest``, the keys that are none; null without any."""
+    fields = StructType.fromDDL(S.POSTING_DOCS)
+    known = [F.try_variant_get("doc", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in fields]
+    others = F.map_filter(F.try_variant_get("doc", "$", S.REST), lambda key, _: ~key.isin(*fields.names))
+    return docs.select(*known, F.when(F.size(others) > 0, others).alias("rest"))
+
+
 def read_postings(spark: SparkSession, path: str) -> DataFrame:
-    """Posting documents, one JSON object per line; missing keys are null."""
-    return spark.read.schema(S.POSTING_DOCS).json(path)
+    """Posting documents, one JSON object per line; missing keys are null, unknown ones are kept in ``rest``."""
+    last_of_repeated_keys(spark)
+    return _fields_and_rest(spark.read.option("singleVariantColumn", "doc").json(path))
 
 
 def read_posting_files(spark: SparkSession, path: str) -> DataFrame:
-    """Posting documents written by hand or by other tools, one indented object per file."""
-    return spark.read.schema(S.POSTING_DOCS).option("multiLine", True).json(path)
+    """Posting documents written by hand or by other tools, one indented object per file; as ``read_postings``."""
+    last_of_repeated_keys(spark)
+    return _fields_and_rest(spark.read.option("singleVariantColumn", "doc").option("multiLine", True).json(path))
 
 
 def list_postings(spark: SparkSession, path: str) -> DataFrame:

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rolecall import schemas as S
 from rolecall.session import stored
 
-
 LIST_SIZE = 1000
 
 
@@ -32,34 +32,55 @@ def nested_contacts(contacts: DataFrame, list_size: int = LIST_SIZE) -> DataFram
 
 
 def upsert_contacts(docs: DataFrame, nested: DataFrame) -> DataFrame:
-    """Documents with the whole contact list replaced where a new one is given."""
+    """Documents with the whole contact list replaced where a new one is given.
+
+    Everything else of a document stays; its unknown keys (``rest``) stay with the first part of the list.
+    """
     kept = docs.join(nested.select("job_key").distinct(), "job_key", "left_anti")
     fields = docs.filter(F.coalesce("part", F.lit(0)) == 0).drop("part", "recruiters")
-    return kept.unionByName(fields.join(nested, "job_key"))
+    replaced = fields.join(nested, "job_key")
+    if "rest" in docs.columns:
+        replaced = replaced.withColumn("rest", F.when(F.col("part") == 0, F.col("rest")))
+    return kept.unionByName(replaced)
+
+
+def document_line(columns: list[str]) -> Column:
+    """A document as one line of JSON: its columns, and beside them the keys of ``rest`` that are no columns."""
+    fields = [c for c in columns if c != "rest"]
+    own = F.to_json(F.struct(*fields))
+    if "rest" not in columns:
+        return own
+    others = F.map_filter("rest", lambda key, _: ~key.isin(*fields))
+    return F.when(F.col("rest").isNull(), own).otherwise(F.to_json(F.map_concat(others, F.from_json(own, S.REST))))
 
 
 def write_postings(postings: DataFrame, path: str, parts: int = 64) -> None:
-    """Add or replace postings by key; all others stay.
+    """Add or replace postings by key; all others stay, line by line as they were.
 
     One JSON object per line, in folders by a hash of the posting key. Only folders that hold a
-    written key are read and written again; a null key is one key.
+    written key are read and written again; a null key is one key. A column called ``rest`` holds
+    keys of the document that are no columns: they are written beside the others.
     """
     spark = postings.sparkSession
     number = F.conv(F.substring(F.md5(F.coalesce("job_key", F.lit(""))), 1, 4), 16, 10).cast("int")
-    fresh = stored(postings.withColumn("_part", number % parts), "postings")
+    line = document_line(postings.columns)
+    fresh = stored(postings.select("job_key", line.alias("value"), (number % parts).alias("_part")), "postings")
     touched = [r[0] for r in fresh.select("_part").distinct().collect()]  # at most ``parts`` numbers
+    merged = fresh.select("value", "_part")
     try:
-        old = spark.read.schema(fresh.schema).json(path).filter(F.col("_part").isin(touched))
+        old = spark.read.schema("value string, _part int").text(path).filter(F.col("_part").isin(touched))
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        merged = fresh
     else:
         keys = fresh.select(F.col("job_key").alias("_key")).distinct()
-        kept = old.join(keys, F.col("job_key").eqNullSafe(F.col("_key")), "left_anti")
-        merged = stored(kept.select(*fresh.columns).unionByName(fresh), "postings")
-    writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("_part").json(path)
+        same = F.get_json_object("value", "$.job_key").eqNullSafe(F.col("_key"))
+        merged = stored(old.join(keys, same, "left_anti").select("value", "_part").unionByName(merged), "postings")
+    # plain lines under the name of JSON files: JSON holds no raw control characters, so nothing is quoted
+    plain = {"sep": "\x01", "quote": "\x00", "escape": "\x00", "extension": "json"}
+    writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**plain)
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    writer.partitionBy("_part").csv(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

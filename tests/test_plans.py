@@ -6,6 +6,7 @@ import pytest
 from compare import spark_rows
 from pyspark.sql import functions as F
 
+from rolecall.operators import pages
 from rolecall.plans import pipeline
 from rolecall.plans.queries import QUERIES
 
@@ -72,3 +73,20 @@ def test_send_run(spark):
     checked, out = pipeline.send_run(contacts, jobs, notices, F.lit(t), 30)
     assert checked.collect()[0].email_bounced is True
     assert [(r.to_address, r.body, r.attempt_label) for r in out.collect()] == [("b@x.com", "Hi Jane,", "[retry 2/2]")]
+
+
+def test_stored_keys_are_filtered_before_any_shuffle(spark, tmp_path):
+    spark.range(200_000).select(F.col("id").cast("string").alias("k"), F.lit("x").alias("v")).write.parquet(str(tmp_path / "stored"))
+    stored = spark.read.parquet(str(tmp_path / "stored"))
+    rows = spark.range(199_990, 200_020).select(F.col("id").cast("string").alias("k"), "id")
+    rows = rows.unionByName(spark.createDataFrame([(None, -1)], "k string, id bigint"))
+    got = pages.unseen(rows, stored, ["k"])
+    plain = rows.join(stored.select("k").distinct(), "k", "left_anti")
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect())) and got.count() == 21
+    met = pages.may_hold(stored.select("k"), rows, ["k"])
+    assert 10 <= met.count() <= 20  # far below the stored rows
+    plan = plan_of(met)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "v#" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1  # that of the bitmap's blocks: stored rows stay where they are read
+    dense = pages.may_hold(stored.select("k"), stored, ["k"], bits=1 << 15)
+    assert dense.count() == 200_000  # a full filter lets all pass: never fewer than the keys that are there

@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 import json
 import os
 
@@ -100,3 +101,29 @@ def test_other_readers(spark, tmp_path, sf_dir):
     (tmp_path / "n.json").write_text(json.dumps(line))
     row = readers.read_notices(spark, str(tmp_path)).collect()[0]
     assert row.headers[0].value == "v" and row.received_at == dt.datetime(2024, 1, 1)
+
+
+def test_unknown_keys_come_back(spark, tmp_path):
+    path = tmp_path / "docs" / "_part=1"
+    path.mkdir(parents=True)
+    line = {
+        "job_key": "k", "company": "Acme", "note": "\u00e4 \"x\"\t,", "deep": {"list": [1, 2.5, None, {"a": "b"}]}, "n": 7, "recruiters": [],
+    }
+    other = '{"job_key": "other",  "kept": "as  it \\u00e4 was, \\"so\\""}'
+    key_part = int(hashlib.md5(b"k").hexdigest()[:4], 16) % 64
+    folder = tmp_path / "docs" / f"_part={key_part}"
+    folder.mkdir(exist_ok=True)
+    (folder / "a.json").write_text(json.dumps(line) + "\n" + other + "\n")
+    docs = readers.read_postings(spark, str(tmp_path / "docs")).filter("job_key = 'k'")
+    drafts = docs.select("job_key", F.lit("s, \"t\"").alias("email_subject"), F.lit("b\nc\x01").alias("email_body"))
+    writers.write_postings(postings.apply_drafts(docs, drafts), str(tmp_path / "docs"))
+    lines = [raw for f in folder.glob("*.json") for raw in f.read_text().splitlines()]
+    assert other in lines and len(lines) == 2
+    found = json.loads(next(raw for raw in lines if raw != other))
+    assert found == {**line, "email_subject": "s, \"t\"", "email_body": "b\nc\x01"}
+
+
+def test_own_columns_win_over_rest(spark):
+    df = spark.createDataFrame([("k", "new", '{"label": "old", "n": 1}')], "job_key string, label string, r string")
+    df = df.withColumn("rest", F.from_json("r", schemas.REST)).drop("r")
+    assert json.loads(df.select(writers.document_line(df.columns)).first()[0]) == {"job_key": "k", "label": "new", "n": 1}
