@@ -7,11 +7,16 @@ paragraph is read again.
 
 A vector has two parts. The exact lanes (16 bits each) are hashes of the whole paragraph: two documents
 have equal sums only if they hold the same paragraphs as often. The likeness lanes count, modulo 2^32,
-the set bits of hashes of the paragraph's sentences; a paragraph's lanes are the sums over its
-sentences, so they too add up. Twice a count less the number of sentences is a sum of random signs,
-and the product of two such vectors estimates how many sentences two documents share.
+the set bits of hashes of the paragraph's pieces; a paragraph's lanes are the sums over its
+pieces, so they too add up. Twice a count less the number of pieces is a sum of random signs,
+and the product of two such vectors estimates how many pieces two documents share.
 
-Two lanes travel in one long, 32 bits apart. Sums stay below 2^62 for texts of up to 2^30 sentences.
+Pieces end where the text itself says so: after a sentence mark, and after every word whose hash is a
+multiple of ``CUT``, so about every ``CUT`` words. An edit therefore changes the pieces around it only, in
+lists, code and other text without marks too. Of text in ideographs or kana, each such character is a word.
+
+Two lanes travel in one long, 32 bits apart; where fingerprints are combined, each is taken modulo 2^32, so
+none runs into the other.
 
 Defined results: a null or empty text, or one without a paragraph, has the zero fingerprint; two zero
 fingerprints have likeness 1, a zero and another 0; null document ids come last in descending order;
@@ -25,8 +30,12 @@ from pyspark.sql import functions as F
 
 from rolecall.functions.stage import settled
 
-#: Hashes per paragraph, four exact lanes each; hashes per sentence, 64 likeness lanes each.
+#: Hashes per paragraph, four exact lanes each; hashes per piece, 64 likeness lanes each.
 EXACT, LIKE = 16, 2
+#: A piece ends after a word whose hash is a multiple of this.
+CUT = 8
+#: Characters of scripts that set no blanks between words.
+UNSPACED = r"[\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\x{20000}-\x{323AF}]"
 LOW16 = 0x0000FFFF0000FFFF
 LOW1 = 0x0000000100000001
 LOW32 = 0xFFFFFFFF
@@ -36,9 +45,13 @@ def paragraphs(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), r"[\r\n]+"), lambda p: F.trim(p) != "")
 
 
-def sentences(paragraph: Column) -> Column:
-    """Pieces of a paragraph, each ending with its full stop, exclamation or question mark."""
-    return F.filter(F.split(paragraph, r"(?<=[.!?])\s+"), lambda s: s != "")
+def pieces_of(paragraph: Column) -> Column:
+    """Pieces of a paragraph: words up to one with a sentence mark at its end, or with a hash that cuts."""
+    spaced = F.regexp_replace(paragraph, f"({UNSPACED})", " $1 ")
+    words = F.filter(F.split(spaced, r"\s+"), lambda w: w != "")
+    cuts = lambda w: (F.pmod(F.xxhash64(w, F.lit(CUT)), F.lit(CUT)) == 0) | F.substring(w, -1, 1).isin(*".!?。！？")
+    marked = F.transform(words, lambda w: F.when(cuts(w), F.concat(w, F.lit("\n"))).otherwise(F.concat(w, F.lit(" "))))
+    return F.filter(F.split(F.array_join(marked, ""), "\n"), lambda piece: piece != "")
 
 
 def _hashes(pieces: Column, seed: int) -> Column:
@@ -46,7 +59,7 @@ def _hashes(pieces: Column, seed: int) -> Column:
 
 
 def _lanes(hashes: Column, shift: int, mask: int, modulus: int | None) -> Column:
-    """Sum of two lanes of each hash: its bits under ``mask`` after a shift."""
+    """Sum of two lanes of each hash: its bits under ``mask`` after a shift. One text has far under 2^32 pieces."""
     def step(total: Column, h: Column) -> Column:
         added = total + F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(mask))
         return added.bitwiseAND(F.lit(modulus)) if modulus else added
@@ -60,7 +73,7 @@ def _let(value: Column, use) -> Column:
 
 
 def fingerprint(text: Column) -> Column:
-    """struct(exact, like, n): packed lanes as arrays of longs, and the number of sentences."""
+    """struct(exact, like, n): packed lanes as arrays of longs, and the number of pieces."""
     def exact(found: Column, seed: int) -> Column:
         return _let(_hashes(found, seed), lambda h: F.array(*[_lanes(h, shift, LOW16, LOW16) for shift in (0, 16)]))
 
@@ -75,7 +88,7 @@ def fingerprint(text: Column) -> Column:
         )
 
     return _let(
-        paragraphs(text), lambda found: _let(F.flatten(F.transform(found, sentences)), lambda pieces: whole(found, pieces))
+        paragraphs(text), lambda found: _let(F.flatten(F.transform(found, pieces_of)), lambda pieces: whole(found, pieces))
     )
 
 
@@ -95,9 +108,15 @@ def combined(one: Column, other: Column, sign: int = 1) -> Column:
     def exact(a: Column, b: Column) -> Column:
         low = F.lit(guard * (1 + (1 << 32)))
         return (a + low + F.lit(sign) * b).bitwiseAND(F.lit(LOW16))
+
+    def like(a: Column, b: Column) -> Column:
+        low = a.bitwiseAND(F.lit(LOW32)) + F.lit(sign) * b.bitwiseAND(F.lit(LOW32))
+        high = F.shiftrightunsigned(a, 32) + F.lit(sign) * F.shiftrightunsigned(b, 32)
+        return F.shiftleft(high, 32).bitwiseOR(low.bitwiseAND(F.lit(LOW32)))
+
     return F.struct(
         F.zip_with(one["exact"], other["exact"], exact).alias("exact"),
-        F.zip_with(one["like"], other["like"], lambda a, b: a + F.lit(sign) * b).alias("like"),
+        F.zip_with(one["like"], other["like"], like).alias("like"),
         (one["n"] + F.lit(sign) * other["n"]).alias("n"),
     )
 
@@ -113,7 +132,7 @@ def _dot(a: Column, b: Column) -> Column:
 
 
 def likeness(one: Column, other: Column) -> Column:
-    """Estimated share of sentences in common, 0 to 1, from two ``signed`` fingerprints.
+    """Estimated share of pieces in common, 0 to 1, from two ``signed`` fingerprints.
 
     Equal fingerprints give 1. The estimate's standard error is about 1 / sqrt(64 * LIKE).
     """
