@@ -1,7 +1,8 @@
 """Operator 8: line dedup by a segment-partition edit join.
 
-Lines of at least ``least_chars`` characters are compared across all documents. Of equal lines the first one
-stays, in order of (doc_id, line). A line also goes if another line within ``most`` edits comes earlier.
+Lines are compared across all documents. Of equal lines, short ones too, the first one stays, in order of
+(doc_id, line). A line of at least ``least_chars`` characters also goes if another such line within ``most`` edits
+comes earlier: in shorter ones two edits make another word, so only equal ones count as repeats.
 
 Near lines are found by segments. A line is split into most + 1 segments; a line within ``most`` edits of it
 holds one of them unchanged, at nearly the same place. So each line is indexed under its segments (with
@@ -20,7 +21,7 @@ Jaccard likeness or more are near too (all pairs, see ``similar``): of each grou
 But for those shingles, everything is column expressions: no Python runs on the data.
 
 Defined results: a null text stays null and an empty one stays empty; lines are compared without white space
-at their ends; shorter lines always stay; a column called gone is replaced; null document ids come first; rows with equal id and text are one
+at their ends; lines of white space always stay; a column called gone is replaced; null document ids come first; rows with equal id and text are one
 document and keep the same lines; an empty table gives no rows; other columns are kept as they are.
 """
 
@@ -214,7 +215,7 @@ def dropped_lines(docs: DataFrame, most: int = 2, least_chars: int = 24, share:
     spark = docs.sparkSession
     place = F.struct("_id", "_text_hash", "line_no")
     rows = keyed(docs)
-    found = stored(occurrences(rows, least_chars).select("_id", "_text_hash", "line_no", "line_id"), "line_places")
+    found = stored(occurrences(rows, 1).select("_id", "_text_hash", "line_no", "line_id"), "line_places")
     first = stored(found.groupBy("line_id").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")), "line_firsts")
     # texts of each line's first occurrence, read where they stand: no text is grouped
     repeated = first.filter("n > 1").select(F.col("line_id.a").alias("id"), "first")

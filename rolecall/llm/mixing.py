@@ -193,16 +193,24 @@ def taken_words(lines: DataFrame, taken: DataFrame) -> DataFrame:
     return lines.join(sums, key, "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
 
 
+def first_words(text: Column, words: Column) -> Column:
+    """The text up to the end of its ``words``-th word."""
+    pieces = F.regexp_extract_all(text, F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
+    return F.array_join(F.slice(pieces, F.lit(1), words.cast("int")), "")
+
+
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` as the mix takes them, whole: each as often as its taken words hold it, rounded.
+    """``docs`` as the mix takes them: each as often as it is taken whole, and once more up to where a quota cuts it.
 
-    Only the document that a quota cuts, one per source and pass, is ever rounded.
+    A quota cuts one document of its source at most, so every source has just the words the mix takes of it.
+    Of a document taken in part, ``text`` ends with the last word taken; all other columns stay as they are.
     """
-    taken = taken_words(*mix(docs, **options)).filter("size > 0")
+    taken = taken_words(*mix(docs, **options)).filter("taken > 0")
     key = ["doc_id", "text_hash", "source_key"]
     times = taken.groupBy(*key).agg(
-        F.sum(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("long").alias("_times"), F.count(F.lit(1)).alias("_rows")
-    ).filter("_times > 0")
+        F.sum(F.floor(F.col("taken") / F.col("size"))).cast("long").alias("_times"),
+        F.sum(F.col("taken") % F.col("size")).alias("_rest"), F.count(F.lit(1)).alias("_rows"),
+    )
     times = stored(times, "times").withColumnsRenamed({k: f"_{k}" for k in key})
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     same = [
@@ -210,10 +218,12 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
         _source_key(F.col("_row.source")) == F.col("_source_key"),
     ]
     joined = rows.join(times, same)
-    # rows that repeat id, text and source share their times evenly
+    # rows that repeat id, text and source share their times evenly; the first of them has the part
     at = F.row_number().over(Window.partitionBy("_doc_id", "_text_hash", "_source_key").orderBy(F.xxhash64("_row.text")))
     own = F.floor(F.col("_times") / F.col("_rows")) + F.when(at <= F.col("_times") % F.col("_rows"), 1).otherwise(0)
-    own_times = joined.withColumn("_own", own.cast("int")).filter("_own > 0")
-    return own_times.select("_row", F.explode(F.sequence(F.lit(1), F.col("_own")))).select(
-        *[F.col(f"_row.`{c}`") for c in docs.columns]
+    own_times = joined.withColumn("_own", own.cast("int")).withColumn("_part", ((at == 1) & (F.col("_rest") > 0)).cast("int"))
+    copies = own_times.filter("_own + _part > 0").select(
+        "_row", "_own", "_rest", F.explode(F.sequence(F.lit(1), F.col("_own") + F.col("_part"))).alias("_copy")
     )
+    cut = F.when(F.col("_copy") > F.col("_own"), first_words(F.col("_row.text"), F.col("_rest"))).otherwise(F.col("_row.text"))
+    return copies.select(*[cut.alias("text") if c == "text" else F.col(f"_row.`{c}`") for c in docs.columns])

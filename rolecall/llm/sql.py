@@ -43,10 +43,12 @@ WITH lines AS (
   SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS line_no,
     regexp_replace(unnest(string_split(text, chr(10))), '^[ \t\r\f]+|[ \t\r\f]+$', '', 'g') AS line
   FROM documents
-), long_lines AS (
-  SELECT * FROM lines WHERE length(line) >= 24
+), full_lines AS (
+  SELECT * FROM lines WHERE length(line) >= 1
+), starts AS (
+  SELECT line, min(struct_pack(d := doc_id, n := line_no)) AS first, length(line) AS size FROM full_lines GROUP BY line
 ), firsts AS (
-  SELECT line, min(struct_pack(d := doc_id, n := line_no)) AS first, length(line) AS size FROM long_lines GROUP BY line
+  SELECT * FROM starts WHERE size >= 24
 ), cuts AS (
   SELECT size, k, size // 3 * k + greatest(k - (3 - size % 3), 0) AS begin_at, size // 3 + CASE WHEN k >= 3 - size % 3 THEN 1 ELSE 0 END AS n
   FROM (SELECT DISTINCT size - d AS size FROM firsts, range(3) r(d)), range(3) s(k)
@@ -60,7 +62,7 @@ WITH lines AS (
     ON s.size = p.other_size AND s.k = p.k AND s.part = p.part AND s.line <> p.line
   WHERE levenshtein(s.line, p.line) <= 2
 ), gone AS (
-  SELECT l.doc_id, l.line_no FROM long_lines l JOIN firsts f USING (line)
+  SELECT l.doc_id, l.line_no FROM full_lines l JOIN starts f USING (line)
   WHERE struct_pack(d := l.doc_id, n := l.line_no) <> f.first OR l.line IN (SELECT line FROM near)
 ), kept AS (
   SELECT x.doc_id, count(g.line_no) AS n_gone,
