@@ -35,8 +35,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
-    return mixing.mixed_documents(docs.select(*COLUMNS))
+    """Documents as often as the mix of sources takes them; one a source may be taken in part."""
+    taken = mixing.mixed_documents(docs.select(*COLUMNS))
+    cut = F.length("text") < F.col("n_chars")
+    n_chars = F.when(cut, F.length("text")).otherwise(F.col("n_chars"))
+    return taken.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType)).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
