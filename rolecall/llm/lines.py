@@ -15,10 +15,11 @@ by banded bit-parallel edit distance: for each number of errors a bit mask of th
 still alive, moved one character at a time. Only true links leave the join, so a group of many lines
 that share a segment is compared but not written out as pairs.
 
-Edits alone do not reach near-repeats of long lines. With ``share``, lines whose three-word shingles have that
-Jaccard likeness or more are near too (all pairs, see ``similar``): of each group of these the first line stays.
+A few characters do not reach near-repeats of long lines. With ``word_edits``, lines of at least ``least_words``
+words are also compared by the same join with words in place of characters: an edit puts in, takes out or changes
+one word. Segments and pairs are then those of the words' hashes; the words themselves are compared in the end.
 
-But for those shingles, everything is column expressions: no Python runs on the data.
+Everything is column expressions: no Python runs on the data.
 
 Defined results: a null text stays null and an empty one stays empty; lines are compared without white space
 at their ends; lines of white space always stay; a column called gone is replaced; null document ids come first; rows with equal id and text are one
@@ -27,16 +28,16 @@ document and keep the same lines; an empty table gives no rows; other columns ar
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rolecall.llm import similar
 from rolecall.llm.common import stored
-from rolecall.llm.components import components
 
 #: Line hashes and line numbers up to this many are joined by broadcast; more, by an ordinary join.
 BROADCAST_ROWS = 1_000_000
 WHITE = " \t\r\f"
+#: What lies between the words of a line.
+GAP = r"[\x20\x09-\x0D]+"
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -86,16 +87,17 @@ def segments(length: int | Column, most: int) -> list[tuple[Column, Column]]:
     return found
 
 
-def _key(line: Column, start: Column, size: Column, length: Column, k: int) -> Column:
-    return F.xxhash64(F.substring(line, (start + 1).cast("int"), size), length.cast("int"), F.lit(k))
+def _key(line: Column, start: Column, size: Column, length: Column, k: int, words: bool) -> Column:
+    cut = F.slice(line, F.greatest(start + 1, F.lit(1)), size) if words else F.substring(line, (start + 1).cast("int"), size)
+    return F.xxhash64(cut, length.cast("int"), F.lit(k))
 
 
-def index_keys(line: Column, n: Column, most: int) -> Column:
-    return F.array(*[_key(line, s, size, n, k) for k, (s, size) in enumerate(segments(n, most))])
+def index_keys(line: Column, n: Column, most: int, words: bool = False) -> Column:
+    return F.array(*[_key(line, s, size, n, k, words) for k, (s, size) in enumerate(segments(n, most))])
 
 
-def probe_keys(line: Column, n: Column, most: int) -> Column:
-    """Keys of the substrings that may be a segment of a line ``most`` or fewer characters shorter.
+def probe_keys(line: Column, n: Column, most: int, words: bool = False) -> Column:
+    """Keys of the substrings that may be a segment of a line ``most`` or fewer characters (or words) shorter.
 
     A segment can only have moved by as many places as the edits left of it and right of it allow.
     """
@@ -109,13 +111,12 @@ def probe_keys(line: Column, n: Column, most: int) -> Column:
                     continue  # the line's own segment: lines of one length meet in the index
                 at = start + moved
                 inside = (at >= 0) & (at + size <= n)
-                keys.append(F.when(inside, _key(line, at, size, n - shorter, k)))
+                keys.append(F.when(inside, _key(line, at, size, n - shorter, k, words)))
     return F.array_compact(F.array(*keys))
 
 
-def letter_pairs(line: Column) -> Column:
-    """Parity of how often each letter pair occurs, as two longs of hashed bits."""
-    chars = F.split(line, "")
+def pair_parity(chars: Column) -> Column:
+    """Parity of how often each pair of neighbours occurs, as two longs of hashed bits."""
     pairs = F.zip_with(chars, F.slice(chars, 2, F.greatest(F.size(chars) - 1, F.lit(1))), lambda a, b: F.xxhash64(a, b))
 
     def half(which: int) -> Column:
@@ -165,14 +166,20 @@ def _moved(s: Column, match: Column, most: int, band: int) -> Column:
     return F.get(F.transform(F.array(match), lambda m: build(0, m, [])), F.lit(0))
 
 
-def near_pairs(spark: SparkSession, texts: DataFrame, most: int) -> DataFrame:
-    """Pairs (one, other) of line_id of different lines within ``most`` edits.
+def word_marks(texts: DataFrame, least_words: int) -> DataFrame:
+    """line_id, line, n (its words), marks (their hashes) of the lines with words enough."""
+    marked = texts.select("line_id", "line", F.transform(F.split("line", GAP), lambda w: F.xxhash64(w)).alias("marks"))
+    return marked.withColumn("n", F.size("marks")).filter(F.col("n") >= least_words)
 
-    texts: stored, distinct line_id with line and n, its length.
+
+def near_pairs(texts: DataFrame, most: int, words: bool = False) -> DataFrame:
+    """Pairs (one, other) of line_id of different lines within ``most`` edits, of words if ``words``.
+
+    texts: stored, distinct line_id with line and n, its length; for words, as ``word_marks`` gives them.
     """
-    short = F.col("line_id.a")
-    index = texts.select(F.explode(index_keys(F.col("line"), F.col("n"), most)).alias("key"), short.alias("id"))
-    probe = texts.select(F.explode(probe_keys(F.col("line"), F.col("n"), most)).alias("key"), short.alias("id"))
+    short, held_in = F.col("line_id.a"), "marks" if words else "line"
+    index = texts.select(F.explode(index_keys(F.col(held_in), F.col("n"), most, words)).alias("key"), short.alias("id"))
+    probe = texts.select(F.explode(probe_keys(F.col(held_in), F.col("n"), most, words)).alias("key"), short.alias("id"))
     index = stored(index, "line_index")
     met = stored(probe.join(index.select("key"), "key", "left_semi"), "line_probes")
     shared = index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
@@ -181,7 +188,8 @@ def near_pairs(spark: SparkSession, texts: DataFrame, most: int) -> DataFrame:
     ids = stored(held.select("id").unionByName(met.select("id")).distinct(), "line_ids")
     small = ids.count() <= BROADCAST_ROWS
     some = texts.join(F.broadcast(ids) if small else ids, F.col("line_id.a") == F.col("id"), "left_semi")
-    some = stored(some.select("line_id", "line", "n").withColumn("pairs", letter_pairs(F.col("line"))), "line_texts")
+    units = F.col("marks") if words else F.split("line", "")
+    some = stored(some.select("line_id", "line", "n", pair_parity(units).alias("pairs")), "line_texts")
     rows = some.withColumn("id", F.col("line_id.a")).select("id", "line_id", "n", "pairs")
     left = stored(held.join(rows, "id").select("key", F.struct("line_id", "n", "pairs").alias("x")), "line_left")
     right = stored(met.unionByName(held).join(rows, "id").select("key", F.struct("line_id", "n", "pairs").alias("y")), "line_right")
@@ -194,25 +202,15 @@ def near_pairs(spark: SparkSession, texts: DataFrame, most: int) -> DataFrame:
         F.least("x.line_id", "y.line_id").alias("one"), F.greatest("x.line_id", "y.line_id").alias("other")
     ).distinct()
     pairs = stored(pairs, "line_pairs")
-    chars = some.select("line_id", F.split("line", "").alias("chars"))
+    chars = some.select("line_id", F.split("line", GAP if words else "").alias("chars"))
     both = pairs.join(chars.select(F.col("line_id").alias("one"), F.col("chars").alias("one_chars")), "one").join(
         chars.select(F.col("line_id").alias("other"), F.col("chars").alias("other_chars")), "other"
     )
     return both.filter(within_edits(F.col("one_chars"), F.col("other_chars"), most)).select("one", "other")
 
 
-def late_alike(texts: DataFrame, first: DataFrame, share: tuple[int, int], words: int = 3) -> DataFrame:
-    """near_id: lines that are not the first of their group of lines alike by their shingles."""
-    named = texts.select(F.col("line_id.a").alias("node"), F.col("line").alias("text"))
-    roots = stored(components(stored(similar.links(named, words, share), "line_links")), "line_roots")
-    groups = stored(first.join(roots, F.col("line_id.a") == F.col("node")).select("line_id", "first", "root"), "line_groups")
-    starts = groups.groupBy("root").agg(F.min("first").alias("start"))
-    return groups.join(starts, "root").filter(F.col("first") != F.col("start")).select(F.col("line_id").alias("near_id"))
-
-
-def dropped_lines(docs: DataFrame, most: int = 2, least_chars: int = 24, share: tuple[int, int] | None = None) -> DataFrame:
+def dropped_lines(docs: DataFrame, most: int = 2, least_chars: int = 24, word_edits: int = 0, least_words: int = 20) -> DataFrame:
     """_id, _text_hash, gone (line numbers from 0), for documents that lose a line."""
-    spark = docs.sparkSession
     place = F.struct("_id", "_text_hash", "line_no")
     rows = keyed(docs)
     found = stored(occurrences(rows, 1).select("_id", "_text_hash", "line_no", "line_id"), "line_places")
@@ -225,24 +223,23 @@ def dropped_lines(docs: DataFrame, most: int = 2, least_chars: int = 24, share:
     )
     left = occurrences(_with_numbers(rows, again, "again"), least_chars, "again")
     texts = stored(left.select("line_id", "line", "n"), "lines")
-    pairs = near_pairs(spark, texts, most)
+    pairs = near_pairs(texts, most)
+    if word_edits:
+        pairs = pairs.unionByName(near_pairs(stored(word_marks(texts, least_words), "line_words"), word_edits, words=True))
     seen = first.select("line_id", "first")
     earlier = pairs.join(seen.select(F.col("line_id").alias("one"), F.col("first").alias("one_first")), "one").join(
         seen.select(F.col("line_id").alias("other"), F.col("first").alias("other_first")), "other"
     )
     late = F.when(F.col("one_first") < F.col("other_first"), F.col("other")).otherwise(F.col("one"))
-    near = earlier.select(late.alias("near_id"))
-    if share:
-        near = near.unionByName(late_alike(texts, first, share))
-    near = stored(near.distinct(), "line_near")
+    near = stored(earlier.select(late.alias("near_id")).distinct(), "line_near")
     near_first = first.join(near, F.col("line_id") == F.col("near_id")).select("first.*")
     gone = near_first.unionByName(again.select("_id", "_text_hash", F.explode("again").alias("line_no")))
     return gone.groupBy("_id", "_text_hash").agg(F.collect_set("line_no").alias("gone"))
 
 
-def without_repeats(docs: DataFrame, most: int = 2, least_chars: int = 24, share: tuple[int, int] | None = None) -> DataFrame:
+def without_repeats(docs: DataFrame, most: int = 2, least_chars: int = 24, word_edits: int = 0, least_words: int = 20) -> DataFrame:
     """``docs`` with repeated and near-repeated lines taken out of ``text``, and ``gone``: their numbers."""
-    gone = stored(dropped_lines(docs, most, least_chars, share), "line_gone")
+    gone = stored(dropped_lines(docs, most, least_chars, word_edits, least_words), "line_gone")
     joined = _with_numbers(keyed(docs), gone, "gone")
     lines = F.split("_text", "\n", -1)
     kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("gone", i)), "\n")
