@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolecall.llm import lines, mixing, neighbours, packing, similar
+from rolecall.llm import lines, mixing, neighbours, packing, simhash
 from rolecall.llm.common import stored, table
 from rolecall.llm.queries import BYTE_END, tokenizer_file
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: Likeness of near lines, by three-word shingles: one changed word of about twenty, two of about forty.
-LINE_SHARE = (7, 10)
+#: Words that may differ between near lines of at least twenty words.
+WORD_EDITS = 2
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,7 +22,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that stand in an earlier one, or nearly; those left without a word go."""
-    kept = lines.without_repeats(docs.select(*COLUMNS), share=LINE_SHARE)
+    kept = lines.without_repeats(docs.select(*COLUMNS), word_edits=WORD_EDITS)
     kept = kept.filter((F.size("gone") == 0) | F.col("text").rlike(mixing.WORD))
     return kept.withColumn(
         "n_chars", F.when(F.size("gone") == 0, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType)
@@ -30,8 +30,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, Jaccard likeness 0.8 or more."""
-    return similar.one_of_each(docs.select(*COLUMNS))
+    """One document of each group whose fingerprints of three-word shingles link at two bits or fewer."""
+    return simhash.one_of_each(docs.select(*COLUMNS))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
