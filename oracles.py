@@ -498,6 +498,13 @@ WITH d AS (
 SELECT {_slug("company")} || '__' || {_slug("title")} || '__' || strftime(t, '%Y%m%d_%H%M%S') AS job_key,
   'https://jobs.example.com/' || doc_id AS url, 'generic' AS platform, title AS job_title, company,
   CAST(NULL AS VARCHAR) AS location, text AS description FROM d""",
+    "versioned_postings": f"""
+WITH d AS (
+  SELECT *, source || ' & ' || lang AS company, {_DOC_TITLE} AS title,
+    TIMESTAMP '2024-01-01 00:00:00' + to_seconds(doc_id) AS t FROM documents)
+SELECT {_slug("company")} || '__' || {_slug("title")} || '__' || strftime(t, '%Y%m%d_%H%M%S') AS job_key,
+  'https://jobs.example.com/' || doc_id AS url, company, CASE WHEN doc_id % 4 = 2 THEN 'old' ELSE text END AS description,
+  CAST(CASE WHEN doc_id % 2 = 0 THEN 3 ELSE length(text) END AS INTEGER) AS n_before FROM d""",
     "listed_files": f"""
 WITH d AS (
   SELECT *, source || ' & ' || lang AS company, {_DOC_TITLE} AS title,

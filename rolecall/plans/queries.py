@@ -17,6 +17,7 @@ from rolecall.operators.skew import hot_keys, numbered, top_by
 from rolecall.plans import inputs as I
 from rolecall.plans import pipeline
 from rolecall.sources import readers, writers
+from rolecall.sources.store import PostingStore
 from rolecall.streaming import ingest, retries
 from rolecall.streaming import reconcile as streams
 
@@ -181,6 +182,19 @@ def posting_documents(spark, sf_dir):
     )
 
 
+@query
+def versioned_postings(spark, sf_dir):
+    """As ``posting_documents``, in a store whose parts split; each posting with what the version before had of it."""
+    store = PostingStore(spark, session.work_path(spark, "store"), part_bytes=1 << 18)
+    rows = postings.with_posting_key(I.documents_as_postings(spark, sf_dir))
+    number = F.col("doc_id")
+    for go in (rows.filter(number % 2 == 0).withColumn("description", F.lit("old")), rows.filter(number % 2 != 0), rows.filter(number % 4 == 0)):
+        last = store.write(go.drop("doc_id"))
+    before = store.read(last - 1).select("job_key", F.length("description").alias("n_before"))
+    now = store.read(last).select("job_key", "url", "company", "description")
+    return now.join(before, "job_key", "left")
+
+
 @query
 def stored_files(spark, sf_dir):
     """Folders of the stored documents whose files are listed."""

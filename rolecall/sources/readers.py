@@ -33,7 +33,7 @@ def _fields_and_rest(docs: DataFrame) -> DataFrame:
     return docs.select(*known, F.when(F.size(others) > 0, others).alias("rest"))
 
 
-def read_postings(spark: SparkSession, path: str) -> DataFrame:
+def read_postings(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Posting documents, one JSON object per line; missing keys are null, unknown ones are kept in ``rest``."""
     last_of_repeated_keys(spark)
     return _fields_and_rest(spark.read.option("singleVariantColumn", "doc").json(path))

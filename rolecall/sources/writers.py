@@ -54,6 +54,15 @@ def document_line(columns: list[str]) -> Column:
     return F.when(F.col("rest").isNull(), own).otherwise(F.to_json(F.map_concat(others, F.from_json(own, S.REST))))
 
 
+def write_lines(rows: DataFrame, path: str, part: str) -> None:
+    """Lines of JSON (``value``) in folders by ``part``; folders without new rows stay."""
+    # plain lines under the name of JSON files: JSON holds no raw control characters, so nothing is quoted
+    plain = {"sep": "\x01", "quote": "\x00", "escape": "\x00", "extension": "json"}
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**plain)
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    writer.partitionBy(part).csv(path)
+
+
 def write_postings(postings: DataFrame, path: str, parts: int = 64) -> None:
     """Add or replace postings by key; all others stay, line by line as they were.
 
@@ -76,11 +85,7 @@ def write_postings(postings: DataFrame, path: str, parts: int = 64) -> None:
         keys = fresh.select(F.col("job_key").alias("_key")).distinct()
         same = F.get_json_object("value", "$.job_key").eqNullSafe(F.col("_key"))
         merged = stored(old.join(keys, same, "left_anti").select("value", "_part").unionByName(merged), "postings")
-    # plain lines under the name of JSON files: JSON holds no raw control characters, so nothing is quoted
-    plain = {"sep": "\x01", "quote": "\x00", "escape": "\x00", "extension": "json"}
-    writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**plain)
-    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-    writer.partitionBy("_part").csv(path)
+    write_lines(merged, path, "_part")
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
