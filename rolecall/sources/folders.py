@@ -18,6 +18,13 @@ def qualified(spark: SparkSession, path: str) -> str:
     return system.makeQualified(found).toString()
 
 
+def split(spark: SparkSession, path: str) -> tuple[str, str, str]:
+    """(scheme, authority, plain path) of a path, as Spark's default file system has it."""
+    system, found = _at(spark, path)
+    uri = system.makeQualified(found).toUri()
+    return uri.getScheme(), uri.getAuthority() or "", uri.getPath()
+
+
 def names(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder; none where it is missing."""
     system, found = _at(spark, path)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -10,6 +9,7 @@ from pyspark.sql.types import StructType
 from rolecall import schemas as S
 from rolecall.functions import text as T
 from rolecall.session import last_of_repeated_keys
+from rolecall.sources.listing import list_files
 from rolecall.sources.writers import LIST_SIZE
 
 
@@ -46,16 +46,8 @@ def read_posting_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def list_postings(spark: SparkSession, path: str) -> DataFrame:
-    """Stored files, newest first; a missing path gives no rows. File contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    try:
-        found = files.option("pathGlobFilter", "*.json").load(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "path string, modificationTime timestamp, length bigint")
-    listed = found.select("path", "modificationTime", "length")
-    return listed.orderBy(F.desc("modificationTime"), "path")
+    """Stored files, newest first; a missing path gives no rows. File contents are not read, and the driver holds no listing."""
+    return list_files(spark, path, ".json").orderBy(F.desc("modificationTime"), "path")
 
 
 def split_addresses(email: Column) -> Column:
