@@ -38,11 +38,11 @@ KEY_BITS = 1 << 27
 _BLOCK_BITS = 1 << 15
 
 
-def may_hold(stored: DataFrame, rows: DataFrame, on: list[str], bits: int = KEY_BITS) -> DataFrame:
-    """Rows of ``stored`` whose hashed key is one of the keys in ``rows``, and a few others by chance.
+def held(stored: DataFrame, rows: DataFrame, on: list[str], how: str = "left", bits: int = KEY_BITS) -> DataFrame:
+    """Rows of ``stored`` and ``_held``: true if their hashed key is one of the keys in ``rows``, and for a few others by chance.
 
     The hashes of the new keys are marked in one bitmap of ``bits`` bits, held in blocks of 4 KB. It is
-    broadcast, so most of the stored table is left behind where it is read, before any shuffle.
+    broadcast, so no row is shuffled for it. Null is one key. ``how`` inner leaves out most rows that are not held.
     """
     def spot() -> Column:
         return F.pmod(F.xxhash64(*on), F.lit(bits)) + 1
@@ -53,8 +53,16 @@ def may_hold(stored: DataFrame, rows: DataFrame, on: list[str], bits: int = KEY_
     byte = F.conv(F.hex(F.substring("_marks", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     marked = F.call_function("shiftright", byte, (place % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
     spots = stored.withColumn("_spot", spot()).withColumn("_place", F.bitmap_bit_position("_spot"))
-    met = spots.join(F.broadcast(marks), F.bitmap_bucket_number("_spot") == F.col("_block"))
-    return met.filter(marked).drop("_spot", "_place", "_block", "_marks")
+    met = spots.join(F.broadcast(marks), F.bitmap_bucket_number("_spot") == F.col("_block"), how)
+    return met.withColumn("_held", F.coalesce(marked, F.lit(False))).drop("_spot", "_place", "_block", "_marks")
+
+
+def may_hold(stored: DataFrame, rows: DataFrame, on: list[str], bits: int = KEY_BITS) -> DataFrame:
+    """Rows of ``stored`` whose hashed key is one of the keys in ``rows``, and a few others by chance.
+
+    Most of the stored table is left behind where it is read, before any shuffle.
+    """
+    return held(stored, rows, on, "inner", bits).filter("_held").drop("_held")
 
 
 def unseen(rows: DataFrame, stored: DataFrame, on: list[str]) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from rolecall.functions import constants as K
 from rolecall.operators.addresses import with_candidates
+from rolecall.operators.pages import held, may_hold
 from rolecall.operators.skew import lookup_join
 from rolecall.sources.readers import read_table
 
@@ -272,17 +273,35 @@ def ats_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def documents_as_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document as a stored posting."""
-    return table(spark, sf_dir, "documents").select(
-        "doc_id",
+def _as_posting() -> list[Column]:
+    return [
+        F.col("doc_id"),
         F.concat(F.lit("https://jobs.example.com/"), F.col("doc_id").cast("string")).alias("url"),
         F.lit(K.DEFAULT_PLATFORM).alias("platform"),
         F.get(F.split("text", r"[.\n]"), F.lit(0)).alias("job_title"),
         F.concat("source", F.lit(" & "), "lang").alias("company"),
         F.col("text").alias("description"),
         F.expr(f"{START} + make_dt_interval(0, 0, 0, doc_id)").alias("scraped_at"),
-    )
+    ]
+
+
+def documents_as_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document as a stored posting."""
+    return table(spark, sf_dir, "documents").select(*_as_posting())
+
+
+def labelled_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as postings, joined with lang and origin of the documents by doc_id.
+
+    A document whose id comes once has its own; only repeated ids, told by a bitmap, are joined, so texts are not shuffled.
+    """
+    docs = table(spark, sf_dir, "documents").filter("doc_id IS NOT NULL")
+    labels = [F.col("lang"), F.struct("source", "n_chars").alias("origin")]
+    repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("doc_id")
+    rows = held(docs.select(*_as_posting(), *labels), repeated, ["doc_id"])
+    others = may_hold(docs.select("doc_id", *labels), repeated, ["doc_id"])
+    once = rows.filter("NOT _held").drop("_held")
+    return once.unionByName(rows.filter("_held").drop("_held", "lang", "origin").join(others, "doc_id"))
 
 
 def broken_payloads(payloads: DataFrame) -> DataFrame:

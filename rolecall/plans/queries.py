@@ -231,9 +231,7 @@ def listed_files(spark, sf_dir):
 def foreign_keys(spark, sf_dir):
     """Documents with keys that are no fields, after drafts, contact lists and send states were patched into them."""
     path = session.work_path(spark, "foreign")
-    rows = postings.with_posting_key(I.documents_as_postings(spark, sf_dir))
-    labels = I.table(spark, sf_dir, "documents").select("doc_id", "lang", F.struct("source", "n_chars").alias("origin"))
-    writers.write_postings(rows.join(labels, "doc_id").drop("doc_id"), path)
+    writers.write_postings(postings.with_posting_key(I.labelled_postings(spark, sf_dir)).drop("doc_id"), path)
     number = F.regexp_extract("url", "([0-9]+)$", 1).cast("bigint")
 
     def contacts(which, tried):

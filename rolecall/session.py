@@ -53,10 +53,10 @@ def last_of_repeated_keys(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a table in the shared folder: worked out once, and safe from lost executors."""
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """The rows as a table in the shared folder: worked out once, and safe from lost executors. ``options`` are the writer's."""
     path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -31,6 +31,12 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in system.listStatus(found)] if system.exists(found) else []
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder; 0 where it is missing."""
+    system, found = _at(spark, path)
+    return system.getContentSummary(found).getLength() if system.exists(found) else 0
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small file."""
     system, found = _at(spark, path)
