@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -66,3 +68,15 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 def remove(spark: SparkSession, path: str) -> None:
     system, found = _at(spark, path)
     system.delete(found, True)
+
+
+@contextmanager
+def few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """Let Spark list the many folders it is given in a few tasks a core, not one a folder."""
+    setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(4 * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from rolecall.session import stored
 from rolecall.sources import folders, readers
-from rolecall.sources.writers import document_line, write_lines
+from rolecall.sources.writers import document_line, without_keys, write_lines
 
 BITS = 32
 PART = "_part"
@@ -56,14 +56,18 @@ class PostingStore:
         return json.loads(folders.read_text(self.spark, f"{self.target}/manifest/{version or found[-1]}.json"))
 
     def path(self, part: dict) -> str:
-        return f"{self.target}/parts/{part['version']}/{PART}={part['depth']}-{part['prefix']}"
+        return f"{self.folder(part['version'])}/{PART}={part['depth']}-{part['prefix']}"
+
+    def folder(self, version: int) -> str:
+        return f"{self.target}/parts/{version}"
 
     def read(self, version: int | None = None) -> DataFrame:
         """Whole documents, as ``readers.read_postings`` gives them."""
         paths = [self.path(p) for p in self.parts(version) if p["version"] is not None]
         if not paths:
             raise ValueError(f"no posting was stored at {self.target}")
-        return readers.read_postings(self.spark, paths)
+        with folders.few_listing_tasks(self.spark):
+            return readers.read_postings(self.spark, paths)
 
     # --- writing -----------------------------------------------------------------------------------------------------
 
@@ -88,10 +92,10 @@ class PostingStore:
         merged = fresh.select("value", "_h")
         paths = [self.path(p) for p in hit if p["version"] is not None]
         if paths:
-            old = self.spark.read.schema("value string").text(paths).withColumn("_key", F.get_json_object("value", "$.job_key"))
-            keys = fresh.select(F.col("job_key").alias("_new")).distinct()
-            kept = old.join(keys, F.col("_key").eqNullSafe(F.col("_new")), "left_anti")
-            merged = stored(kept.select("value", key_bits(F.col("_key")).alias("_h")).unionByName(merged), "store_merged")
+            with folders.few_listing_tasks(self.spark):
+                old = self.spark.read.schema("value string").text(paths)
+            kept = without_keys(old.withColumn("job_key", F.get_json_object("value", "$.job_key")), fresh)
+            merged = stored(kept.select("value", key_bits(F.col("job_key")).alias("_h")).unionByName(merged), "store_merged")
         placed = self._placed(merged, [(d, p, 0) for d, p in touched]) if touched else None
         news = []
         if placed is not None:
@@ -101,7 +105,7 @@ class PostingStore:
             cut = self._placed(merged, [(d, p, halved[d, p]) for d, p in touched])
             deeper = F.col("depth") + F.col("bits")
             name = F.concat_ws("-", deeper.cast("string"), F.call_function("shiftright", F.col("_h"), F.lit(BITS) - deeper).cast("string"))
-            folder = f"{self.target}/parts/{version}"
+            folder = self.folder(version)
             # rows of a part together, in tasks of even size
             write_lines(cut.select("value", name.alias(PART)).hint("rebalance", F.col(PART)), folder, PART)
             written = set(folders.names(self.spark, folder))
@@ -119,8 +123,10 @@ class PostingStore:
         """Remove the manifests before the newest two, and the parts that only those name."""
         *gone, before, _ = [None, None, *self.versions()]
         for v in [v for v in gone if v is not None]:
-            named = {self.path(p) for p in self.parts(v)}
-            named -= {self.path(p) for p in self.parts(before)} | {self.path(p) for p in self.parts()}
-            for path in sorted(named):
+            left = [*self.parts(before), *self.parts()]
+            kept, versions = {self.path(p) for p in left}, {p["version"] for p in left}
+            # a version that no part is left of goes as one folder
+            named = {self.path(p) if p["version"] in versions else self.folder(p["version"]) for p in self.parts(v) if p["version"] is not None}
+            for path in sorted(named - kept):
                 folders.remove(self.spark, path)
             folders.remove(self.spark, f"{self.target}/manifest/{v}.json")

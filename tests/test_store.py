@@ -85,3 +85,24 @@ def test_odd_keys(spark, tmp_path):
     assert store.read().filter("job_key = 'hot'").count() == 60
     store.write(spark.createDataFrame([("hot", "one"), (None, "nothing")], schema))
     assert _found(store) == {**dict(odd), None: "nothing", "hot": "one"} and store.read().count() == 5
+
+
+def test_a_replaced_version_goes_as_one_folder(spark, tmp_path, monkeypatch):
+    store = PostingStore(spark, str(tmp_path / "store"), MOST)
+    removed = []
+    remove = folders.remove
+    with monkeypatch.context() as m:
+        m.setattr(folders, "remove", lambda s, path: (removed.append(path), remove(s, path)))
+        for start, company in ((0, "a"), (0, "b"), (0, "c")):
+            store.write(_rows(spark, start, 400, company))
+    assert len(store.parts()) > 8 and removed == [f"{store.target}/parts/1", f"{store.target}/manifest/1.json"]
+    assert set(_found(store).values()) == {"c"} and set(_found(store, 2).values()) == {"b"}
+    assert not os.path.exists(f"{store.target}/parts/1")
+
+
+def test_folders_are_listed_in_few_tasks(spark):
+    setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(setting)
+    with folders.few_listing_tasks(spark):
+        assert int(spark.conf.get(setting)) <= 4 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(setting) == before
