@@ -7,9 +7,9 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rolecall.session import stored
+from rolecall.session import scratch, stored
 
-__all__ = ["stored", "table", "running", "bucket_count", "hash_bucket"]
+__all__ = ["scratch", "stored", "table", "running", "bucket_count", "hash_bucket"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -28,10 +28,12 @@ document and keep the same lines; an empty table gives no rows; other columns ar
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rolecall.llm.common import stored
+from rolecall.llm.common import scratch, stored
 
 #: Line hashes and line numbers up to this many are joined by broadcast; more, by an ordinary join.
 BROADCAST_ROWS = 1_000_000
@@ -172,27 +174,33 @@ def word_marks(texts: DataFrame, least_words: int) -> DataFrame:
     return marked.withColumn("n", F.size("marks")).filter(F.col("n") >= least_words)
 
 
-def near_pairs(texts: DataFrame, most: int, words: bool = False) -> DataFrame:
-    """Pairs (one, other) of line_id of different lines within ``most`` edits, of words if ``words``.
+def near_pairs(texts: DataFrame, most: int, words: bool = False, lines: DataFrame | None = None) -> DataFrame:
+    """Pairs (one, other) of line_id of different lines within ``most`` edits, of words if ``words``; stored.
 
-    texts: stored, distinct line_id with line and n, its length; for words, as ``word_marks`` gives them.
+    texts: stored, distinct line_id with line and n, its length; for words, as ``word_marks`` gives them. Their lines may be
+    left out if ``lines`` (stored) has line_id and line.
     """
+    with scratch(texts.sparkSession, "near_pairs") as keep:
+        return stored(_near_pairs(texts, most, words, texts if lines is None else lines, keep), "line_near_pairs")
+
+
+def _near_pairs(texts: DataFrame, most: int, words: bool, lines: DataFrame, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     short, held_in = F.col("line_id.a"), "marks" if words else "line"
     index = texts.select(F.explode(index_keys(F.col(held_in), F.col("n"), most, words)).alias("key"), short.alias("id"))
     probe = texts.select(F.explode(probe_keys(F.col(held_in), F.col("n"), most, words)).alias("key"), short.alias("id"))
-    index = stored(index, "line_index")
-    met = stored(probe.join(index.select("key"), "key", "left_semi"), "line_probes")
+    index = keep(index, "index")
+    met = keep(probe.join(index.select("key"), "key", "left_semi"), "probes")
     shared = index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    wanted = stored(shared.unionByName(met.select("key")).distinct(), "line_keys")
-    held = stored(index.join(wanted, "key", "left_semi"), "line_held")
-    ids = stored(held.select("id").unionByName(met.select("id")).distinct(), "line_ids")
-    small = ids.count() <= BROADCAST_ROWS
-    some = texts.join(F.broadcast(ids) if small else ids, F.col("line_id.a") == F.col("id"), "left_semi")
+    wanted = keep(shared.unionByName(met.select("key")).distinct(), "keys")
+    held = keep(index.join(wanted, "key", "left_semi"), "held")
+    ids = keep(held.select("id").unionByName(met.select("id")).distinct(), "ids")
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+    some = texts.join(ids, F.col("line_id.a") == F.col("id"), "left_semi")
     units = F.col("marks") if words else F.split("line", "")
-    some = stored(some.select("line_id", "line", "n", pair_parity(units).alias("pairs")), "line_texts")
+    some = keep(some.select("line_id", "n", pair_parity(units).alias("pairs")), "texts")
     rows = some.withColumn("id", F.col("line_id.a")).select("id", "line_id", "n", "pairs")
-    left = stored(held.join(rows, "id").select("key", F.struct("line_id", "n", "pairs").alias("x")), "line_left")
-    right = stored(met.unionByName(held).join(rows, "id").select("key", F.struct("line_id", "n", "pairs").alias("y")), "line_right")
+    left = keep(held.join(rows, "id").select("key", F.struct("line_id", "n", "pairs").alias("x")), "left")
+    right = keep(met.unionByName(held).join(rows, "id").select("key", F.struct("line_id", "n", "pairs").alias("y")), "right")
     differ = F.bit_count(F.col("x.pairs.a").bitwiseXOR(F.col("y.pairs.a"))) + F.bit_count(F.col("x.pairs.b").bitwiseXOR(F.col("y.pairs.b")))
     close = (
         (left["key"] == right["key"]) & (F.col("x.line_id") != F.col("y.line_id"))
@@ -201,8 +209,9 @@ def near_pairs(texts: DataFrame, most: int, words: bool = False) -> DataFrame:
     pairs = left.join(right, close).select(
         F.least("x.line_id", "y.line_id").alias("one"), F.greatest("x.line_id", "y.line_id").alias("other")
     ).distinct()
-    pairs = stored(pairs, "line_pairs")
-    chars = some.select("line_id", F.split("line", GAP if words else "").alias("chars"))
+    pairs = keep(pairs, "pairs")
+    met_lines = lines.join(ids, F.col("line_id.a") == F.col("id"), "left_semi")
+    chars = met_lines.select("line_id", F.split("line", GAP if words else "").alias("chars"))
     both = pairs.join(chars.select(F.col("line_id").alias("one"), F.col("chars").alias("one_chars")), "one").join(
         chars.select(F.col("line_id").alias("other"), F.col("chars").alias("other_chars")), "other"
     )
@@ -210,28 +219,37 @@ def near_pairs(texts: DataFrame, most: int, words: bool = False) -> DataFrame:
 
 
 def dropped_lines(docs: DataFrame, most: int = 2, least_chars: int = 24, word_edits: int = 0, least_words: int = 20) -> DataFrame:
-    """_id, _text_hash, gone (line numbers from 0), for documents that lose a line."""
+    """_id, _text_hash, gone (line numbers from 0), for documents that lose a line; stored."""
+    with scratch(docs.sparkSession, "lines") as keep:
+        return stored(_dropped_lines(docs, most, least_chars, word_edits, least_words, keep), "line_gone")
+
+
+def _dropped_lines(
+    docs: DataFrame, most: int, least_chars: int, word_edits: int, least_words: int, keep: Callable[[DataFrame, str], DataFrame]
+) -> DataFrame:
     place = F.struct("_id", "_text_hash", "line_no")
     rows = keyed(docs)
-    found = stored(occurrences(rows, 1).select("_id", "_text_hash", "line_no", "line_id"), "line_places")
-    first = stored(found.groupBy("line_id").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")), "line_firsts")
+    found = keep(occurrences(rows, 1).select("_id", "_text_hash", "line_no", "line_id"), "places")
+    first = keep(found.groupBy("line_id").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")), "firsts")
     # texts of each line's first occurrence, read where they stand: no text is grouped
     repeated = first.filter("n > 1").select(F.col("line_id.a").alias("id"), "first")
-    again = stored(
+    again = keep(
         found.join(repeated, (F.col("line_id.a") == F.col("id")) & (place != F.col("first")), "inner")
-        .groupBy("_id", "_text_hash").agg(F.collect_set("line_no").alias("again")), "line_again",
+        .groupBy("_id", "_text_hash").agg(F.collect_set("line_no").alias("again")), "again",
     )
     left = occurrences(_with_numbers(rows, again, "again"), least_chars, "again")
-    texts = stored(left.select("line_id", "line", "n"), "lines")
+    texts = keep(left.select("line_id", "line", "n"), "texts")
     pairs = near_pairs(texts, most)
     if word_edits:
-        pairs = pairs.unionByName(near_pairs(stored(word_marks(texts, least_words), "line_words"), word_edits, words=True))
+        # the lines are stored already: only their marks are written
+        marks = keep(word_marks(texts, least_words).drop("line"), "words")
+        pairs = pairs.unionByName(near_pairs(marks, word_edits, words=True, lines=texts))
     seen = first.select("line_id", "first")
     earlier = pairs.join(seen.select(F.col("line_id").alias("one"), F.col("first").alias("one_first")), "one").join(
         seen.select(F.col("line_id").alias("other"), F.col("first").alias("other_first")), "other"
     )
     late = F.when(F.col("one_first") < F.col("other_first"), F.col("other")).otherwise(F.col("one"))
-    near = stored(earlier.select(late.alias("near_id")).distinct(), "line_near")
+    near = keep(earlier.select(late.alias("near_id")).distinct(), "near")
     near_first = first.join(near, F.col("line_id") == F.col("near_id")).select("first.*")
     gone = near_first.unionByName(again.select("_id", "_text_hash", F.explode("again").alias("line_no")))
     return gone.groupBy("_id", "_text_hash").agg(F.collect_set("line_no").alias("gone"))
@@ -239,7 +257,7 @@ def dropped_lines(docs: DataFrame, most: int = 2, least_chars: int = 24, word_ed
 
 def without_repeats(docs: DataFrame, most: int = 2, least_chars: int = 24, word_edits: int = 0, least_words: int = 20) -> DataFrame:
     """``docs`` with repeated and near-repeated lines taken out of ``text``, and ``gone``: their numbers."""
-    gone = stored(dropped_lines(docs, most, least_chars, word_edits, least_words), "line_gone")
+    gone = dropped_lines(docs, most, least_chars, word_edits, least_words)
     joined = _with_numbers(keyed(docs), gone, "gone")
     lines = F.split("_text", "\n", -1)
     kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("gone", i)), "\n")

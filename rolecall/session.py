@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,6 +62,26 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """``stored`` for the tables of one step: they are removed when it ends, so what it gives must be stored before.
+
+    A removed table cannot be read again: no plan that reads one may leave the step.
+    """
+    folder = work_path(spark, name)
+
+    def keep(df: DataFrame, table: str) -> DataFrame:
+        path = os.path.join(folder, f"{table}-{uuid.uuid4().hex}")
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    try:
+        yield keep
+    finally:
+        found = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return os.path.join(shared_folder(spark), "rolecall", f"{name}-{uuid.uuid4().hex}")
