@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rolecall.llm.common import stored
-from rolecall.llm.encode import encoder
+from rolecall.llm.encode import encoder, plain_words, words_of
 
 ALIGNED = (
     "doc_no long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string,"
@@ -90,6 +90,8 @@ class Pieces:
         names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.pieces = [self._bytes(name) for name in names]
         self.apart = all("▁" not in name.lstrip("▁") for name in names)
+        # a line end is a token of its own, so what follows one is cut as it would be alone
+        self.line_ends_alone = self.apart and all(p == b"\n" or b"\n" not in p for p in self.pieces)
         self.remembered = remembered
         self.known: dict[str, bytes] = {}
         self.lossy = False  # whether any chunk so far was LOST
@@ -114,6 +116,18 @@ class Pieces:
             at = end
         return out
 
+    def keys_of(self, keys: list[str]) -> list[list[int] | None]:
+        """Ids of each key of ``words_of``, or None where they do not give back its bytes."""
+        found = self.model.encode(keys, num_threads=1)
+        out = []
+        for key, ids in zip(keys, found, strict=True):
+            raw = b"".join([self.pieces[i] for i in ids])
+            if key[0] != "\n":
+                out.append(ids if raw == b" " + key.encode() else None)
+            else:  # the model gives it a space first, which is a token of its own
+                out.append(ids[1:] if raw == b" " + key.encode() and self.pieces[ids[0]] == b" " else None)
+        return out
+
     def __call__(self, text: str) -> np.ndarray | None:
         """Ids, or None where they do not give back a space and the text."""
         if not self.apart:
@@ -146,14 +160,26 @@ class Strings:
         return self.flat[shift + np.arange(len(shift))].tobytes()
 
 
+#: Links, pairs and token counts of a word that cannot be aligned.
+NO_WORD = (b"", b"", 0, 0)
+
+
 class Aligner:
-    """Digest and pairs of a text under two tokenizers."""
+    """Digest and pairs of a text under two tokenizers.
+
+    Where both tokenizers cut a text before every word, words are aligned by themselves, once each, and remembered; a text
+    is then put together from its words. Other texts are aligned whole. ``remembered``: most words held at once.
+    """
 
-    def __init__(self, a, b):
+    def __init__(self, a, b, remembered: int = 700_000):
         self.a, self.b = a, b
         self.sizes = [np.array([len(p) for p in t.pieces], dtype=np.int64) for t in (a, b)]
         self.a_bytes = Strings(a.pieces)
         self.marked = Strings([f"{i}{mark}".encode() for i in range(max(len(a.pieces), len(b.pieces))) for mark in ",|;"])
+        self.half = remembered // 2
+        # word: its groups, its pairs, and how many tokens of A and B it has
+        self.young: dict[str, tuple[bytes, bytes, int, int]] = {}
+        self.old: dict[str, tuple[bytes, bytes, int, int]] = {}
 
     def __call__(self, text: str | None) -> tuple[int, int, int, int, str, bytes, bytes]:
         """n_a, n_b, n_groups, n_links, groups_sha256, pairs (a << 32 | b, sorted), times."""
@@ -161,18 +187,72 @@ class Aligner:
         if not text:
             return nothing
         spaced = " " + text
-        raw = spaced.encode()
+        words = self._words(spaced) if self.b.line_ends_alone else None
+        if words is not None:
+            if NO_WORD in words:
+                return nothing
+            groups, pairs, n_a, n_b = zip(*words, strict=True)
+            pairs = np.frombuffer(b"".join(pairs), dtype="<i8")
+            return self._row(sum(n_a), sum(n_b), b";".join(groups), pairs)
         a, b = self.a(spaced), self.b(text)
-        if b is None or self.a_bytes.joined(a) != raw:
+        if b is None or self.a_bytes.joined(a) != spaced.encode():
             return nothing
+        at_a, at_b, pairs = self._links(a, b)
+        return self._row(len(a), len(b), self.groups(a, b, at_a, at_b), pairs)
+
+    @staticmethod
+    def _row(n_a: int, n_b: int, groups: bytes, pairs: np.ndarray) -> tuple[int, int, int, int, str, bytes, bytes]:
+        n = len(pairs)
+        pairs, times = np.unique(pairs, return_counts=True)
+        return n_a, n_b, n, n, hashlib.sha256(groups).hexdigest(), pairs.astype("<i8").tobytes(), times.astype("<u4").tobytes()
+
+    def _links(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of the tokens of A and of B that end together, and their pairs of ids."""
         a_ends, b_ends = np.cumsum(self.sizes[0][a]), np.cumsum(self.sizes[1][b])
         # tokens are never empty, so an end stands once in each list, and a shared one is one link
         at_a = np.searchsorted(a_ends, b_ends)
         at_b = np.flatnonzero(a_ends[at_a] == b_ends)
         at_a = at_a[at_b]
-        pairs, times = np.unique(a[at_a].astype(np.int64) << 32 | b[at_b], return_counts=True)
-        digest = hashlib.sha256(self.groups(a, b, at_a, at_b)).hexdigest()
-        return len(a), len(b), len(at_a), len(at_a), digest, pairs.astype("<i8").tobytes(), times.astype("<u4").tobytes()
+        return at_a, at_b, a[at_a].astype(np.int64) << 32 | b[at_b]
+
+    def _words(self, spaced: str) -> list[tuple[bytes, bytes, int, int]] | None:
+        """The aligned words of a text in order; None if words may not stand alone."""
+        keys = words_of(spaced)
+        found = list(map(self.young.get, keys))
+        if None not in found:
+            return found
+        unseen = {k for k, x in zip(keys, found, strict=True) if x is None}
+        together = "".join(unseen)
+        if len(unseen) > self.half or self.a.encode.whole.search(together) or not plain_words(unseen, together):
+            return None
+        if len(self.young) + len(unseen) > self.half:
+            self.old, self.young = self.young, {}
+        own = {k: self.old[k] for k in unseen if k in self.old}
+        own.update(self._learned(list(unseen.difference(own))))
+        self.young.update((k, x) for k, x in own.items() if len(k) <= 48)
+        return [own[k] if x is None else x for k, x in zip(keys, found, strict=True)]
+
+    def _learned(self, keys: list[str]) -> dict[str, tuple[bytes, bytes, int, int]]:
+        """Words aligned as one text: both tokenizers end a token where a word ends, so groups keep to their word."""
+        out = dict.fromkeys(keys, NO_WORD)
+        by_key = self.a.encode.keys_of(set(keys))
+        b_ids = [(k, ids) for k, ids in zip(keys, self.b.keys_of(keys), strict=True) if ids is not None]
+        raw = [k.encode() if k[0] == "\n" else b" " + k.encode() for k, _ in b_ids]
+        a = np.frombuffer(b"".join([by_key[k] for k, _ in b_ids]), dtype="<u4")
+        if self.a_bytes.joined(a) != b"".join(raw):
+            fits = [self.a_bytes.joined(np.frombuffer(by_key[k], dtype="<u4")) == r for (k, _), r in zip(b_ids, raw, strict=True)]
+            b_ids = [x for x, fit in zip(b_ids, fits, strict=True) if fit]
+            a = np.frombuffer(b"".join([by_key[k] for k, _ in b_ids]), dtype="<u4")
+        if not b_ids:
+            return out
+        counts = [len(ids) for _, ids in b_ids]
+        b = np.fromiter(chain.from_iterable(ids for _, ids in b_ids), dtype="<u4", count=sum(counts))
+        at_a, at_b, pairs = self._links(a, b)
+        groups, held = self.groups(a, b, at_a, at_b).split(b";"), pairs.astype("<i8").tobytes()
+        cuts = np.searchsorted(at_b, np.cumsum(counts)).tolist()
+        for (k, ids), s, e in zip(b_ids, [0, *cuts[:-1]], cuts, strict=True):
+            out[k] = (b";".join(groups[s:e]), held[8 * s : 8 * e], len(by_key[k]) // 4, len(ids))
+        return out
 
     def groups(self, a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> bytes:
         """``a1,a2|b1;a3|b2,b3``: the groups' ids in order."""

@@ -54,6 +54,17 @@ def _token_spans(found, pieces: list[str], between: str) -> tuple[list[int], lis
     return np.searchsorted(begins, stops - sizes).tolist(), np.searchsorted(begins, stops).tolist()
 
 
+def words_of(text: str) -> list[str]:
+    """One key per word of a text that begins with a space or a line end: words after a space, line ends with the word after them."""
+    led = text[0] == " "
+    return (text[1:] if led else text).replace("\n", " \n").split(" ")[not led :]
+
+
+def plain_words(keys: set[str], together: str) -> bool:
+    """Whether no other white space than single spaces and line ends parts the words of these keys."""
+    return not ("" in keys or "\n" in keys or _OTHER_WHITE.search(together))
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes.
 
@@ -63,7 +74,7 @@ class Encoder:
     remembered: most pieces held at once; the bound on memory.
     """
 
-    def __init__(self, path: str, keeps_spaces: bool, plain_special: bool = False, remembered: int = 1_600_000):
+    def __init__(self, path: str, keeps_spaces: bool, plain_special: bool = False, remembered: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -72,6 +83,10 @@ class Encoder:
         self.keeps_spaces = keeps_spaces
         self.learn = self.keys_of if keeps_spaces else self.pieces_of
         self.line_end = self.direct(["\n"])[0]
+        # bytes of each id, where entries spell bytes as letters
+        vocabulary = self.tokenizer.get_vocab() if keeps_spaces else {}
+        self.sizes = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=np.int64)
+        self.sizes[list(vocabulary.values())] = [len(entry) for entry in vocabulary]
         self.half = remembered // 2
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -91,8 +106,25 @@ class Encoder:
         return out
 
     def keys_of(self, keys: set[str]) -> dict[str, bytes]:
-        """Ids of the keys of ``_even``: a word after a space, or a line end and a word."""
+        """Ids of the keys of ``words_of``: a word after a space, or a line end and a word.
+
+        All are one text for the library. Where a key ends in the ids is told by the bytes that each id stands for, since
+        offsets cost as much as the ids.
+        """
         spaced = [k for k in keys if k[0] != "\n"]
+        order = [*spaced, *(k for k in keys if k[0] == "\n")]
+        text = " " * bool(spaced) + " ".join(spaced) + "".join(order[len(spaced) :])
+        if text:
+            found = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = np.cumsum(self.sizes[found])
+            sizes = np.fromiter(map(len, order if text.isascii() else map(str.encode, order)), dtype=np.int64, count=len(order))
+            sizes[: len(spaced)] += 1
+            stops = np.cumsum(sizes)
+            if len(ends) and ends[-1] == stops[-1]:
+                at = np.searchsorted(ends, stops)
+                if np.array_equal(ends[at], stops):
+                    ids, cuts = found.tobytes(), (4 * (at + 1)).tolist()
+                    return {k: ids[b:e] for k, b, e in zip(order, [0, *cuts[:-1]], cuts, strict=True)}
         found = self.pieces_of({" " + k for k in spaced} | {k[1:] for k in keys if k[0] == "\n"})
         return {k: self.line_end + found[k[1:]] if k[0] == "\n" else found[" " + k] for k in keys}
 
@@ -110,10 +142,10 @@ class Encoder:
             return b""
         before = 0
         if self.keeps_spaces:
-            # one key per word: line ends go with the word after them, and a first word counts as after one
+            # a first word counts as after a line end
             led = text[0] == " "
             before = 0 if led else len(self.line_end)
-            pieces = (text[1:] if led else "\n" + text).replace("\n", " \n").split(" ")[not led :]
+            pieces = words_of(text if led else "\n" + text)
         elif any(c in text for c in _SPLIT_HERE_ONLY):
             return self.direct([text])[0]
         else:
@@ -125,7 +157,7 @@ class Encoder:
             together = "".join(unseen)
             if len(unseen) > self.half or self.whole.search(together):
                 return self.direct([text])[0]
-            if self.keeps_spaces and ("" in unseen or "\n" in unseen or _OTHER_WHITE.search(together)):
+            if self.keeps_spaces and not plain_words(unseen, together):
                 return self._spaced(text)
             own = self._learned(unseen)
             parts = [own[p] if ids is None else ids for p, ids in zip(pieces, parts, strict=True)]

@@ -49,7 +49,7 @@ def cuts(n: int, lengths: list[int]) -> list[int]:
 
 
 #: Ids held before a batch of pieces is handed over, in bytes.
-_HELD = 64 << 20
+_HELD = 8 << 20
 
 
 def _cutter(tokenizer: str, keeps_spaces: bool, end_id: int, capacity: int, classes: int):
