@@ -24,12 +24,14 @@ def posting_run(
     answers: canonical_url, response. payloads: url, body. One text and one answer per address
     count; a page without an answer is quarantined.
     """
-    usable, failed = pages.split_success(pages.routed_texts(crawled, payloads))
+    # usable and failed texts go one way, so that either result reads every page once
+    texts = pages.routed_texts(crawled, payloads).filter(F.col("success").isNotNull())
     one_answer = first_by(answers.select("canonical_url", "response"), ["canonical_url"], [F.col("response").isNull(), "response"])
     # one row per address on both sides, so no address is hot
-    answered = usable.join(one_answer.withColumn("has_answer", F.lit(True)), "canonical_url", "left")
+    answered = texts.join(one_answer.withColumn("has_answer", F.lit(True)), "canonical_url", "left")
     checked = postings.checked_responses(answered).withColumn(
-        "problem", F.when(F.col("has_answer").isNull(), "no answer").otherwise(F.col("problem"))
+        "problem",
+        F.when(~F.col("success"), F.col("error")).when(F.col("has_answer").isNull(), "no answer").otherwise(F.col("problem")),
     ).drop("has_answer")
     stamped = postings.with_default_time(
         checked.withColumn("scraped_at", F.lit(None).cast("timestamp")), "scraped_at", as_of
@@ -43,9 +45,7 @@ def posting_run(
         F.lit(None).cast("string").alias("email_body"),
         "scraped_at", "company_doubtful", "title_blank",
     )
-    bad = failed.select("canonical_url", F.col("error").alias("problem")).unionByName(
-        checked.filter(F.col("problem").isNotNull()).select("canonical_url", "problem")
-    )
+    bad = checked.filter(F.col("problem").isNotNull()).select("canonical_url", "problem")
     return good, bad
 
 
