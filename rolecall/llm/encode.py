@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import re
+import string
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
@@ -22,6 +24,11 @@ _OTHER_WHITE = re.compile(r"[^\S \n]")
 _SPACED = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 #: Pieces longer than this are not remembered.
 _LONG = 48
+#: Words learned in one call, and characters of texts that wait for it.
+_LEARNED_AT_ONCE = 4000
+_HELD_CHARS = 1 << 19
+#: Signs that are tokens apart from the letter or digit before them, if they end a word.
+_SIGNS = string.punctuation
 
 
 def _whole(special) -> re.Pattern:
@@ -82,6 +89,9 @@ class Encoder:
         self.whole = _whole([] if plain_special else self.tokenizer.get_added_tokens_decoder().values())
         self.keeps_spaces = keeps_spaces
         self.learn = self.keys_of if keeps_spaces else self.pieces_of
+        # byte-level tokenizers part words and signs by a pattern
+        self.parts_signs = keeps_spaces and getattr(self.tokenizer.pre_tokenizer, "use_regex", False)
+        self.signs: dict[str, bytes] = {}
         self.line_end = self.direct(["\n"])[0]
         # bytes of each id, where entries spell bytes as letters
         vocabulary = self.tokenizer.get_vocab() if keeps_spaces else {}
@@ -128,18 +138,52 @@ class Encoder:
         found = self.pieces_of({" " + k for k in spaced} | {k[1:] for k in keys if k[0] == "\n"})
         return {k: self.line_end + found[k[1:]] if k[0] == "\n" else found[" " + k] for k in keys}
 
+    def _put_together(self, unseen: set[str]) -> dict[str, bytes]:
+        """Ids of the pieces that are a remembered one with signs behind it."""
+        own = {}
+        for piece in unseen:
+            if piece[-1] in _SIGNS:
+                word = piece.rstrip(_SIGNS)
+                if word and word[-1] < "\u0250" and word[-1].isalpha() and word in self.young:
+                    tail = piece[len(word) :]
+                    if tail not in self.signs:
+                        if len(self.signs) >= _LEARNED_AT_ONCE:
+                            self.signs.clear()
+                        self.signs[tail] = self.direct([tail])[0]
+                    own[piece] = self.young[word] + self.signs[tail]
+        return own
+
     def _learned(self, unseen: set[str]) -> dict[str, bytes]:
         """Ids of pieces that are not in the younger half of the memory; all but long ones are now remembered."""
         if len(self.young) + len(unseen) > self.half:
             self.old, self.young = self.young, {}
         own = {p: self.old[p] for p in unseen if p in self.old}
+        if self.parts_signs:
+            own.update(self._put_together(unseen.difference(own)))
         own.update(self.learn(unseen.difference(own)))
-        self.young.update((p, ids) for p, ids in own.items() if len(p) <= _LONG)
+        short = max(map(len, own)) <= _LONG
+        self.young.update(own if short else {p: ids for p, ids in own.items() if len(p) <= _LONG})
         return own
 
     def __call__(self, text: str | None) -> bytes:
+        return next(self.many([text]))
+
+    def many(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """Ids of each text in turn. New words are learned for several texts at once: a call costs as much as many words."""
+        held, unseen, size = [], set(), 0
+        for text in texts:
+            held.append(self._met(text))
+            unseen |= held[-1][3]
+            size += len(text or "")
+            if len(unseen) >= _LEARNED_AT_ONCE or size >= _HELD_CHARS:
+                yield from self._joined(held, unseen)
+                held, unseen, size = [], set(), 0
+        yield from self._joined(held, unseen)
+
+    def _met(self, text: str | None) -> tuple[int, list[str], list[bytes | None], set[str]]:
+        """(bytes to leave out in front, pieces, their ids as far as they are remembered, the other pieces)."""
         if not text:
-            return b""
+            return 0, [], [], set()
         before = 0
         if self.keeps_spaces:
             # a first word counts as after a line end
@@ -147,22 +191,26 @@ class Encoder:
             before = 0 if led else len(self.line_end)
             pieces = words_of(text if led else "\n" + text)
         elif any(c in text for c in _SPLIT_HERE_ONLY):
-            return self.direct([text])[0]
+            return 0, [], self.direct([text]), set()
         else:
             pieces = text.split()
         parts = list(map(self.young.get, pieces))
-        if None in parts:
-            # remembered pieces are known to stand alone: only unseen ones are looked into
-            unseen = {p for p, ids in zip(pieces, parts, strict=True) if ids is None}
-            together = "".join(unseen)
-            if len(unseen) > self.half or self.whole.search(together):
-                return self.direct([text])[0]
-            if self.keeps_spaces and not plain_words(unseen, together):
-                return self._spaced(text)
-            own = self._learned(unseen)
-            parts = [own[p] if ids is None else ids for p, ids in zip(pieces, parts, strict=True)]
-        found = b"".join(parts)
-        return found[before:] if before else found
+        if None not in parts:
+            return before, [], parts, set()
+        # remembered pieces are known to stand alone: only unseen ones are looked into
+        unseen = {p for p, ids in zip(pieces, parts, strict=True) if ids is None}
+        together = "".join(unseen)
+        if len(unseen) > self.half or self.whole.search(together):
+            return 0, [], self.direct([text]), set()
+        if self.keeps_spaces and not plain_words(unseen, together):
+            return 0, [], [self._spaced(text)], set()
+        return before, pieces, parts, unseen
+
+    def _joined(self, held: list[tuple[int, list[str], list[bytes | None], set[str]]], unseen: set[str]) -> Iterator[bytes]:
+        own = self._learned(unseen) if unseen else {}
+        for before, pieces, parts, new in held:
+            found = b"".join(map(own.get, pieces, parts) if new else parts)
+            yield found[before:] if before else found
 
     def _spaced(self, text: str) -> bytes:
         """By way of the tokenizer's own cuts, for texts with other white space than single spaces and line ends."""

@@ -83,8 +83,8 @@ def _cutter(tokenizer: str, keeps_spaces: bool, end_id: int, capacity: int, clas
 
         for batch in batches:
             first, held, found = 0, 0, []
-            for text in batch.column(1):
-                found.append(encode(text.as_py()) + end)
+            for ids in encode.many(text.as_py() for text in batch.column(1)):
+                found.append(ids + end)
                 held += len(found[-1])
                 if held >= _HELD:
                     yield rows(batch.column(0).slice(first, len(found)), found)
