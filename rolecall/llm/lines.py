@@ -12,8 +12,8 @@ go on, with their texts.
 
 Pairs that meet are compared first by the parity of their letter pairs (one edit changes at most four), then
 by banded bit-parallel edit distance: for each number of errors a bit mask of the 2 * most + 1 diagonals that are
-still alive, moved one character at a time. Only true links leave the join, so a group of many lines
-that share a segment is compared but not written out as pairs.
+still alive, moved one character at a time. All this is the condition of a semi join, which a line leaves once, at the first
+earlier line found near it: a group of many near lines gives a row for each line, not for each pair.
 
 A few characters do not reach near-repeats of long lines. With ``word_edits``, lines of at least ``least_words``
 words are also compared by the same join with words in place of characters: an edit puts in, takes out or changes
@@ -174,37 +174,52 @@ def word_marks(texts: DataFrame, least_words: int) -> DataFrame:
     return marked.withColumn("n", F.size("marks")).filter(F.col("n") >= least_words)
 
 
-def near_pairs(texts: DataFrame, most: int, words: bool = False, lines: DataFrame | None = None) -> DataFrame:
+def near_pairs(texts: DataFrame, most: int, words: bool = False, lines: DataFrame | None = None, late: bool = False) -> DataFrame:
     """Pairs (one, other) of line_id of different lines within ``most`` edits, of words if ``words``; stored.
 
     texts: stored, distinct line_id with line and n, its length; for words, as ``word_marks`` gives them. Their lines may be
     left out if ``lines`` (stored) has line_id and line.
+
+    ``late``: not the pairs, of which a group of near lines has as many as its square, but ``first`` of each line that comes
+    after another one within ``most`` edits, once. The lines then have their place as ``first``.
     """
     with scratch(texts.sparkSession, "near_pairs") as keep:
-        return stored(_near_pairs(texts, most, words, texts if lines is None else lines, keep), "line_near_pairs")
+        find = _late if late else _near_pairs
+        return stored(find(texts, most, words, texts if lines is None else lines, keep), "line_near_pairs")
 
 
-def _near_pairs(texts: DataFrame, most: int, words: bool, lines: DataFrame, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+def _meetings(texts: DataFrame, most: int, words: bool, keep: Callable[[DataFrame, str], DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(held: key and id of index entries that another line may meet, met: those of probes that meet one, ids of both)."""
     short, held_in = F.col("line_id.a"), "marks" if words else "line"
     index = texts.select(F.explode(index_keys(F.col(held_in), F.col("n"), most, words)).alias("key"), short.alias("id"))
     probe = texts.select(F.explode(probe_keys(F.col(held_in), F.col("n"), most, words)).alias("key"), short.alias("id"))
     index = keep(index, "index")
-    met = keep(probe.join(index.select("key"), "key", "left_semi"), "probes")
-    shared = index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    met = keep(probe.join(index.select("key"), "key", "left_semi").distinct(), "probes")
+    # repeated rows are one line: it does not meet itself
+    shared = index.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most").select("key")
     wanted = keep(shared.unionByName(met.select("key")).distinct(), "keys")
-    held = keep(index.join(wanted, "key", "left_semi"), "held")
+    held = keep(index.join(wanted, "key", "left_semi").distinct(), "held")
     ids = keep(held.select("id").unionByName(met.select("id")).distinct(), "ids")
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+    return held, met, F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+
+
+def _unlike(x: str, y: str) -> Column:
+    """How many kinds of letter pairs are an odd number of times more in one line than in the other, at least."""
+    a, b = (F.bit_count(F.col(f"{x}.pairs.{half}").bitwiseXOR(F.col(f"{y}.pairs.{half}"))) for half in "ab")
+    return a + b
+
+
+def _near_pairs(texts: DataFrame, most: int, words: bool, lines: DataFrame, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    held, met, ids = _meetings(texts, most, words, keep)
     some = texts.join(ids, F.col("line_id.a") == F.col("id"), "left_semi")
     units = F.col("marks") if words else F.split("line", "")
     some = keep(some.select("line_id", "n", pair_parity(units).alias("pairs")), "texts")
     rows = some.withColumn("id", F.col("line_id.a")).select("id", "line_id", "n", "pairs")
     left = keep(held.join(rows, "id").select("key", F.struct("line_id", "n", "pairs").alias("x")), "left")
     right = keep(met.unionByName(held).join(rows, "id").select("key", F.struct("line_id", "n", "pairs").alias("y")), "right")
-    differ = F.bit_count(F.col("x.pairs.a").bitwiseXOR(F.col("y.pairs.a"))) + F.bit_count(F.col("x.pairs.b").bitwiseXOR(F.col("y.pairs.b")))
     close = (
         (left["key"] == right["key"]) & (F.col("x.line_id") != F.col("y.line_id"))
-        & (F.abs(F.col("x.n") - F.col("y.n")) <= most) & (differ <= 4 * most)
+        & (F.abs(F.col("x.n") - F.col("y.n")) <= most) & (_unlike("x", "y") <= 4 * most)
     )
     pairs = left.join(right, close).select(
         F.least("x.line_id", "y.line_id").alias("one"), F.greatest("x.line_id", "y.line_id").alias("other")
@@ -218,6 +233,32 @@ def _near_pairs(texts: DataFrame, most: int, words: bool, lines: DataFrame, keep
     return both.filter(within_edits(F.col("one_chars"), F.col("other_chars"), most)).select("one", "other")
 
 
+def _late(texts: DataFrame, most: int, words: bool, lines: DataFrame, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    held, met, ids = _meetings(texts, most, words, keep)
+    cut = GAP if words else ""
+    some = lines.join(ids, F.col("line_id.a") == F.col("id"), "left_semi").select(F.col("line_id.a").alias("id"), "line", "first")
+    units = F.split("line", cut)
+    marks = F.transform(units, lambda w: F.xxhash64(w)) if words else units
+    some = keep(some.dropDuplicates(["id"]).withColumn("n", F.size(units)).withColumn("pairs", pair_parity(marks)), "texts")
+    row = F.struct("first", "n", "pairs", "line")
+    held = keep(held.join(some, "id").select("key", row.alias("x")), "left")
+    met = keep(met.join(some, "id").select("key", row.alias("x")), "right")
+
+    def after(rows: DataFrame, others: DataFrame) -> DataFrame:
+        others = others.select(F.col("key").alias("_key"), F.col("x").alias("y"))
+        # split once a pair: the one element of a list
+        both = F.array(F.struct(F.split("x.line", cut).alias("a"), F.split("y.line", cut).alias("b")))
+        near = (
+            (F.col("key") == F.col("_key")) & (F.col("y.first") < F.col("x.first"))
+            & (F.abs(F.col("x.n") - F.col("y.n")) <= most) & (_unlike("x", "y") <= 4 * most)
+            & F.exists(both, lambda p: within_edits(p["a"], p["b"], most))
+        )
+        return rows.join(others, near, "left_semi").select("x.first")
+
+    # a line that probes may be the earlier or the later one of the two
+    return after(met.unionByName(held), held).unionByName(after(held, met)).distinct()
+
+
 def dropped_lines(docs: DataFrame, most: int = 2, least_chars: int = 24, word_edits: int = 0, least_words: int = 20) -> DataFrame:
     """_id, _text_hash, gone (line numbers from 0), for documents that lose a line; stored."""
     with scratch(docs.sparkSession, "lines") as keep:
@@ -238,20 +279,14 @@ def _dropped_lines(
         .groupBy("_id", "_text_hash").agg(F.collect_set("line_no").alias("again")), "again",
     )
     left = occurrences(_with_numbers(rows, again, "again"), least_chars, "again")
-    texts = keep(left.select("line_id", "line", "n"), "texts")
-    pairs = near_pairs(texts, most)
+    # what is left of a line is its first occurrence
+    texts = keep(left.select("line_id", "line", "n", place.alias("first")), "texts")
+    near = near_pairs(texts, most, late=True)
     if word_edits:
         # the lines are stored already: only their marks are written
         marks = keep(word_marks(texts, least_words).drop("line"), "words")
-        pairs = pairs.unionByName(near_pairs(marks, word_edits, words=True, lines=texts))
-    seen = first.select("line_id", "first")
-    earlier = pairs.join(seen.select(F.col("line_id").alias("one"), F.col("first").alias("one_first")), "one").join(
-        seen.select(F.col("line_id").alias("other"), F.col("first").alias("other_first")), "other"
-    )
-    late = F.when(F.col("one_first") < F.col("other_first"), F.col("other")).otherwise(F.col("one"))
-    near = keep(earlier.select(late.alias("near_id")).distinct(), "near")
-    near_first = first.join(near, F.col("line_id") == F.col("near_id")).select("first.*")
-    gone = near_first.unionByName(again.select("_id", "_text_hash", F.explode("again").alias("line_no")))
+        near = near.unionByName(near_pairs(marks, word_edits, words=True, lines=texts, late=True))
+    gone = near.select("first.*").unionByName(again.select("_id", "_text_hash", F.explode("again").alias("line_no")))
     return gone.groupBy("_id", "_text_hash").agg(F.collect_set("line_no").alias("gone"))
 
 
