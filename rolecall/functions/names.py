@@ -69,11 +69,17 @@ def with_first_last(df: DataFrame, name: str) -> DataFrame:
     """Columns first, last for addresses; both null when either cannot be had."""
     w, long_word = F.col("_words"), F.col("_long")
     rest = F.slice(w, F.lit(2), F.greatest(F.size(w), F.lit(1)))
-    long_words = F.filter(rest, lambda x: F.length(F.regexp_replace(x, r"\.+\z", "")) > 1)
+
+    def long(x: Column) -> Column:
+        return F.length(F.rtrim(x, F.lit("."))) > 1
+
+    # mostly the second word itself, then no others are looked at
+    second = F.try_element_at(w, F.lit(2))
+    found = F.when(long(second), second).otherwise(F.try_element_at(F.filter(rest, long), F.lit(1)))
     usable = (F.size(w) >= 2) & (F.col("_first") != "") & (F.col("_last") != "")
     parts = (
         df.withColumn("_words", _name_words(F.col(name)))
-        .withColumn("_long", F.try_element_at(long_words, F.lit(1)))
+        .withColumn("_long", found)
         .withColumn("_first", ascii_letters(F.try_element_at(w, F.lit(1))))
         .withColumn("_last", blank_to_null(ascii_letters(long_word)))
         .withColumn("_second", F.when(F.col("_last").isNull(), F.try_element_at(w, F.lit(2))))

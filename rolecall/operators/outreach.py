@@ -27,7 +27,9 @@ def bounced() -> Column:
 
 
 def sendable() -> Column:
-    return (F.size(untried()) > 0) & (F.col("email_sent_at").isNull() | bounced())
+    # looks no further than the first one
+    any_untried = F.exists("candidates", lambda c: ~F.array_contains("email_tried", c))
+    return (F.col("email_sent_at").isNull() | bounced()) & any_untried
 
 
 def attempt_label() -> Column:

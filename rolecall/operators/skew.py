@@ -25,23 +25,40 @@ def first_by(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return top_by(df, keys, order, 1)
 
 
-def numbered(df: DataFrame, keys: list[str], order: str, rank: str, width: int = 10_000) -> DataFrame:
+def long_keys(df: DataFrame, keys: list[str], width: int = 10_000) -> DataFrame:
+    """Keys that ``numbered`` cuts into ranges: those with more than ``width`` rows."""
+    counts = df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.filter(F.col("_n") > width).select(*keys)
+
+
+def numbered(df: DataFrame, keys: list[str], order: str, rank: str, width: int = 10_000, long: DataFrame | None = None) -> DataFrame:
     """Rows numbered 1, 2, ... per key by a whole-number column that is unique within the key.
 
-    A key's rows are cut into ranges of ``width`` order values. Rows are numbered within
-    their range and the sizes of the earlier ranges are added, so no task ever sorts more
-    than ``width`` rows of one key.
+    Rows without a key or an order value are left out. The rows of a key with more than ``width``
+    are cut into ranges of ``width`` order values, numbered within their range, and the sizes of the
+    earlier ranges are added, so no task ever sorts more than ``width`` rows of one key. Keys are
+    counted right away, unless ``long`` gives the long ones (``long_keys``, others may be among them):
+    where there are none, which is usual, rows move once, by their key alone, and what groups or
+    joins them by key afterwards finds them together.
     """
-    ranged = df.withColumn("_range", F.floor(F.col(order) / width))
-    sizes = ranged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_size"))
+    columns = [*keys, *(c for c in df.columns if c not in keys), rank]
+    whole = df.dropna(subset=[*keys, order])
+    long = long_keys(whole, keys, width) if long is None else long
+    if long.isEmpty():
+        at = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
+        return whole.withColumn(rank, at.cast("long")).select(*columns)
+    # all rows of a shorter key are one range
+    value = F.when(F.col("_long"), F.floor(F.col(order) / width)).otherwise(0)
+    ranged = whole.join(long.withColumn("_long", F.lit(True)), keys, "left").withColumn("_range", value).drop("_long")
+    sizes = whole.join(long, keys, "left_semi").groupBy(*keys, F.floor(F.col(order) / width).alias("_range")).agg(F.count(F.lit(1)).alias("_size"))
     earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(*keys, "_range", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
     within = Window.partitionBy(*keys, "_range").orderBy(order)
     return (
         ranged.withColumn("_at", F.row_number().over(within))
-        .join(starts, [*keys, "_range"])
-        .withColumn(rank, (F.col("_start") + F.col("_at")).cast("long"))
-        .drop("_range", "_at", "_start")
+        .join(starts, [*keys, "_range"], "left")
+        .withColumn(rank, (F.coalesce("_start", F.lit(0)) + F.col("_at")).cast("long"))
+        .select(*columns)
     )
 
 
@@ -56,7 +73,7 @@ def hot_keys(df: DataFrame, on: list[str], parts: int | None = None) -> DataFram
     """
     parts = parts or even_parts(df)
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
+    total = df.agg(F.count(F.lit(1))).scalar()
     filled = F.ceil(F.col("_n") * parts / total).cast("int")
     return counts.filter(F.col("_n") * parts > total).select(*on, filled.alias("_salts"))
 

@@ -13,7 +13,7 @@ from rolecall.functions import names as N
 from rolecall.functions import text as T
 from rolecall.functions import urls as U
 from rolecall.operators import addresses, domains, outreach, pages, postings, reconcile, search
-from rolecall.operators.skew import hot_keys, numbered, top_by
+from rolecall.operators.skew import hot_keys, long_keys, numbered, top_by
 from rolecall.plans import inputs as I
 from rolecall.plans import pipeline
 from rolecall.sources import readers, writers
@@ -512,7 +512,7 @@ def _sent(spark, sf_dir):
         "job_key", "contact_rank",
         F.expr(I.START).alias("sent_at"), F.col("to_address").alias("sent_to"),
     )
-    return contacts, session.stored(outreach.apply_receipts(contacts, receipts), "sent")
+    return contacts, outreach.apply_receipts(contacts, receipts)
 
 
 @query
@@ -530,7 +530,7 @@ def replaced_contacts(spark, sf_dir):
     """Contact table after the even postings had their lists replaced by the sent state."""
     before, after = _sent(spark, sf_dir)
     even = F.substr("job_key", F.lit(2)).cast("bigint") % 2 == 0
-    rows = outreach.replace_contacts(before, after.filter(even).select(*before.columns))
+    rows = outreach.replace_contacts(before, session.stored(after.filter(even).select(*before.columns), "sent"))
     return rows.select("job_key", "contact_rank", F.array_join("email_tried", ",").alias("tried"))
 
 
@@ -538,9 +538,11 @@ def replaced_contacts(spark, sf_dir):
 def contact_documents(spark, sf_dir):
     """Contact lists nested into documents, replaced, and exploded again."""
     before, after = _sent(spark, sf_dir)
+    # sending adds no contacts, so the long lists are the same after it
+    long = session.stored(long_keys(before, ["job_key"]), "long")
 
     def listed(df):
-        return numbered(df.withColumnRenamed("contact_rank", "order_no"), ["job_key"], "order_no", "contact_rank").select(
+        return numbered(df.withColumnRenamed("contact_rank", "order_no"), ["job_key"], "order_no", "contact_rank", long=long).select(
             "job_key", "contact_rank", "name",
             F.lit(None).cast("string").alias("title"), F.lit(None).cast("string").alias("linkedin_url"),
             "candidates", F.lit("brave").alias("source"), F.lit(None).cast("timestamp").alias("found_at"),

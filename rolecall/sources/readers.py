@@ -52,8 +52,10 @@ def list_postings(spark: SparkSession, path: str) -> DataFrame:
 
 def split_addresses(email: Column) -> Column:
     """Comma-joined addresses to a list without blanks."""
-    parts = F.transform(F.split(F.coalesce(email, F.lit("")), ","), T.strip)
-    return F.filter(parts, lambda e: e != "")
+    parts = F.split(F.coalesce(email, F.lit("")), ",")
+    # plain text without blanks, as most lists are, is not looked at address by address
+    stripped = F.when(email.rlike(r"^[!-~]*+\z"), parts).otherwise(F.transform(parts, T.strip))
+    return F.array_remove(stripped, "")
 
 
 def contacts_from_docs(docs: DataFrame, list_size: int = LIST_SIZE) -> DataFrame:

@@ -24,15 +24,15 @@ def nested_contacts(contacts: DataFrame, list_size: int = LIST_SIZE) -> DataFram
     longer one goes on in further parts, so no posting is gathered into one huge record.
     """
     stored = F.struct(
-        "contact_rank", "name", "title", "linkedin_url",
+        "name", "title", "linkedin_url",
         F.nullif(F.array_join("candidates", ","), F.lit("")).alias("email"),
         "source", "found_at", "email_sent_at", "email_sent_to", "email_tried", "email_bounced",
     )
     part = F.floor((F.col("contact_rank") - 1) / list_size).cast("int")
     return (
         contacts.groupBy("job_key", part.alias("part"))
-        .agg(F.sort_array(F.collect_list(stored)).alias("recruiters"))
-        .withColumn("recruiters", F.transform("recruiters", lambda c: c.dropFields("contact_rank")))
+        .agg(F.sort_array(F.collect_list(F.struct("contact_rank", stored.alias("contact")))).alias("recruiters"))
+        .withColumn("recruiters", F.col("recruiters.contact"))
     )
 
 

@@ -60,3 +60,32 @@ def test_top_by_cuts_before_the_shuffle(spark):
         if len(expected[r.k]) < 2:
             expected[r.k].append(r.id)
     assert {k: sorted(v) for k, v in got.items()} == expected
+
+
+def test_numbered_moves_rows_once_where_no_key_is_long(spark):
+    rows = [(f"k{i % 7}", i * 50_000 % 99_991) for i in range(300)] + [(None, 1), ("k1", None)]
+    df = spark.createDataFrame(rows, "k string, n bigint")
+    got = skew.numbered(df, ["k"], "n", "no")
+    assert got.columns == ["k", "n", "no"] and plan_of(got).count("Exchange hashpartitioning") == 1
+    # grouping within the key needs no second move
+    assert plan_of(got.groupBy("k", F.floor(F.col("no") / 10)).count()).count("Exchange hashpartitioning") == 1
+    values = {}
+    for k, n in rows:
+        if k is not None and n is not None:
+            values.setdefault(k, []).append(n)
+    assert sorted(map(tuple, got.collect())) == sorted((k, n, at + 1) for k, found in values.items() for at, n in enumerate(sorted(found)))
+
+
+def test_numbered_cuts_only_long_keys(spark):
+    rows = [("long", n * 3) for n in range(-40, 60)] + [("short", n * 1000) for n in range(10)] + [("long", None), (None, 4)]
+    df = spark.createDataFrame(rows, "k string, n bigint")
+    assert [r.k for r in skew.long_keys(df, ["k"], 37).collect()] == ["long"]
+    expected = sorted([("long", n * 3, n + 41) for n in range(-40, 60)] + [("short", n * 1000, n + 1) for n in range(10)])
+    both = spark.createDataFrame([("long",), ("short",), ("none",)], "k string")
+    for known in (None, skew.long_keys(df, ["k"], 37), both):
+        got = skew.numbered(df, ["k"], "n", "no", width=37, long=known)
+        assert sorted(map(tuple, got.collect())) == expected
+
+
+def test_hot_keys_count_groups_once(spark):
+    assert plan_of(skew.hot_keys(facts(spark), ["k"])).count("Exchange hashpartitioning") == 1
